@@ -117,8 +117,8 @@ def half_pair_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKEN
               .select(F.col("a.tag").alias("tech1"), F.col("b.tag").alias("tech2"),
                       (F.col("weight") * F.col("a.m") * F.col("b.m")).alias("weight"),
                       (F.col("a.m") * F.col("b.m")).alias("cnt")))
-    tc = token_counts(big.select("id", "day", "weight",
-                                 F.array_join("tags", " ").alias("techlist")), inline_max=0)
+    tc = (big.select("id", "weight", F.explode("tags").alias("tag"))
+          .groupBy("id", "weight", "tag").agg(F.count(F.lit(1)).alias("m")))
     left = tc.select("id", "weight", F.col("tag").alias("tech1"), F.col("m").alias("m1"))
     right = tc.select(F.col("id").alias("_rid"), F.col("tag").alias("tech2"),
                       F.col("m").alias("m2"))

@@ -33,7 +33,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     """A ``local[cpus]`` session for tests and the bench."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", "8g")
+               .config("spark.ui.showConsoleProgress", "false"))
     for key, value in SCALE_CONF.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
