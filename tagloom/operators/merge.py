@@ -19,10 +19,11 @@ class TotalsSpec:
     sums: tuple[str, ...]
     first: tuple[str, ...] = ()   # columns where the stored value wins
     partition_by: tuple[str, ...] = ()
+    order: tuple[str, ...] = ()   # column order of the table, when not keys-first-sums
 
     @property
     def columns(self) -> list[str]:
-        return [*self.keys, *self.first, *self.sums]
+        return list(self.order) if self.order else [*self.keys, *self.first, *self.sums]
 
 
 # The stored result tables (FIXTURES.md section 2) and how they merge.
@@ -33,7 +34,9 @@ SPECS = {
     "tag_list": TotalsSpec(("year", "day", "techlist"), ("weight", "app_num"),
                            partition_by=("year",)),
     "user_tech": TotalsSpec(("user_id", "tech"), ("score", "cnt"),
-                            first=("user_name", "user_website")),
+                            first=("user_name", "user_website"),
+                            order=("user_id", "user_name", "user_website", "tech", "score",
+                                   "cnt")),
 }
 
 
@@ -44,9 +47,7 @@ def merge_totals(old: DataFrame, delta: DataFrame, spec: TotalsSpec) -> DataFram
               .unionByName(delta.select(*spec.columns, F.lit(1).alias("_src"))))
     aggs = [F.min_by(c, "_src").alias(c) for c in spec.first]
     aggs += [F.sum(c).cast("bigint").alias(c) for c in spec.sums]
-    out = tagged.groupBy(*spec.keys).agg(*aggs)
-    order = [c for c in old.columns if c in spec.columns]
-    return out.select(*order)
+    return tagged.groupBy(*spec.keys).agg(*aggs).select(*spec.columns)
 
 
 def insert_if_absent(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
