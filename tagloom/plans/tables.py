@@ -19,9 +19,14 @@ from ..sources.fixtures import Sources
 
 
 class TagTables:
-    def __init__(self, sources: Sources, inline_max: int = t.INLINE_MAX_TOKENS):
+    def __init__(self, sources: Sources | None, inline_max: int = t.INLINE_MAX_TOKENS,
+                 given: dict[str, DataFrame] | None = None):
+        """``given`` supplies tables that already exist (written earlier, or
+        staged); every other table is derived from them or from ``sources``."""
         self.sources = sources
         self.inline_max = inline_max
+        for name, df in (given or {}).items():
+            self.__dict__[name] = df            # takes the place of the cached property
 
     @classmethod
     def from_frames(cls, posts: DataFrame, comments: DataFrame, users: DataFrame,
