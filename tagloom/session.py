@@ -20,6 +20,10 @@ SCALE_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # a join side is broadcast only when its size (file statistics, or the
+    # measured shuffle output under AQE) is below this bound
+    "spark.sql.autoBroadcastJoinThreshold": "10m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "10m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.aggregatePushdown": "true",
@@ -43,6 +47,28 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
+                 shuffle_fraction: float = 0.1, max_width: int = 50_000) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    Only the projected, partially aggregated columns are shuffled, so the
+    shuffle is taken as ``shuffle_fraction`` of the input. The initial shuffle
+    width gives each reducer about 256 MB of it, at least two waves of the
+    cluster's cores and at most ``max_width`` (the map x reduce block count
+    stays manageable); AQE then coalesces small partitions to 128 MB and
+    splits skewed ones. Scan splits are 256 MB, so 100 TB is about 400k tasks.
+    """
+    cores = max(1, executors * cores_per_executor)
+    by_size = -(-int(input_bytes * shuffle_fraction) // (256 << 20))
+    width = min(max_width, max(2 * cores, by_size))
+    return {
+        "spark.sql.shuffle.partitions": str(width),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(width),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+    }
+
+
 def apply_scale_conf(spark: SparkSession) -> SparkSession:
     """Set the runtime SQL options on an existing session (cluster jobs)."""
     for key, value in SCALE_CONF.items():
