@@ -3,9 +3,9 @@
 A post's tags travel as one array inside its row, so expanding tokens and
 pairs is a narrow ``Generate`` with no shuffle. A post whose list is longer
 than ``INLINE_MAX_TOKENS`` would put all of its quadratic pair work on one
-task; such posts take a second path where the post's tokens are exploded and
-self-joined on ``(id, salt)``, so one huge post is spread over ``PAIR_SALT``
-tasks instead of one.
+task; such posts take a second path where the post's tokens are exploded,
+counted per distinct tag and self-joined on ``(id, salt)``, so one huge post
+is spread over ``PAIR_SALT`` tasks instead of one.
 """
 
 from __future__ import annotations
@@ -15,7 +15,16 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..functions.tags import clean_tag_text, post_weight, split_tags
 
 INLINE_MAX_TOKENS = 512
-PAIR_SALT = 64
+PAIR_SALT = 64          # a power of two: the salt is a bit mask of a hash
+
+
+def _salt_of(col: Column, salt: int) -> Column:
+    """``col`` folded to 0..salt-1 with a bit mask. A mask of a non-null value
+    is never null, so Spark infers no IS NOT NULL filter from the join key and
+    both sides of the self-join keep the same subtree (one shared exchange)."""
+    if salt & (salt - 1):
+        raise ValueError("salt must be a power of two")
+    return col.bitwiseAND(F.lit(salt - 1))
 
 
 def post_tags(posts: DataFrame) -> DataFrame:
@@ -68,19 +77,41 @@ def _salted_self_join(left: DataFrame, right: DataFrame, left_salt: Column,
     return lft.join(rgt, (lft["id"] == rgt["_rid"]) & (lft["_salt"] == rgt["_salt"]) & on_extra)
 
 
+def _big_counts(big: DataFrame) -> DataFrame:
+    """Distinct tags of the big posts with their multiplicity m (one shuffle
+    on the post; both sides of the salted self-join read this same exchange)."""
+    return (big.select("id", "day", "weight", F.size("tags").alias("n"),
+                       F.explode("tags").alias("tag"))
+            .groupBy("id", "day", "weight", "n", "tag")
+            .agg(F.count(F.lit(1)).cast("int").alias("m")))
+
+
+def _big_pairs(big: DataFrame, salt: int, keep: Column) -> DataFrame:
+    """Pairs of distinct tags (a, b) of each big post satisfying ``keep``,
+    with m_a and m_b: ``id, day, weight, tech1, tech2, m1, m2``."""
+    tc = _big_counts(big)
+    left = tc.select("id", "day", "weight", F.col("tag").alias("tech1"), F.col("m").alias("m1"))
+    right = tc.select(F.col("id").alias("_rid"), F.col("tag").alias("tech2"),
+                      F.col("m").alias("m2"))
+    return (_salted_self_join(left, right, _salt_of(F.hash("tech1"), salt), salt, keep)
+            .select("id", "day", "weight", "tech1", "tech2", "m1", "m2"))
+
+
 def tag_pairs(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
               salt: int = PAIR_SALT) -> DataFrame:
     """G1: ordered pairs of a post's tokens, both directions, equal values
-    skipped, repeats kept: ``id, day, weight, tech1, tech2``."""
+    skipped, repeats kept: ``id, day, weight, tech1, tech2``.
+
+    For a big post the pair (a, b) of distinct tags stands for m_a*m_b rows
+    of the nested loop; they are expanded after the join."""
     small, big = _split_by_size(with_tag_array(post_tags_df), inline_max)
     inline = (small.select("id", "day", "weight", "tags", F.explode("tags").alias("tech1"))
               .select("id", "day", "weight", "tech1",
                       F.explode(F.filter("tags", lambda y: y != F.col("tech1"))).alias("tech2")))
-    tokens = big.select("id", "day", "weight", F.posexplode("tags").alias("pos", "tech1"))
-    right = tokens.select(F.col("id").alias("_rid"), F.col("tech1").alias("tech2"))
-    split = _salted_self_join(tokens, right, F.pmod(F.col("pos"), F.lit(salt)), salt,
-                              F.col("tech1") != F.col("tech2"))
-    return inline.unionByName(split.select("id", "day", "weight", "tech1", "tech2"))
+    split = (_big_pairs(big, salt, F.col("tech1") != F.col("tech2"))
+             .select("id", "day", "weight", "tech1", "tech2",
+                     F.explode(F.sequence(F.lit(1), F.col("m1") * F.col("m2"))).alias("_k")))
+    return inline.unionByName(split.drop("_k"))
 
 
 def token_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
@@ -94,10 +125,7 @@ def token_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -
     inline = (small.select("id", "day", "weight", F.size("tags").alias("n"),
                            F.explode(counted).alias("tm"))
               .select("id", "day", "weight", "n", "tm.tag", "tm.m"))
-    grouped = (big.select("id", "day", "weight", F.size("tags").alias("n"),
-                          F.explode("tags").alias("tag"))
-               .groupBy("id", "day", "weight", "n", "tag")
-               .agg(F.count(F.lit(1)).cast("int").alias("m")))
+    grouped = _big_counts(big)
     return inline.unionByName(grouped)
 
 
@@ -117,14 +145,8 @@ def half_pair_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKEN
               .select(F.col("a.tag").alias("tech1"), F.col("b.tag").alias("tech2"),
                       (F.col("weight") * F.col("a.m") * F.col("b.m")).alias("weight"),
                       (F.col("a.m") * F.col("b.m")).alias("cnt")))
-    tc = (big.select("id", "weight", F.explode("tags").alias("tag"))
-          .groupBy("id", "weight", "tag").agg(F.count(F.lit(1)).alias("m")))
-    left = tc.select("id", "weight", F.col("tag").alias("tech1"), F.col("m").alias("m1"))
-    right = tc.select(F.col("id").alias("_rid"), F.col("tag").alias("tech2"),
-                      F.col("m").alias("m2"))
-    split = _salted_self_join(left, right, F.pmod(F.hash("tech1"), F.lit(salt)), salt,
-                              F.col("tech1") < F.col("tech2"))
+    split = _big_pairs(big, salt, F.col("tech1") < F.col("tech2"))
     split = split.select("tech1", "tech2",
                          (F.col("weight") * F.col("m1") * F.col("m2")).alias("weight"),
-                         (F.col("m1") * F.col("m2")).cast("bigint").alias("cnt"))
+                         (F.col("m1").cast("bigint") * F.col("m2")).alias("cnt"))
     return inline.unionByName(split)
