@@ -134,3 +134,19 @@ def stream_posts(spark: SparkSession, source_dir: str, store: TotalsStore,
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def stream_comments(spark: SparkSession, source_dir: str, store: TotalsStore,
+                    posts: DataFrame, users: DataFrame, checkpoint: str,
+                    files_per_batch: int = 1, prefix: str = "comments"):
+    """The user job as a stream: each micro-batch of comment files is joined
+    to the posts and users tables (a stream-static join inside the batch) and
+    merged into USER_TECH once."""
+    stream = (spark.readStream.schema(SCHEMAS["comments"])
+              .option("maxFilesPerTrigger", files_per_batch).parquet(source_dir))
+
+    def merge(batch: DataFrame, epoch_id: int) -> None:
+        apply_comment_batch(store, batch, posts, users, f"{prefix}-{epoch_id}")
+
+    return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())

@@ -141,3 +141,16 @@ def test_incremental_loop(spark, src, scratch):
     pt = t.post_tags(src.posts)
     assert rows(store.table("tag_list")) == rows(tot.tag_list(pt))
     assert rows(store.table("user_tech")) == rows(tot.user_tech(pt, src.comments, src.users))
+
+
+def test_stream_comments(spark, src, scratch):
+    from tagloom.streaming.incremental import stream_comments
+    source = f"{scratch}/comments_in"
+    for low, high in b.batch_bounds(0, 15_000, 4_000):
+        b.id_batch(src.comments, low, high).coalesce(1).write.mode("append").parquet(source)
+    store = TotalsStore(spark, f"{scratch}/store")
+    q = stream_comments(spark, source, store, src.posts, src.users, f"{scratch}/ckpt")
+    q.awaitTermination(300)
+    want = tot.user_tech(t.post_tags(src.posts), src.comments, src.users)
+    assert rows(store.table("user_tech")) == rows(want)
+    assert store.ledger().count() == 4

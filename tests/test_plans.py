@@ -57,3 +57,39 @@ def test_mirror_reuses_shuffle(spark):
     df = queries()["tech_rel"](spark, SF001)
     df.collect()
     assert "ReusedExchange" in plan(df)
+
+
+def test_hot_post_join_is_split(spark, scratch):
+    """One post holding half of all comments: AQE splits its join partition
+    (map-output blocks of the hot key go to several tasks)."""
+    from pyspark.sql import functions as F
+
+    from tagloom.operators import tags as t
+    src = load_sources(spark, SF001.replace("0.001", "0.01"))
+    src.posts.write.parquet(f"{scratch}/posts")
+    hot = src.comments.withColumn(
+        "post_id", F.when(F.col("id") % 2 == 0, F.lit(42)).otherwise(F.col("post_id")))
+    hot.repartition(16).write.parquet(f"{scratch}/comments")
+    conf = {"spark.sql.shuffle.partitions": "16",
+            "spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        posts = spark.read.parquet(f"{scratch}/posts")
+        comments = spark.read.parquet(f"{scratch}/comments")
+        df = tot.user_tech(t.post_tags(posts), comments, src.users)
+        got = df.collect()
+        assert "SortMergeJoin(skew=true)" in plan(df)
+        want = tot.user_tech(t.post_tags(posts), comments.repartition(3), src.users).collect()
+        assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
