@@ -107,3 +107,30 @@ def test_rank_in_range_and_top_users(spark):
     ut = spark.createDataFrame([(i, f"u{i}", None, "a", i % 4, 1) for i in range(20)], UT)
     top = [tuple(r) for r in cmp.top_users_for_tech(ut, "a").collect()]
     assert len(top) == 10 and top[0] == (3, "u3", "", 3, 1)
+
+
+def test_pair_lookup_reads_unpruned_edges(spark):
+    """A pair cut from the top-25 graph still answers the pair lookup,
+    while the neighbour queries see only the pruned edges."""
+    data = [("a", f"n{i:02d}", 100 - i, 1) for i in range(30)] + [("a", "z", 1, 1)]
+    rel = spark.createDataFrame(data, REL)
+    node = spark.createDataFrame([("a", 1, 1), ("z", 1, 1)] +
+                                 [(f"n{i:02d}", 1, 1) for i in range(30)], NODE)
+    edges = g.graph_edges(rel, node)
+    assert edges.where("technode2 = 'z'").count() == 0
+    assert rows(cmp.compare_edge(rel, node, "a", ["z"]), "technode2", "weight") == [("z", 1)]
+    assert cmp.neighbourhood(edges, node, "a").where("name = 'z'").count() == 0
+
+
+def test_year_partitioned_write_keeps_every_row(spark, scratch):
+    """Every (day, tag) row lands in its year partition, none is lost."""
+    from tagloom.sinks.writers import read_year_table, write_table
+    td = _tag_date(spark, [(dt.date(2008 + i % 4, 1 + i % 12, 1 + i % 27), f"t{i % 7}", i)
+                           for i in range(200)])
+    td = td.groupBy("year", "day", "tech").agg({"app_num": "sum"}) \
+        .withColumnRenamed("sum(app_num)", "app_num")
+    write_table(td, f"{scratch}/date", partition_by=("year",))
+    back = read_year_table(spark, f"{scratch}/date")
+    assert rows(back, "year", "day", "tech", "app_num") == rows(td, "year", "day", "tech", "app_num")
+    assert read_year_table(spark, f"{scratch}/date", [2009]).count() == \
+        td.where("year = 2009").count()
