@@ -99,7 +99,7 @@ class TotalsStore:
             else:
                 merged = merge_totals(self.table(name), delta, spec)
             nv = 0 if v is None else v + 1
-            write_table(merged, self.path(name, nv), "overwrite", spec.partition_by)
+            write_table(merged, self.path(name, nv), "overwrite", spec.partition_by, spec.keys)
             written.append((batch_id, name, nv))
         # the commit: one append of the ledger rows
         (self.spark.createDataFrame(written, LEDGER_SCHEMA).coalesce(1)
