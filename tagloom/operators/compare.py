@@ -153,10 +153,12 @@ def tech_rank_in_range(tag_date_df: DataFrame, first_day: str, last_day: str,
 
 def top_users_for_tech(user_tech_df: DataFrame, keyword: str,
                        shown: int = TOP_USERS_SHOWN) -> DataFrame:
-    """Q4: the users of a tag by score; the page then draws them ascending
-    (T5), which is a sort of these ``shown`` rows."""
+    """Q4 + T5: the ``shown`` users of a tag with the highest score, returned
+    in the order the page draws its bars: ascending by score (a sort of
+    ``shown`` rows after the per-task top-k)."""
     return (user_tech_df.where(F.col("tech") == keyword)
             .orderBy(F.col("score").desc(), F.col("user_id")).limit(shown)
+            .orderBy(F.col("score"), F.col("user_id").desc())
             .select("user_id", F.col("user_name").alias("name"),
                     F.coalesce("user_website", F.lit("")).alias("url_web"),
                     F.col("score").alias("value"), "cnt"))
