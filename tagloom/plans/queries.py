@@ -18,6 +18,7 @@ from ..operators import tags as t
 from ..operators import totals as tot
 from ..sources import batches as b
 from ..sources.fixtures import load_sources
+from ..session import per_session
 from .tables import TagTables
 
 # Fixed parameters of the registered queries (FIXTURES.md section 4 and
@@ -35,7 +36,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 
 def tables(spark: SparkSession, sf_dir: str) -> TagTables:
-    return TagTables(load_sources(spark, sf_dir))
+    """The lazy tables over one folder, built once per session (plans only)."""
+    return per_session(spark, ("tables", sf_dir.rstrip("/")),
+                       lambda: TagTables(load_sources(spark, sf_dir)))
 
 
 def _mid(df: DataFrame, column: str = "id"):
@@ -267,7 +270,17 @@ def q_top_users_for_tech(spark, sf):
     return cmp.top_users_for_tech(tables(spark, sf).user_tech, TECH)
 
 
+def _fresh(fn: Query) -> Query:
+    """Every call returns a new Dataset (its own physical plan), so no
+    executed plan or shuffle output is shared between calls."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(spark, sf_dir).select("*")
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
 QUERIES: dict[str, Query] = {
-    name[2:]: fn for name, fn in sorted(globals().items())
+    name[2:]: _fresh(fn) for name, fn in sorted(globals().items())
     if name.startswith("q_") and callable(fn)
 }
