@@ -30,17 +30,24 @@ def top_neighbours(tech_rel_df: DataFrame, k: int = EDGES_PER_TAG) -> DataFrame:
             .where(F.col("_rk") <= k).drop("_rk"))
 
 
-def graph_edges(tech_rel_df: DataFrame, tech_node_df: DataFrame,
+def graph_edges(tech_rel_df: DataFrame, tech_node_df: DataFrame | None,
                 k: int = EDGES_PER_TAG) -> DataFrame:
     """K4 + J3: pruned edges whose both endpoints are vertices, with names:
-    ``technode1, technode2, name, weight, cnt``. The vertex keys are one row
-    per tag (the vocabulary), deduplicated before the semi joins."""
+    ``technode1, technode2, name, weight, cnt``.
+
+    J3 is two semi joins with the vertex keys (one row per tag, the
+    vocabulary: broadcast when measured small). Pass ``tech_node_df=None``
+    only when edges and vertices come from the same posts: a pair (a, b)
+    exists only in a post with two different tags, which makes both a and b
+    vertices, so the semi joins cannot remove a row there.
+    """
     top = top_neighbours(tech_rel_df, k)
-    keys = tech_node_df.select(F.col("technode").alias("_v")).distinct()
-    return (top.join(keys, top.technode1 == keys._v, "left_semi")
-            .join(keys, top.technode2 == keys._v, "left_semi")
-            .select("technode1", "technode2",
-                    edge_name("technode1", "technode2").alias("name"), "weight", "cnt"))
+    if tech_node_df is not None:
+        keys = tech_node_df.select(F.col("technode").alias("_v")).distinct()
+        top = (top.join(keys, top.technode1 == keys._v, "left_semi")
+               .join(keys, top.technode2 == keys._v, "left_semi"))
+    return top.select("technode1", "technode2",
+                      edge_name("technode1", "technode2").alias("name"), "weight", "cnt")
 
 
 def user_vertices(user_tech_df: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ class TagTables:
         staged); every other table is derived from them or from ``sources``."""
         self.sources = sources
         self.inline_max = inline_max
+        self._given = set(given or ())
         for name, df in (given or {}).items():
             self.__dict__[name] = df            # takes the place of the cached property
 
@@ -75,7 +76,10 @@ class TagTables:
 
     @cached_property
     def graph_edges(self) -> DataFrame:
-        return g.graph_edges(self.tech_rel, self.tech_node)
+        # J3 is a no-op when both tables come from the same posts (see
+        # graph.graph_edges); given (stored) tables keep the semi joins
+        same_posts = "tech_rel" not in self._given and "tech_node" not in self._given
+        return g.graph_edges(self.tech_rel, None if same_posts else self.tech_node)
 
     @cached_property
     def user_vertices(self) -> DataFrame:

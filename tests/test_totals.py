@@ -92,3 +92,13 @@ def test_user_tech_list_order(spark):
         "user_id bigint, user_name string, user_website string, tech string, score bigint, "
         "cnt bigint")
     assert rows(tot.user_tech_list(ut), "techs") == [("c:9:1,a:5:2,b:5:1",)]
+
+
+def test_vertex_semi_join_is_noop_for_same_posts(pt):
+    """J3 cannot remove an edge when edges and vertices come from the same
+    posts, which is why TagTables skips it."""
+    from tagloom.operators import graph as g
+    rel, node = tot.tech_rel(pt), tot.tech_node(pt)
+    assert rows(g.graph_edges(rel, None)) == rows(g.graph_edges(rel, node))
+    ends = rel.select("technode1").union(rel.select("technode2")).distinct()
+    assert ends.join(node, ends.technode1 == node.technode, "left_anti").count() == 0
