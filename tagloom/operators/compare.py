@@ -141,10 +141,15 @@ def neighbourhood(graph_edges_df: DataFrame, tech_node_df: DataFrame, keyword: s
 
 def tech_rank_in_range(tag_date_df: DataFrame, first_day: str, last_day: str,
                        shown: int = RANK_SHOWN) -> DataFrame:
-    """Q3: tags ranked by summed appNum between two days (inclusive)."""
-    t = (tag_date_df.where(F.col("day").between(F.to_date(F.lit(first_day)),
-                                                  F.to_date(F.lit(last_day))))
-         .groupBy("tech").agg(F.sum("app_num").cast("bigint").alias("value"))
+    """Q3: tags ranked by summed appNum between two days (inclusive).
+
+    The same range on ``year`` (implied by the days) lets a year-partitioned
+    table skip every other year's folder."""
+    d1, d2 = F.to_date(F.lit(first_day)), F.to_date(F.lit(last_day))
+    t = tag_date_df.where(F.col("day").between(d1, d2))
+    if "year" in tag_date_df.columns:
+        t = t.where(F.col("year").between(F.year(d1), F.year(d2)))
+    t = (t.groupBy("tech").agg(F.sum("app_num").cast("bigint").alias("value"))
          .orderBy(F.col("value").desc(), F.col("tech")).limit(shown))
     w = Window.orderBy(F.col("value").desc(), F.col("tech"))
     return t.select(F.col("tech").alias("text"), "value",

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tags import clean_list_text
-from .tags import INLINE_MAX_TOKENS, half_pair_counts, tag_pairs, tag_tokens, token_counts
+from .tags import INLINE_MAX_TOKENS, half_pair_counts, token_counts
 
 
 def _mirror(half: DataFrame, a: str, b: str, rest: list[str]) -> DataFrame:
@@ -104,10 +104,6 @@ def tag_date_from_pairs(pairs: DataFrame) -> DataFrame:
             .agg(F.count(F.lit(1)).alias("app_num")))
 
 
-def pair_rows(post_tags_df: DataFrame) -> DataFrame:
-    return tag_pairs(post_tags_df)
-
-
 # ---- comments and users ----
 
 def comments_tagged(posts: DataFrame, comments: DataFrame, users: DataFrame) -> DataFrame:
@@ -169,5 +165,5 @@ def user_tech_list(user_tech_df: DataFrame) -> DataFrame:
 __all__ = [
     "tech_rel", "tech_node", "tag_date", "tag_list", "clean_tag_lists",
     "tech_rel_from_pairs", "tech_node_from_pairs", "tag_date_from_pairs",
-    "comments_tagged", "user_tag_scores", "user_tech", "user_tech_list", "tag_tokens",
+    "comments_tagged", "user_tag_scores", "user_tech", "user_tech_list",
 ]

@@ -31,7 +31,6 @@ from ..sinks.writers import write_table
 from ..sources.fixtures import SCHEMAS
 
 LEDGER_SCHEMA = "batch_id string, table string, version int"
-POST_TABLES = ("tech_rel", "tech_node", "tag_date", "tag_list")
 
 
 def post_batch_deltas(posts_batch: DataFrame) -> dict[str, DataFrame]:

@@ -93,3 +93,19 @@ def test_hot_post_join_is_split(spark, scratch):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_day_range_prunes_year_partitions(spark, scratch):
+    from tagloom.operators import compare as cmp
+    tables = TagTables(load_sources(spark, SF001))
+    path = f"{scratch}/tag_date"
+    write_table(tables.tag_date, path, partition_by=("year",), cluster_by=("day", "tech"))
+    df = cmp.tech_rank_in_range(spark.read.parquet(path), "1996-01-01", "1996-12-31")
+    df.collect()
+    p = plan(df)
+    assert "PartitionFilters: [isnotnull(year" in p and "(year#" in p
+    assert rows_equal(df, cmp.tech_rank_in_range(tables.tag_date, "1996-01-01", "1996-12-31"))
+
+
+def rows_equal(a, b) -> bool:
+    return sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
