@@ -5,12 +5,14 @@ database tables (insert zero rows, then update), so a replayed window is
 added twice (D19). Here:
 
 * every stored table lives under ``<root>/<table>/v=<n>``; a merge reads
-  version n and writes version n+1 to a new directory, so a path is never
-  overwritten while it is read, and the lineage of a version is one scan;
+  the current version and writes version n+1 to a new directory, so a path
+  is never overwritten while it is read, and the lineage of a version is one
+  scan. Year-split tables keep a version per year and a merge rewrites only
+  the years in its batch;
 * ``<root>/_ledger`` is an append-only Parquet table of
-  ``(batch_id, table, version)``. A version exists only once its ledger rows
-  are committed (one append job after all table writes), so a crash leaves
-  at most an unreferenced directory that the next attempt overwrites;
+  ``(batch_id, table, part, version)``. A version exists only once its ledger
+  rows are committed (one append job after all table writes), so a crash
+  leaves at most an unreferenced directory that the next attempt overwrites;
 * a batch id already in the ledger is skipped, which makes a replay -- by a
   restarted job or by Structured Streaming re-running an epoch -- a no-op.
 
@@ -30,7 +32,9 @@ from ..operators.merge import SPECS, merge_totals
 from ..sinks.writers import write_table
 from ..sources.fixtures import SCHEMAS
 
-LEDGER_SCHEMA = "batch_id string, table string, version int"
+LEDGER_SCHEMA = "batch_id string, table string, part int, version int"
+WHOLE = -1                  # the part of a table that is not split by year
+BATCH_MARK = "_batch"       # one ledger row per applied batch, even an empty one
 
 
 def post_batch_deltas(posts_batch: DataFrame) -> dict[str, DataFrame]:
@@ -48,7 +52,14 @@ def comment_batch_deltas(comments_batch: DataFrame, posts: DataFrame,
 
 
 class TotalsStore:
-    """Versioned totals tables under one shared folder."""
+    """Versioned totals tables under one shared folder.
+
+    A table split by year (``tag_date``, ``tag_list``) is versioned per year:
+    a batch rewrites only the years its delta touches (new posts mostly touch
+    the latest one), so the cost of a merge follows the touched years, not
+    the whole history. Other tables are rewritten whole; they are bounded by
+    the tag vocabulary (``tech_rel``, ``tech_node``) or by users x tags.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -65,10 +76,12 @@ class TotalsStore:
         except AnalysisException:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
-    def versions(self) -> dict[str, int]:
-        """Current version per table (a few rows: one per table)."""
-        rows = self.ledger().groupBy("table").agg(F.max("version").alias("v")).collect()
-        return {r["table"]: r["v"] for r in rows}
+    def versions(self) -> dict[tuple[str, int], int]:
+        """Latest version of every (table, part); part is the year, or WHOLE.
+        A few rows per table: one per year at most."""
+        rows = (self.ledger().where(F.col("table") != BATCH_MARK)
+                .groupBy("table", "part").agg(F.max("version").alias("v")).collect())
+        return {(r["table"], r["part"]): r["v"] for r in rows}
 
     def applied(self, batch_id: str) -> bool:
         return self.ledger().where(F.col("batch_id") == batch_id).limit(1).count() > 0
@@ -77,11 +90,29 @@ class TotalsStore:
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
 
-    def table(self, name: str) -> DataFrame | None:
-        v = self.versions().get(name)
-        if v is None:
+    def _read(self, name: str, parts: dict[int, int]) -> DataFrame | None:
+        """The union of the given parts at their versions."""
+        spec = SPECS[name]
+        frames = []
+        for part, v in sorted(parts.items()):
+            base = self.path(name, v)
+            if part == WHOLE:
+                frames.append(self.spark.read.parquet(base))
+            else:
+                frames.append(self.spark.read.option("basePath", base)
+                              .parquet(f"{base}/{spec.partition_by[0]}={part}"))
+        if not frames:
             return None
-        return self.spark.read.parquet(self.path(name, v)).select(*SPECS[name].columns)
+        out = frames[0]
+        for f in frames[1:]:
+            out = out.unionByName(f)
+        return out.select(*spec.columns)
+
+    def table(self, name: str, years: list[int] | None = None) -> DataFrame | None:
+        """The current table (only the given years of a year-split one)."""
+        parts = {p: v for (t, p), v in self.versions().items()
+                 if t == name and (years is None or p == WHOLE or p in years)}
+        return self._read(name, parts)
 
     def apply(self, batch_id: str, deltas: dict[str, DataFrame]) -> bool:
         """A9 + D19: merge the batch's totals into the stored ones once.
@@ -89,17 +120,24 @@ class TotalsStore:
         if self.applied(batch_id):
             return False
         current = self.versions()
-        written = []
+        written = [(batch_id, BATCH_MARK, WHOLE, -1)]
         for name, delta in deltas.items():
             spec = SPECS[name]
-            v = current.get(name)
-            if v is None:
-                merged = delta.select(*spec.columns)
+            have = {p: v for (t, p), v in current.items() if t == name}
+            if spec.partition_by:
+                # the years in this batch: one row per year
+                touched = sorted(r[0] for r in delta.select(spec.partition_by[0])
+                                 .distinct().collect())
+                old = self._read(name, {p: have[p] for p in touched if p in have})
             else:
-                merged = merge_totals(self.table(name), delta, spec)
-            nv = 0 if v is None else v + 1
+                touched = [WHOLE]
+                old = self._read(name, have)
+            if not touched:
+                continue
+            merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
+            nv = max(have.values(), default=-1) + 1
             write_table(merged, self.path(name, nv), "overwrite", spec.partition_by, spec.keys)
-            written.append((batch_id, name, nv))
+            written += [(batch_id, name, p, nv) for p in touched]
         # the commit: one append of the ledger rows
         (self.spark.createDataFrame(written, LEDGER_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.ledger_path))

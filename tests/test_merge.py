@@ -90,7 +90,7 @@ def test_store_batches_equal_one_shot_and_replay_is_noop(spark, src, scratch):
     assert rows(store.table("tech_node")) == rows(tot.tech_node(pt_all))
     assert rows(store.table("tag_date")) == rows(tot.tag_date(pt_all))
     assert rows(store.table("tag_list")) == rows(tot.tag_list(pt_all))
-    assert store.versions()["tech_rel"] == 2
+    assert store.versions()[("tech_rel", -1)] == 2
 
 
 def test_store_user_batches(spark, src, scratch):
@@ -153,4 +153,24 @@ def test_stream_comments(spark, src, scratch):
     q.awaitTermination(300)
     want = tot.user_tech(t.post_tags(src.posts), src.comments, src.users)
     assert rows(store.table("user_tech")) == rows(want)
-    assert store.ledger().count() == 4
+    assert store.ledger().select("batch_id").distinct().count() == 4
+
+
+def test_store_rewrites_only_touched_years(spark, src, scratch):
+    import os
+    store = TotalsStore(spark, f"{scratch}/years")
+    year = F.year("creation_date")
+    early = src.posts.where(year <= 1996)
+    late = src.posts.where(year == 1997)
+    assert apply_post_batch(store, early, "early")
+    assert apply_post_batch(store, late, "late")
+    v = store.versions()
+    assert v[("tag_date", 1995)] == 0 and v[("tag_date", 1996)] == 0
+    assert v[("tag_date", 1997)] == 1
+    written = [d for d in os.listdir(store.path("tag_date", 1)) if d.startswith("year=")]
+    assert written == ["year=1997"]
+    both = t.post_tags(early.unionByName(late))
+    assert rows(store.table("tag_date")) == rows(tot.tag_date(both))
+    assert rows(store.table("tag_list", years=[1997])) == \
+        rows(tot.tag_list(both).where("year = 1997"))
+    assert rows(store.table("tech_rel")) == rows(tot.tech_rel(both))
