@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.tags import clean_list_text
+from ..functions.tags import clean_list_text, split_tags
 from .tags import INLINE_MAX_TOKENS, half_pair_counts, token_counts
 
 
@@ -126,9 +126,7 @@ def user_tag_scores(post_tags_df: DataFrame, comments: DataFrame) -> DataFrame:
     its shuffle.
     """
     c = comments.where(F.col("user_id").isNotNull()).select("post_id", "user_id", "score")
-    toks = post_tags_df.select(F.col("id").alias("post_id"),
-                               F.filter(F.split("techlist", " "), lambda t: t != F.lit(""))
-                               .alias("tags"))
+    toks = post_tags_df.select(F.col("id").alias("post_id"), split_tags("techlist").alias("tags"))
     return (c.join(toks, "post_id")
             .select("user_id", "score", F.explode("tags").alias("tech"))
             .groupBy("user_id", "tech")

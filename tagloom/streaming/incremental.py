@@ -47,7 +47,16 @@ def post_batch_deltas(posts_batch: DataFrame) -> dict[str, DataFrame]:
 
 def comment_batch_deltas(comments_batch: DataFrame, posts: DataFrame,
                          users: DataFrame) -> dict[str, DataFrame]:
-    """USER_TECH totals of one batch of comments, joined to all posts."""
+    """USER_TECH totals of one batch of comments.
+
+    S8: the batch only needs the posts it comments on. A one-row probe gives
+    the range of its post ids; as literals they become a pushed-down range
+    filter on the posts scan (row groups outside it are skipped when posts
+    are stored in id order), and the join keeps exactly the matching posts.
+    """
+    lo, hi = comments_batch.agg(F.min("post_id"), F.max("post_id")).first()
+    if lo is not None:
+        posts = posts.where(F.col("id").between(lo, hi))
     return {"user_tech": tot.user_tech(t.post_tags(posts), comments_batch, users)}
 
 
