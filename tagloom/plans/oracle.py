@@ -71,7 +71,7 @@ graph_edges AS (
   SELECT technode1, technode2, weight, cnt, technode1 || '-' || technode2 AS name FROM (
     SELECT *, row_number() OVER (PARTITION BY technode1 ORDER BY weight DESC, technode2) AS rk
     FROM tech_rel) WHERE rk <= 25),
-post_mid AS (SELECT (min(id) + max(id)) // 2 AS mid FROM post_tags),
+post_mid AS (SELECT (min(id) + max(id)) // 2 AS mid FROM posts),
 comment_mid AS (SELECT (min(id) + max(id)) // 2 AS mid FROM comments),
 trend AS (
   SELECT date, year, month, 'red-plate' AS tech_label, 'small-widget' AS tech1_label,

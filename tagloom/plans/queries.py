@@ -181,9 +181,11 @@ def q_repair_user_names(spark, sf):
 # ---- merges ------------------------------------------------------------------
 
 def _halves(spark, sf):
+    """The tagged posts in two id batches, split at the middle of the posts'
+    id range (like the max-id probe S3, over all posts: a scan of the ids)."""
     s = load_sources(spark, sf)
-    pt = t.post_tags(s.posts)
-    mid = _mid(pt)
+    pt = tables(spark, sf).post_tags
+    mid = _mid(s.posts)
     return s, pt.where(F.col("id") < mid), pt.where(F.col("id") >= mid)
 
 
@@ -210,7 +212,7 @@ def q_merge_list(spark, sf):
 
 def q_merge_user_tech(spark, sf):
     s = load_sources(spark, sf)
-    pt = t.post_tags(s.posts)
+    pt = tables(spark, sf).post_tags
     mid = _mid(s.comments)
     old = tot.user_tech(pt, s.comments.where(F.col("id") < mid), s.users)
     new = tot.user_tech(pt, s.comments.where(F.col("id") >= mid), s.users)
