@@ -3,8 +3,8 @@
 ``run_build`` is the Spark form of the reference's aggregation jobs: it
 writes the cleaned posts once to the shared folder (``spark.checkpoint.dir``),
 which cuts the lineage -- a lost executor re-reads that table instead of
-re-running the source scan and joins -- then builds every stored table from
-it, one write job per table.
+re-running the source scan and joins -- then builds the totals from it and
+the graph tables from the written totals, one write job per table.
 
 ``run_incremental`` keeps the reference's id-window loop for loads that
 arrive over time: half-open windows (D1), each merged once (D19).
@@ -15,6 +15,8 @@ the page's filters reach the Parquet scans (and the ``year`` partitions).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import tags as t
@@ -26,14 +28,28 @@ from ..streaming.incremental import TotalsStore, apply_comment_batch, apply_post
 from .tables import TagTables, compare
 
 
+BASE_TABLES = ("tech_rel", "tech_node", "tag_date", "tag_list", "user_tech")
+DERIVED_TABLES = ("graph_vertices", "graph_edges", "user_vertices", "contribute_edges")
+
+
 def run_build(spark: SparkSession, sources: Sources, out_root: str,
               stage_root: str | None = None) -> dict[str, str]:
-    """Write all stored tables under ``out_root``; returns their paths."""
-    stage = stage_root or work_path(spark, "tagloom-stage")
-    pt_path = f"{stage}/post_tags"
-    write_table(t.post_tags(sources.posts), pt_path)
-    tables = TagTables(sources, given={"post_tags": spark.read.parquet(pt_path)})
-    return write_tables(tables.stored(), out_root)
+    """Write all stored tables under ``out_root``; returns their paths.
+
+    Three steps, each reading what the previous one wrote: the cleaned
+    posts; the five totals (one aggregation each); the graph tables, derived
+    from the written totals so the pair and comment aggregations run once.
+    """
+    stage = stage_root or work_path(spark, f"tagloom-stage-{uuid.uuid4().hex[:12]}")
+    write_table(t.post_tags(sources.posts), f"{stage}/post_tags")
+    given = {"post_tags": spark.read.parquet(f"{stage}/post_tags")}
+    base = TagTables(sources, given=given)
+    paths = write_tables({name: getattr(base, name) for name in BASE_TABLES}, out_root)
+    given.update({name: spark.read.parquet(path) for name, path in paths.items()})
+    derived = TagTables(sources, given=given)
+    paths.update(write_tables({name: getattr(derived, name) for name in DERIVED_TABLES},
+                              out_root))
+    return paths
 
 
 def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore,

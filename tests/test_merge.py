@@ -124,8 +124,9 @@ def test_build_job_and_page_from_written_tables(spark, src, scratch):
     paths = run_build(spark, src, f"{scratch}/tables", stage_root=f"{scratch}/stage")
     assert set(paths) == set(TagTables.STORED)
     fresh = TagTables(src)
-    assert rows(spark.read.parquet(paths["tech_rel"])) == rows(fresh.tech_rel)
-    assert rows(spark.read.parquet(paths["graph_edges"])) == rows(fresh.graph_edges)
+    for name, path in paths.items():
+        want = getattr(fresh, name)
+        assert rows(spark.read.parquet(path).select(*want.columns)) == rows(want), name
     served = serve_compare(spark, f"{scratch}/tables", "red-plate", "small-widget", "hot-ring")
     direct = compare(fresh, "red-plate", "small-widget", "hot-ring")
     for name in ("compare_edge", "monthly_trend", "common_contributors", "related_graph_edges"):
