@@ -175,3 +175,36 @@ def test_store_rewrites_only_touched_years(spark, src, scratch):
     assert rows(store.table("tag_list", years=[1997])) == \
         rows(tot.tag_list(both).where("year = 1997"))
     assert rows(store.table("tech_rel")) == rows(tot.tech_rel(both))
+
+
+def test_crash_before_ledger_commit_is_retried_once(spark, src, scratch, monkeypatch):
+    """A job that dies after writing its table versions but before the
+    ledger append leaves only unreferenced folders; the retry overwrites them
+    and the batch is counted once."""
+    import tagloom.streaming.incremental as inc
+    store = TotalsStore(spark, f"{scratch}/crash")
+    first = b.id_batch(src.posts, 0, 700)
+    second = b.id_batch(src.posts, 700, 1500)
+    assert apply_post_batch(store, first, "b0")
+    real = inc.TotalsStore.apply
+
+    def dying_apply(self, batch_id, deltas):
+        # write every table version, then fail before the commit
+        for name, delta in deltas.items():
+            spec = inc.SPECS[name]
+            have = {p: v for (t_, p), v in self.versions().items() if t_ == name}
+            nv = max(have.values(), default=-1) + 1
+            inc.write_table(delta.select(*spec.columns), self.path(name, nv), "overwrite",
+                            spec.partition_by, spec.keys)
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(inc.TotalsStore, "apply", dying_apply)
+    with pytest.raises(RuntimeError):
+        apply_post_batch(store, second, "b1")
+    monkeypatch.setattr(inc.TotalsStore, "apply", real)
+    assert not store.applied("b1")
+    assert rows(store.table("tech_rel")) == rows(tot.tech_rel(t.post_tags(first)))
+    assert apply_post_batch(store, second, "b1")
+    assert not apply_post_batch(store, second, "b1")
+    assert rows(store.table("tech_rel")) == rows(tot.tech_rel(t.post_tags(src.posts)))
+    assert rows(store.table("tag_list")) == rows(tot.tag_list(t.post_tags(src.posts)))
