@@ -39,3 +39,15 @@ def test_id_batch_over_jdbc(spark, url):
     q = jdbc.read_jdbc(spark, url, query='SELECT "id" FROM POSTS WHERE "tags" IS NULL',
                        properties=PROPS)
     assert q.count() == 27
+
+
+def test_totals_to_jdbc(spark, url):
+    """K1 over JDBC: a stored table written in batches and read back whole."""
+    from tagloom.plans.tables import TagTables
+    tables = TagTables(load_sources(spark, SF001))
+    node = tables.tech_node
+    write_jdbc(node, url, "TECH_NODE", mode="overwrite", properties=PROPS,
+               batch_rows=16, num_partitions=2)
+    back = jdbc.read_jdbc(spark, url, table="TECH_NODE", properties=PROPS)
+    assert rows(back) == rows(node)
+    assert back.count() == 62
