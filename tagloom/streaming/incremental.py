@@ -123,6 +123,30 @@ class TotalsStore:
                  if t == name and (years is None or p == WHOLE or p in years)}
         return self._read(name, parts)
 
+    def _merge_one(self, batch_id: str, name: str, delta: DataFrame,
+                   have: dict[int, int]) -> list[tuple]:
+        """Write the next version of one table; returns its ledger rows."""
+        spec = SPECS[name]
+        nv = max(have.values(), default=-1) + 1
+        if not spec.partition_by:
+            old = self._read(name, have)
+            merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
+            write_table(merged, self.path(name, nv), "overwrite")
+            return [(batch_id, name, WHOLE, nv)]
+        # the batch's delta is used twice (its years, then the write): kept
+        # for this merge only; a lost block is recomputed from the batch
+        delta = delta.persist()
+        try:
+            touched = sorted(r[0] for r in delta.select(spec.partition_by[0]).distinct().collect())
+            if not touched:
+                return []
+            old = self._read(name, {p: have[p] for p in touched if p in have})
+            merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
+            write_table(merged, self.path(name, nv), "overwrite", spec.partition_by, spec.keys)
+            return [(batch_id, name, p, nv) for p in touched]
+        finally:
+            delta.unpersist()
+
     def apply(self, batch_id: str, deltas: dict[str, DataFrame]) -> bool:
         """A9 + D19: merge the batch's totals into the stored ones once.
         Returns False when the batch was applied before."""
@@ -131,22 +155,8 @@ class TotalsStore:
         current = self.versions()
         written = [(batch_id, BATCH_MARK, WHOLE, -1)]
         for name, delta in deltas.items():
-            spec = SPECS[name]
             have = {p: v for (t, p), v in current.items() if t == name}
-            if spec.partition_by:
-                # the years in this batch: one row per year
-                touched = sorted(r[0] for r in delta.select(spec.partition_by[0])
-                                 .distinct().collect())
-                old = self._read(name, {p: have[p] for p in touched if p in have})
-            else:
-                touched = [WHOLE]
-                old = self._read(name, have)
-            if not touched:
-                continue
-            merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
-            nv = max(have.values(), default=-1) + 1
-            write_table(merged, self.path(name, nv), "overwrite", spec.partition_by, spec.keys)
-            written += [(batch_id, name, p, nv) for p in touched]
+            written += self._merge_one(batch_id, name, delta, have)
         # the commit: one append of the ledger rows
         (self.spark.createDataFrame(written, LEDGER_SCHEMA).coalesce(1)
          .write.mode("append").parquet(self.ledger_path))
