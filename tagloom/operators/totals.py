@@ -21,11 +21,14 @@ from .tags import INLINE_MAX_TOKENS, half_pair_counts, token_counts
 
 
 def _mirror(half: DataFrame, a: str, b: str, rest: list[str]) -> DataFrame:
-    """(a, b, ...) plus (b, a, ...). A union of two projections of the same
-    aggregate: the shuffle below is computed once (reused exchange), and a
-    filter on either node column is pushed into both branches."""
-    return half.select(F.col(a).alias(a), F.col(b).alias(b), *rest).unionByName(
-        half.select(F.col(b).alias(a), F.col(a).alias(b), *rest))
+    """(a, b, ...) plus (b, a, ...), as a two-element explode after the
+    aggregate: one pass over the aggregate, no second branch to plan or
+    reuse. A filter on a node column stays above it; below it are only the
+    aggregated pairs, at most one row per pair of tags per task."""
+    both = F.array(F.struct(F.col(a).alias("x"), F.col(b).alias("y")),
+                   F.struct(F.col(b).alias("x"), F.col(a).alias("y")))
+    return (half.select(F.explode(both).alias("_m"), *rest)
+            .select(F.col("_m.x").alias(a), F.col("_m.y").alias(b), *rest))
 
 
 def tech_rel(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
