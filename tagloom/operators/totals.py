@@ -61,7 +61,8 @@ def tag_date(post_tags_df: DataFrame, count: str = "pairs",
     the tag that day, i.e. sum of m*(n-m). ``count="posts"``: the number of
     posts with the tag that day.
     """
-    tc = token_counts(post_tags_df, inline_max)
+    # P5: a record without a day has no date row (the pair totals keep it)
+    tc = token_counts(post_tags_df.where(F.col("day").isNotNull()), inline_max)
     if count == "pairs":
         contrib = (F.col("m") * (F.col("n") - F.col("m"))).cast("bigint")
         tc = tc.where(F.col("m") < F.col("n"))

@@ -52,7 +52,7 @@ tech_node AS (
   FROM (SELECT DISTINCT tech1, id, weight FROM tag_pairs) GROUP BY 1),
 tag_date AS (
   SELECT CAST(year(day) AS INT) AS year, day, tech1 AS tech, count(*) AS app_num
-  FROM tag_pairs GROUP BY 1, 2, 3),
+  FROM tag_pairs WHERE day IS NOT NULL GROUP BY 1, 2, 3),
 clean_lists AS (
   SELECT id, day, weight,
          CASE WHEN length(c) > 1000 THEN substr(c, 1, 990) ELSE c END AS techlist

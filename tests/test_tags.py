@@ -88,3 +88,13 @@ def test_big_post_path_equals_inline(make_posts):
     assert rows(tot.tech_rel(pt, inline_max=1000)) == rows(tot.tech_rel(pt, inline_max=4))
     assert rows(tot.tech_node(pt, inline_max=1000)) == rows(tot.tech_node(pt, inline_max=4))
     assert rows(tot.tag_date(pt, inline_max=1000)) == rows(tot.tag_date(pt, inline_max=4))
+
+
+def test_record_without_day(spark):
+    """P5: a post without a creation date counts in the pair and tag totals
+    but gives no date row."""
+    from tagloom.sources.fixtures import SCHEMAS
+    posts = spark.createDataFrame([(1, "<a><b>", 1, 0, 0, None)], SCHEMAS["posts"])
+    pt = t.post_tags(posts)
+    assert rows(tot.tech_rel(pt)) == [("a", "b", 1, 1), ("b", "a", 1, 1)]
+    assert tot.tag_date(pt).count() == 0
