@@ -52,6 +52,12 @@ def trend_extents(trend: DataFrame) -> DataFrame:
                      F.max(F.greatest("tech", "tech1", "tech2")).cast("bigint").alias("max_value"))
 
 
+def bar_extents(edge_long: DataFrame) -> DataFrame:
+    """A12, bar chart: the largest value per rate (weight, count) over the
+    pair-strength bars, which scales each chart."""
+    return edge_long.groupBy("rate").agg(F.max("value").alias("max_value"))
+
+
 def compare_edge(tech_rel_df: DataFrame, tech_node_df: DataFrame, tech: str,
                  others: list[str]) -> DataFrame:
     """R2 + J5: the edge tech -> other with both node records, per other tag."""

@@ -174,6 +174,13 @@ TAILS = {
     "trend_extents": """SELECT min(make_date(year, month, 1)) AS first_month,
         max(make_date(year, month, 1)) AS last_month,
         CAST(max(greatest(tech, tech1, tech2)) AS BIGINT) AS max_value FROM trend""",
+    "bar_extents": """SELECT rate, max(value) AS max_value FROM (
+        SELECT 'weight' AS rate, weight AS value FROM tech_rel
+        WHERE technode1 = 'red-plate' AND technode2 IN ('small-widget', 'hot-ring')
+        UNION ALL
+        SELECT 'count', cnt FROM tech_rel
+        WHERE technode1 = 'red-plate' AND technode2 IN ('small-widget', 'hot-ring'))
+        GROUP BY rate""",
     "compare_edge": """SELECT e.technode1, e.technode2, e.weight, e.cnt, a.weight AS weight1,
         a.cnt AS cnt1, b.weight AS weight2, b.cnt AS cnt2
         FROM tech_rel e JOIN tech_node a ON a.technode = e.technode1

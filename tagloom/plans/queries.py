@@ -234,6 +234,10 @@ def q_trend_extents(spark, sf):
     return cmp.trend_extents(q_monthly_trend(spark, sf))
 
 
+def q_bar_extents(spark, sf):
+    return cmp.bar_extents(q_compare_edge_long(spark, sf))
+
+
 def q_compare_edge(spark, sf):
     tb = tables(spark, sf)
     return cmp.compare_edge(tb.tech_rel, tb.tech_node, TECH, [TECH_WITH, TECH_OR])

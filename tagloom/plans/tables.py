@@ -105,10 +105,12 @@ def compare(tables: TagTables, tech: str, tech_with: str, tech_or: str) -> dict[
     """The page's four sections for ``tech`` against ``tech_with`` and
     ``tech_or`` (plus the second comparison of sections 3 and 4)."""
     trend = cmp.monthly_trend(tables.tag_date, tech, tech_with, tech_or)
+    bars = cmp.compare_edge_long(tables.tech_rel, tech, [tech_with, tech_or])
     return {
         "compare_edge": cmp.compare_edge(tables.tech_rel, tables.tech_node, tech,
                                          [tech_with, tech_or]),
-        "compare_edge_long": cmp.compare_edge_long(tables.tech_rel, tech, [tech_with, tech_or]),
+        "compare_edge_long": bars,
+        "bar_extents": cmp.bar_extents(bars),
         "monthly_trend": trend,
         "trend_extents": cmp.trend_extents(trend),
         "common_contributors": cmp.common_contributors(tables.user_tech, tech, tech_with),
