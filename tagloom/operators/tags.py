@@ -139,7 +139,10 @@ def half_pair_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKEN
         F.array_distinct("tags"),
         lambda t: F.struct(t.alias("tag"),
                            F.size(F.filter("tags", lambda y: y == t)).cast("bigint").alias("m")))
-    a = small.select("weight", F.explode(counted).alias("a"), counted.alias("tms"))
+    # the counts are computed once per post, then exploded (not recomputed
+    # for every exploded row)
+    a = (small.select("weight", counted.alias("tms"))
+         .select("weight", "tms", F.explode("tms").alias("a")))
     inline = (a.select("weight", "a",
                        F.explode(F.filter("tms", lambda b: b["tag"] > F.col("a.tag"))).alias("b"))
               .select(F.col("a.tag").alias("tech1"), F.col("b.tag").alias("tech2"),
