@@ -206,3 +206,9 @@ def stream_comments(spark: SparkSession, source_dir: str, store: TotalsStore,
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
+
+
+def merge_batch(store: TotalsStore, deltas: dict[str, DataFrame], batch_id: str) -> bool:
+    """The entry point ``merge_batch(tables, delta, batch_id)``: merge one
+    batch's totals into the store once (see ``TotalsStore.apply``)."""
+    return store.apply(batch_id, deltas)

@@ -41,3 +41,12 @@ def make_posts(spark):
         data = [(i, tags, a, c, f, dt.datetime.fromisoformat(d)) for i, tags, a, c, f, d in items]
         return spark.createDataFrame(data, SCHEMAS["posts"])
     return make
+
+
+def raw_named(src):
+    """The three source frames with the original column names."""
+    from tagloom.sources.qa import RAW_COLUMNS
+    out = {}
+    for kind, df in (("posts", src.posts), ("comments", src.comments), ("users", src.users)):
+        out[kind] = df.select(*[df[ours].alias(raw) for raw, ours in RAW_COLUMNS[kind].items()])
+    return out

@@ -4,7 +4,7 @@ server, no port)."""
 import uuid
 
 import pytest
-from conftest import SF001, rows
+from conftest import SF001, raw_named, rows
 
 from tagloom.sinks.writers import write_jdbc
 from tagloom.sources import jdbc
@@ -53,21 +53,13 @@ def test_totals_to_jdbc(spark, url):
     assert back.count() == 62
 
 
-def _raw(src):
-    from tagloom.sources.qa import RAW_COLUMNS
-    out = {}
-    for kind, df in (("posts", src.posts), ("comments", src.comments), ("users", src.users)):
-        out[kind] = df.select(*[df[ours].alias(raw) for raw, ours in RAW_COLUMNS[kind].items()])
-    return out
-
-
 def test_sources_with_original_column_names(spark, scratch, url):
     """Tables with the original column names, from Parquet and over JDBC,
     give the same totals as the package's own views."""
     from tagloom.plans.tables import TagTables
     from tagloom.sources.qa import read_sources, read_sources_jdbc
     src = load_sources(spark, SF001)
-    raw = _raw(src)
+    raw = raw_named(src)
     paths = {}
     for kind, df in raw.items():
         paths[kind] = f"{scratch}/{kind}"
