@@ -202,7 +202,11 @@ def stream_comments(spark: SparkSession, source_dir: str, store: TotalsStore,
               .option("maxFilesPerTrigger", files_per_batch).parquet(source_dir))
 
     def merge(batch: DataFrame, epoch_id: int) -> None:
-        apply_comment_batch(store, batch, posts, users, f"{prefix}-{epoch_id}")
+        batch.persist()          # read twice: the post-id probe, then the merge
+        try:
+            apply_comment_batch(store, batch, posts, users, f"{prefix}-{epoch_id}")
+        finally:
+            batch.unpersist()
 
     return (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
