@@ -59,10 +59,13 @@ def user_vertices(user_tech_df: DataFrame) -> DataFrame:
 
 
 def contribute_edges(user_tech_df: DataFrame, tech_node_df: DataFrame) -> DataFrame:
-    """K6 + J4: user -> tag edges whose tag is a vertex: ``user_id, tech, weight, cnt``."""
+    """K6 + J4: user -> tag edges whose tag is a vertex: ``user_id, tech, weight, cnt``.
+    The tag name is written ASCII only (F8) and must then match a vertex name,
+    so a tag with other characters has no edge."""
     keys = tech_node_df.select(F.col("technode").alias("_v")).distinct()
-    return (user_tech_df.join(keys, user_tech_df.tech == keys._v, "left_semi")
-            .select("user_id", "tech", F.col("score").alias("weight"), "cnt"))
+    edges = user_tech_df.select("user_id", ascii_only("tech").alias("tech"),
+                                F.col("score").alias("weight"), "cnt")
+    return edges.join(keys, edges.tech == keys._v, "left_semi")
 
 
 def repair_user_names(users_df: DataFrame, name: str = "name",

@@ -137,7 +137,9 @@ TAILS = {
         regexp_replace(user_name, '[^\x00-\x7F]', '', 'g') AS name,
         coalesce(regexp_replace(user_website, '[^\x00-\x7F]', '', 'g'), '') AS website
         FROM user_tech""",
-    "contribute_edges": """SELECT user_id, tech, score AS weight, cnt FROM user_tech
+    "contribute_edges": r"""SELECT user_id, tech, weight, cnt FROM (
+        SELECT user_id, regexp_replace(tech, '[^\x00-\x7F]', '', 'g') AS tech,
+               score AS weight, cnt FROM user_tech)
         WHERE tech IN (SELECT technode FROM tech_node)""",
     "repair_user_names": """SELECT id,
         CASE WHEN regexp_matches(n, '[()]')

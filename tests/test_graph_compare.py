@@ -34,8 +34,11 @@ def test_user_vertices_and_contribute_edges(spark):
     ut = spark.createDataFrame([(1, "bøb", None, "a", 3, 1), (1, "bøb", None, "x", 1, 1),
                                 (2, "ann", "http://w", "a", 2, 2)], UT)
     assert rows(g.user_vertices(ut)) == [(1, "bb", ""), (2, "ann", "http://w")]
-    node = spark.createDataFrame([("a", 1, 1)], NODE)
+    node = spark.createDataFrame([("a", 1, 1), ("cafe", 1, 1), ("café", 1, 1)], NODE)
     assert rows(g.contribute_edges(ut, node)) == [(1, "a", 3, 1), (2, "a", 2, 2)]
+    ut2 = spark.createDataFrame([(3, "u", None, "café", 1, 1)], UT)
+    # written as "caf", which is no vertex name: no edge (F8 + J4)
+    assert g.contribute_edges(ut2, node).count() == 0
 
 
 def test_repair_spoilt_names(spark):
