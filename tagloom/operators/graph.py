@@ -70,8 +70,10 @@ def contribute_edges(user_tech_df: DataFrame, tech_node_df: DataFrame) -> DataFr
 
 def repair_user_names(users_df: DataFrame, name: str = "name",
                       website: str = "website") -> DataFrame:
-    """P9 + F14 + D20: a name that is a printed tuple ``("bob","http://x",3)``
-    becomes name ``bob`` and website ``http://x``; others keep their website
-    ('' when missing)."""
-    return users_df.select("id", repaired_name(name).alias("name"),
-                           repaired_website(name, website).alias("website"))
+    """P9 + F14 + D20 (+ F8): a name that is a printed tuple
+    ``("bob","http://x",3)`` becomes name ``bob`` and website ``http://x``;
+    others keep their website ('' when missing). Name and website are made
+    ASCII only first, as they are written."""
+    n, w = ascii_only(name), ascii_only(website)
+    return users_df.select("id", repaired_name(n).alias("name"),
+                           repaired_website(n, w).alias("website"))

@@ -141,16 +141,19 @@ TAILS = {
         SELECT user_id, regexp_replace(tech, '[^\x00-\x7F]', '', 'g') AS tech,
                score AS weight, cnt FROM user_tech)
         WHERE tech IN (SELECT technode FROM tech_node)""",
-    "repair_user_names": """SELECT id,
+    "repair_user_names": r"""SELECT id,
         CASE WHEN regexp_matches(n, '[()]')
              THEN string_split(regexp_replace(n, '[()"]', '', 'g'), ',')[1] ELSE n END AS name,
         CASE WHEN regexp_matches(n, '[()]')
              THEN coalesce(string_split(regexp_replace(n, '[()"]', '', 'g'), ',')[2], '')
              ELSE coalesce(w, '') END AS website
-        FROM (SELECT id, website_url AS w,
-                     CASE WHEN id % 3 = 0
-                          THEN '("' || display_name || '",' || coalesce(website_url, '') || ',3)'
-                          ELSE display_name END AS n FROM users)""",
+        FROM (SELECT id, regexp_replace(w0, '[^\x00-\x7F]', '', 'g') AS w,
+                     regexp_replace(n0, '[^\x00-\x7F]', '', 'g') AS n
+              FROM (SELECT id, website_url AS w0,
+                           CASE WHEN id % 3 = 0
+                                THEN '("' || display_name || '",' || coalesce(website_url, '')
+                                     || ',3)'
+                                ELSE display_name END AS n0 FROM users))""",
     "merge_rel": """SELECT technode1, technode2, CAST(sum(weight) AS BIGINT) AS weight,
         CAST(sum(cnt) AS BIGINT) AS cnt FROM (
           SELECT tech1 AS technode1, tech2 AS technode2, sum(weight) AS weight, count(*) AS cnt

@@ -44,10 +44,11 @@ def test_user_vertices_and_contribute_edges(spark):
 def test_repair_spoilt_names(spark):
     users = spark.createDataFrame(
         [(1, '("bob","http://x",3)', None), (2, "plain", None), (3, "odd (name)", "http://s"),
-         (4, "ann", "http://a")], "id bigint, name string, website string")
+         (4, "ann", "http://a"), (5, '("zoë","http://z",1)', None)],
+        "id bigint, name string, website string")
     got = rows(g.repair_user_names(users))
     assert got == [(1, "bob", "http://x"), (2, "plain", ""), (3, "odd name", ""),
-                   (4, "ann", "http://a")]                 # D20 for id 3
+                   (4, "ann", "http://a"), (5, "zo", "http://z")]    # D20 for id 3
 
 
 def _tag_date(spark, items):
