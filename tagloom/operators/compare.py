@@ -60,13 +60,32 @@ def bar_extents(edge_long: DataFrame) -> DataFrame:
 
 def compare_edge(tech_rel_df: DataFrame, tech_node_df: DataFrame, tech: str,
                  others: list[str]) -> DataFrame:
-    """R2 + J5: the edge tech -> other with both node records, per other tag."""
+    """R2 + J5: the edge tech -> other with both node records, per other tag.
+
+    Both endpoints are looked up in one join: each edge row becomes its two
+    ends, joined once to the vertices, and folded back per edge (an edge
+    needs both ends, as with two inner joins). Two separate joins would let
+    Spark push a different tag filter into each side, so the vertex totals
+    would be computed twice from the posts; here they are computed once.
+    """
     e = tech_rel_df.where((F.col("technode1") == tech) & F.col("technode2").isin(*others))
-    a = tech_node_df.select(F.col("technode").alias("technode1"),
-                            F.col("weight").alias("weight1"), F.col("cnt").alias("cnt1"))
-    b = tech_node_df.select(F.col("technode").alias("technode2"),
-                            F.col("weight").alias("weight2"), F.col("cnt").alias("cnt2"))
-    return (e.join(a, "technode1").join(b, "technode2")
+    ends = e.select("technode1", "technode2", "weight", "cnt",
+                    F.explode(F.array(
+                        F.struct(F.col("technode1").alias("node"), F.lit(1).alias("side")),
+                        F.struct(F.col("technode2").alias("node"), F.lit(2).alias("side"))))
+                    .alias("end"))
+    v = tech_node_df.select(F.col("technode").alias("_node"), F.col("weight").alias("_w"),
+                            F.col("cnt").alias("_c"))
+    one = F.col("end.side") == 1
+    two = F.col("end.side") == 2
+    return (ends.join(v, ends["end.node"] == v["_node"])
+            .groupBy("technode1", "technode2", "weight", "cnt")
+            .agg(F.max(F.when(one, F.col("_w"))).alias("weight1"),
+                 F.max(F.when(one, F.col("_c"))).alias("cnt1"),
+                 F.max(F.when(two, F.col("_w"))).alias("weight2"),
+                 F.max(F.when(two, F.col("_c"))).alias("cnt2"),
+                 F.count(F.lit(1)).alias("_ends"))
+            .where(F.col("_ends") == 2)
             .select("technode1", "technode2", "weight", "cnt", "weight1", "cnt1",
                     "weight2", "cnt2"))
 

@@ -139,3 +139,9 @@ def test_year_partitioned_write_keeps_every_row(spark, scratch):
     assert rows(back, "year", "day", "tech", "app_num") == rows(td, "year", "day", "tech", "app_num")
     assert read_year_table(spark, f"{scratch}/date", [2009]).count() == \
         td.where("year = 2009").count()
+
+
+def test_compare_edge_needs_both_vertices(spark):
+    rel = spark.createDataFrame([("a", "b", 5, 2), ("a", "c", 7, 3)], REL)
+    node = spark.createDataFrame([("a", 10, 4), ("b", 6, 3)], NODE)       # no vertex c
+    assert rows(cmp.compare_edge(rel, node, "a", ["b", "c"])) == [("a", "b", 5, 2, 10, 4, 6, 3)]

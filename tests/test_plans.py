@@ -114,3 +114,12 @@ def test_day_range_prunes_year_partitions(spark, scratch):
 
 def rows_equal(a, b) -> bool:
     return sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_compare_edge_aggregates_vertices_once(spark):
+    df = queries()["compare_edge"](spark, SF001)
+    df.collect()
+    p = plan(df).split("== Initial Plan ==")[0]
+    # one shuffle for the vertex totals (grouped by tag), one for the pairs
+    assert p.count("Exchange hashpartitioning(tag") == 1
+    assert p.count("Exchange hashpartitioning(tech1") == 1
