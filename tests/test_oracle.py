@@ -11,6 +11,7 @@ from __spark_entry__ import entry, oracle_sql, queries
 from tools.oracle_check import value_hash
 
 TABLES = ("supplier", "part", "orders", "lineitem")
+DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "date": "DATE"}
 
 
 @pytest.fixture(scope="module")
@@ -33,6 +34,11 @@ def test_query_matches_oracle(spark, con, name):
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    # same column types as DuckDB reports for the oracle
+    spark_types = {f.name: DUCK_TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {oracle_sql()[name]}").fetchall()}
+    assert spark_types == duck_types
     assert len(srows) == len(orows)
     assert value_hash(df.columns, srows) == value_hash(ocols, orows)
 
