@@ -60,9 +60,19 @@ def tag_tokens(post_tags_df: DataFrame) -> DataFrame:
                                F.explode(split_tags("techlist")).alias("tag"))
 
 
-def _split_by_size(arr: DataFrame, inline_max: int) -> tuple[DataFrame, DataFrame]:
-    n = F.size("tags")
-    return arr.where(n <= inline_max), arr.where(n > inline_max)
+def _split_by_size(post_tags_df: DataFrame,
+                   inline_max: int) -> tuple[DataFrame, DataFrame]:
+    """Posts with at most ``inline_max`` tokens, and the others, as tag arrays.
+
+    A list of n tokens is at least 2n-1 characters long (a character per token,
+    a blank between), so the big side first keeps only texts of at least
+    2*inline_max+1 characters: a length test that spares nearly every post the
+    split (the conjuncts are evaluated in order)."""
+    small = with_tag_array(post_tags_df)
+    small = small.where(F.size("tags") <= inline_max)
+    big = with_tag_array(post_tags_df.where(F.length("techlist") >= 2 * inline_max + 1))
+    big = big.where(F.size("tags") > inline_max)
+    return small, big
 
 
 def _salted_self_join(left: DataFrame, right: DataFrame, left_salt: Column,
@@ -104,7 +114,7 @@ def tag_pairs(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
 
     For a big post the pair (a, b) of distinct tags stands for m_a*m_b rows
     of the nested loop; they are expanded after the join."""
-    small, big = _split_by_size(with_tag_array(post_tags_df), inline_max)
+    small, big = _split_by_size(post_tags_df, inline_max)
     inline = (small.select("id", "day", "weight", "tags", F.explode("tags").alias("tech1"))
               .select("id", "day", "weight", "tech1",
                       F.explode(F.filter("tags", lambda y: y != F.col("tech1"))).alias("tech2")))
@@ -117,7 +127,7 @@ def tag_pairs(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
 def token_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
     """Distinct tags of each post with their multiplicity:
     ``id, day, weight, n, tag, m`` (n = tokens in the post)."""
-    small, big = _split_by_size(with_tag_array(post_tags_df), inline_max)
+    small, big = _split_by_size(post_tags_df, inline_max)
     counted = F.transform(
         F.array_distinct("tags"),
         lambda t: F.struct(t.alias("tag"),
@@ -134,7 +144,7 @@ def half_pair_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKEN
     """Rewrite W2 at post level: for distinct tags a < b of one post, the
     reference emits m_a*m_b rows (a, b) and as many (b, a). Returns
     ``tech1 < tech2, weight = post weight * m_a*m_b, cnt = m_a*m_b``."""
-    small, big = _split_by_size(with_tag_array(post_tags_df), inline_max)
+    small, big = _split_by_size(post_tags_df, inline_max)
     counted = F.transform(
         F.array_distinct("tags"),
         lambda t: F.struct(t.alias("tag"),
