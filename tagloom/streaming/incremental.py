@@ -29,12 +29,15 @@ from pyspark.sql.utils import AnalysisException
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..operators.merge import SPECS, merge_totals
-from ..sinks.writers import write_table
+from ..sinks.writers import write_jdbc, write_table
+from ..sources.jdbc import read_jdbc
 from ..sources.fixtures import SCHEMAS
 
 LEDGER_SCHEMA = "batch_id string, table string, part int, version int"
 WHOLE = -1                  # the part of a table that is not split by year
 BATCH_MARK = "_batch"       # one ledger row per applied batch, even an empty one
+JDBC_LEDGER_SCHEMA = "batch_id string, tbl string, part int, version int"
+JDBC_LEDGER_TYPES = "batch_id VARCHAR(256), tbl VARCHAR(64)"
 
 
 def post_batch_deltas(posts_batch: DataFrame) -> dict[str, DataFrame]:
@@ -85,6 +88,9 @@ class TotalsStore:
         except AnalysisException:
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
 
+    def _append_ledger(self, rows: DataFrame) -> None:
+        rows.coalesce(1).write.mode("append").parquet(self.ledger_path)
+
     def versions(self) -> dict[tuple[str, int], int]:
         """Latest version of every (table, part); part is the year, or WHOLE.
         A few rows per table: one per year at most."""
@@ -99,17 +105,21 @@ class TotalsStore:
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
 
+    def _read_part(self, name: str, part: int, version: int) -> DataFrame:
+        base = self.path(name, version)
+        if part == WHOLE:
+            return self.spark.read.parquet(base)
+        return (self.spark.read.option("basePath", base)
+                .parquet(f"{base}/{SPECS[name].partition_by[0]}={part}"))
+
+    def _write_version(self, df: DataFrame, name: str, version: int) -> None:
+        spec = SPECS[name]
+        write_table(df, self.path(name, version), "overwrite", spec.partition_by, spec.keys)
+
     def _read(self, name: str, parts: dict[int, int]) -> DataFrame | None:
         """The union of the given parts at their versions."""
         spec = SPECS[name]
-        frames = []
-        for part, v in sorted(parts.items()):
-            base = self.path(name, v)
-            if part == WHOLE:
-                frames.append(self.spark.read.parquet(base))
-            else:
-                frames.append(self.spark.read.option("basePath", base)
-                              .parquet(f"{base}/{spec.partition_by[0]}={part}"))
+        frames = [self._read_part(name, part, v) for part, v in sorted(parts.items())]
         if not frames:
             return None
         out = frames[0]
@@ -131,7 +141,7 @@ class TotalsStore:
         if not spec.partition_by:
             old = self._read(name, have)
             merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
-            write_table(merged, self.path(name, nv), "overwrite")
+            self._write_version(merged, name, nv)
             return [(batch_id, name, WHOLE, nv)]
         # the batch's delta is used twice (its years, then the write): kept
         # for this merge only; a lost block is recomputed from the batch
@@ -142,7 +152,7 @@ class TotalsStore:
                 return []
             old = self._read(name, {p: have[p] for p in touched if p in have})
             merged = delta.select(*spec.columns) if old is None else merge_totals(old, delta, spec)
-            write_table(merged, self.path(name, nv), "overwrite", spec.partition_by, spec.keys)
+            self._write_version(merged, name, nv)
             return [(batch_id, name, p, nv) for p in touched]
         finally:
             delta.unpersist()
@@ -158,11 +168,57 @@ class TotalsStore:
             have = {p: v for (t, p), v in current.items() if t == name}
             written += self._merge_one(batch_id, name, delta, have)
         # the commit: one append of the ledger rows
-        (self.spark.createDataFrame(written, LEDGER_SCHEMA).coalesce(1)
-         .write.mode("append").parquet(self.ledger_path))
+        self._append_ledger(self.spark.createDataFrame(written, LEDGER_SCHEMA))
         return True
 
 
+class JdbcTotalsStore(TotalsStore):
+    """The same store in a database (the original kept its totals there).
+
+    Version n of a table is the table ``<PREFIX>_<NAME>_V<n>``; the ledger is
+    the table ``<PREFIX>_LEDGER``, appended in one single-partition write,
+    which is one transaction. The ledger table is created up front (an
+    ``ignore`` write), so a failed ledger read is an error, never an empty
+    store. A year part is read with ``year = p`` pushed into the database.
+    """
+
+    def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None,
+                 prefix: str = "TAGLOOM"):
+        self.spark = spark
+        self.url = url
+        self.props = dict(properties or {})
+        self.prefix = prefix.upper()
+        empty = spark.createDataFrame([], JDBC_LEDGER_SCHEMA)
+        write_jdbc(empty, url, self.ledger_table, mode="ignore",
+                   properties={**self.props, "createTableColumnTypes": JDBC_LEDGER_TYPES})
+
+    @property
+    def ledger_table(self) -> str:
+        return f"{self.prefix}_LEDGER"
+
+    def table_name(self, name: str, version: int) -> str:
+        return f"{self.prefix}_{name.upper()}_V{version}"
+
+    def ledger(self) -> DataFrame:
+        return (read_jdbc(self.spark, self.url, table=self.ledger_table, properties=self.props)
+                .select("batch_id", F.col("tbl").alias("table"), "part", "version"))
+
+    def _append_ledger(self, rows: DataFrame) -> None:
+        write_jdbc(rows.withColumnRenamed("table", "tbl").coalesce(1), self.url,
+                   self.ledger_table, mode="append", properties=self.props)
+
+    def _read_part(self, name: str, part: int, version: int) -> DataFrame:
+        df = read_jdbc(self.spark, self.url, table=self.table_name(name, version),
+                       properties=self.props)
+        if part == WHOLE:
+            return df
+        return df.where(F.col(SPECS[name].partition_by[0]) == part)
+
+    def _write_version(self, df: DataFrame, name: str, version: int) -> None:
+        write_jdbc(df, self.url, self.table_name(name, version), mode="overwrite",
+                   properties=self.props)
+
+
 def apply_post_batch(store: TotalsStore, posts_batch: DataFrame, batch_id: str) -> bool:
     return store.apply(batch_id, post_batch_deltas(posts_batch))
 

@@ -73,3 +73,34 @@ def test_sources_with_original_column_names(spark, scratch, url):
         assert rows(tables.tech_rel) == rows(want.tech_rel)
         assert rows(tables.user_tech) == rows(want.user_tech)
         assert rows(tables.tag_list) == rows(want.tag_list)
+
+
+def test_totals_store_in_a_database(spark, url):
+    """A9 + D19 into database tables: id batches merged once each, a replay
+    skipped, the result equal to the one-shot totals."""
+    from tagloom.operators import tags as t
+    from tagloom.operators import totals as tot
+    from tagloom.sources import batches as b
+    from tagloom.streaming.incremental import (JdbcTotalsStore, apply_comment_batch,
+                                               apply_post_batch)
+    src = load_sources(spark, SF001)
+    store = JdbcTotalsStore(spark, url, PROPS)
+    for low, high in b.batch_bounds(0, 1499, 600):
+        assert apply_post_batch(store, b.id_batch(src.posts, low, high), f"posts-{low}")
+    assert not apply_post_batch(store, b.id_batch(src.posts, 0, 600), "posts-0")
+    for low, high in b.batch_bounds(0, 15_000, 8_000):
+        assert apply_comment_batch(store, b.id_batch(src.comments, low, high), src.posts,
+                                   src.users, f"comments-{low}")
+    pt = t.post_tags(src.posts)
+    assert rows(store.table("tech_rel")) == rows(tot.tech_rel(pt))
+    assert rows(store.table("tech_node")) == rows(tot.tech_node(pt))
+    assert rows(store.table("tag_date")) == rows(tot.tag_date(pt))
+    assert rows(store.table("tag_list", years=[1996])) == \
+        rows(tot.tag_list(pt).where("year = 1996"))
+    assert rows(store.table("user_tech")) == rows(tot.user_tech(pt, src.comments, src.users))
+    assert store.versions()[("tech_rel", -1)] == 2
+    # a second store object on the same database sees the same state
+    again = JdbcTotalsStore(spark, url, PROPS)
+    assert again.applied("posts-600") and not again.applied("posts-9")
+    p = again.table("tag_date", years=[1997])._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [*IsNotNull(year), *EqualTo(year,1997)]" in p
