@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 from .plans.jobs import run_build, run_incremental, serve_compare
 from .session import apply_scale_conf
 from .sources.qa import read_sources
-from .streaming.incremental import TotalsStore
+from .streaming.incremental import JdbcTotalsStore, TotalsStore
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -30,8 +30,12 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--comments", required=True)
         s.add_argument("--users", required=True)
         s.add_argument("--format", default="parquet")
-        s.add_argument("--out", required=True, help="output folder (shared file system)")
+        s.add_argument("--out", required=(name == "build"),
+                       help="output folder (shared file system)")
     inc = sub.choices["incremental"]
+    inc.add_argument("--jdbc-url", default=None,
+                     help="keep the totals in this database instead of --out")
+    inc.add_argument("--jdbc-driver", default=None)
     inc.add_argument("--posts-per-batch", type=int, default=None)
     inc.add_argument("--comments-per-batch", type=int, default=None)
     page = sub.add_parser("page")
@@ -54,7 +58,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         else:
             kw = {k: v for k, v in (("posts_per_batch", args.posts_per_batch),
                                     ("comments_per_batch", args.comments_per_batch)) if v}
-            n = run_incremental(spark, sources, TotalsStore(spark, args.out), **kw)
+            if args.jdbc_url:
+                props = {"driver": args.jdbc_driver} if args.jdbc_driver else {}
+                store = JdbcTotalsStore(spark, args.jdbc_url, props)
+            elif args.out:
+                store = TotalsStore(spark, args.out)
+            else:
+                raise SystemExit("incremental needs --out or --jdbc-url")
+            n = run_incremental(spark, sources, store, **kw)
             print(f"batches applied\t{n}")
     else:
         for name, df in serve_compare(spark, args.tables, args.tech, args.tech_with,

@@ -22,3 +22,24 @@ def test_job_entry_points(spark, scratch, capsys):
     out = capsys.readouterr().out
     assert "graph_edges\t" in out and "batches applied\t6" in out and "== monthly_trend" in out
     assert spark.read.parquet(f"{scratch}/tables/graph_edges").count() == 1550
+
+
+def test_incremental_job_into_a_database(spark, scratch, capsys):
+    import uuid
+
+    from tagloom.__main__ import main
+    from tagloom.streaming.incremental import JdbcTotalsStore
+    src = load_sources(spark, SF001)
+    for kind, df in raw_named(src).items():
+        df.write.parquet(f"{scratch}/{kind}")
+    url = f"jdbc:derby:memory:job{uuid.uuid4().hex[:8]};create=true"
+    args = ["incremental", "--posts", f"{scratch}/posts", "--comments", f"{scratch}/comments",
+            "--users", f"{scratch}/users", "--jdbc-url", url,
+            "--jdbc-driver", "org.apache.derby.jdbc.EmbeddedDriver",
+            "--posts-per-batch", "800", "--comments-per-batch", "9000"]
+    assert main(args, spark) == 0
+    assert main(args, spark) == 0
+    out = capsys.readouterr().out
+    assert "batches applied\t4" in out and "batches applied\t0" in out
+    store = JdbcTotalsStore(spark, url, {"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
+    assert store.table("tech_node").count() == 62
