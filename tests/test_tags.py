@@ -98,3 +98,25 @@ def test_record_without_day(spark):
     pt = t.post_tags(posts)
     assert rows(tot.tech_rel(pt)) == [("a", "b", 1, 1), ("b", "a", 1, 1)]
     assert tot.tag_date(pt).count() == 0
+
+
+def test_cleanup_matches_string_steps_on_random_text(spark):
+    """F1-F3 on 600 random tag strings (brackets, blanks, letters, a non-ASCII
+    letter) against the plain string steps: '<' and '>' to a blank, one pass
+    of double blank to blank, strip, split at a blank, empty tokens dropped."""
+    import random
+
+    from tagloom.functions.tags import clean_tag_text, split_tags
+    rnd = random.Random(7)
+    alphabet = ["<", ">", " ", "a", "b", "c", "é", "-", "+"]
+    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 30)))
+             for _ in range(600)]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(texts)], "i int, tags string")
+    got = {r["i"]: (r["techlist"], list(r["tokens"])) for r in df.select(
+        "i", clean_tag_text("tags").alias("techlist"),
+        split_tags(clean_tag_text("tags")).alias("tokens")).collect()}
+    for i, s in enumerate(texts):
+        text = s.replace("<", " ").replace(">", " ").replace("  ", " ").strip()
+        want = [x for x in text.split(" ") if x != ""]
+        assert got[i] == (text, want), s
+    # (the trim removes blanks; tag strings hold no tabs or line breaks)
