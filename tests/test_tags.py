@@ -120,3 +120,17 @@ def test_cleanup_matches_string_steps_on_random_text(spark):
         want = [x for x in text.split(" ") if x != ""]
         assert got[i] == (text, want), s
     # (the trim removes blanks; tag strings hold no tabs or line breaks)
+
+
+def test_lists_equal_after_cleanup_group_together(make_posts):
+    """The list text is cleaned and cut before grouping, so lists that
+    differ only in non-ASCII letters, or beyond the cut, are one row."""
+    long_a = "".join(f"<t{i:05d}>" for i in range(200)) + "<xa>"
+    long_b = "".join(f"<t{i:05d}>" for i in range(200)) + "<xb>"
+    posts = make_posts([(1, "<café><b>", 1, 0, 0, "2011-02-03"),
+                        (2, "<caf><b>", 2, 0, 0, "2011-02-03"),
+                        (3, long_a, 1, 0, 0, "2011-02-03"),
+                        (4, long_b, 1, 0, 0, "2011-02-03")])
+    got = rows(tot.tag_list(t.post_tags(posts)), "techlist", "weight", "app_num")
+    assert got[0] == ("caf b", 3, 2)
+    assert len(got) == 2 and len(got[1][0]) == 990 and got[1][1:] == (2, 2)
