@@ -49,13 +49,13 @@ def per_session(spark: SparkSession, key: tuple, build):
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "tagloom") -> SparkSession:
+                  app: str = "tagloom", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A ``local[cpus]`` session for tests and the bench."""
     builder = (SparkSession.builder.master(f"local[{cpus}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "8g")
                .config("spark.ui.showConsoleProgress", "false"))
-    for key, value in SCALE_CONF.items():
+    for key, value in {**SCALE_CONF, **(extra_conf or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
