@@ -1,8 +1,9 @@
 """The slowest stages of a run, from a Spark event log.
 
 Usage: python tools/stage_times.py <event log file or folder> [top]
-Reads the JSON event lines (SparkListenerStageCompleted) and prints, per
-stage, its duration, task count and name, slowest first.
+Reads the JSON event lines and prints, per stage, its duration, task count
+and the job description it ran under (bench.py names each query), slowest
+first, then the stage seconds summed per description.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ def stages(path: str) -> list[tuple[float, int, int, str]]:
                        for f in names if not f.startswith("."))
     else:
         files = [path]
-    out = []
+    out, label = [], {}
     for fname in files:
         with _open(fname) as f:
             for line in f:
@@ -38,6 +39,10 @@ def stages(path: str) -> list[tuple[float, int, int, str]]:
                     continue
                 if not isinstance(ev, dict):
                     continue
+                if ev.get("Event") == "SparkListenerJobStart":
+                    desc = (ev.get("Properties") or {}).get("spark.job.description")
+                    for sid in ev.get("Stage IDs", []):
+                        label.setdefault(sid, desc)
                 if ev.get("Event") != "SparkListenerStageCompleted":
                     continue
                 info = ev["Stage Info"]
@@ -46,7 +51,7 @@ def stages(path: str) -> list[tuple[float, int, int, str]]:
                     continue
                 out.append(((end - start) / 1000.0, info["Stage ID"],
                             info["Number of Tasks"], info["Stage Name"]))
-    return sorted(out, reverse=True)
+    return sorted(((s, i, n, label.get(i) or name) for s, i, n, name in out), reverse=True)
 
 
 def main() -> None:
@@ -55,6 +60,12 @@ def main() -> None:
     print(f"{len(rows)} stages, {sum(r[0] for r in rows):.1f} s in total")
     for secs, sid, tasks, name in rows[:top]:
         print(f"{secs:8.2f} s  stage {sid:5d}  {tasks:5d} tasks  {name[:70]}")
+    per = {}
+    for secs, _, _, name in rows:
+        per[name] = per.get(name, 0.0) + secs
+    print("stage seconds per job description:")
+    for name, secs in sorted(per.items(), key=lambda x: -x[1])[:top]:
+        print(f"{secs:8.2f} s  {name[:70]}")
 
 
 if __name__ == "__main__":
