@@ -26,8 +26,8 @@ def monthly_trend(tag_date_df: DataFrame, tech: str, tech_with: str, tech_or: st
                   drop_last: bool = True) -> DataFrame:
     """R1 + A8 + P7 + P8 + F11 + F12 + T4: one row per month where any of the
     three tags occurs, their summed appNum side by side (0 when absent); the
-    last month is dropped (D12). The year filter of a year-partitioned table
-    and the tag filter reach the scan."""
+    last month is dropped (D12); the years come from the data (D18). On a
+    stored table the tag filter is pushed into the scan as an IN filter."""
     t = tag_date_df.where(F.col("tech").isin(tech, tech_with, tech_or))
     by_month = (t.groupBy(F.year("day").alias("year"), F.month("day").alias("month"))
                 .agg(*[F.coalesce(F.sum(F.when(F.col("tech") == name, F.col("app_num"))),
