@@ -123,3 +123,14 @@ def test_compare_edge_aggregates_vertices_once(spark):
     # one shuffle for the vertex totals (grouped by tag), one for the pairs
     assert p.count("Exchange hashpartitioning(tag") == 1
     assert p.count("Exchange hashpartitioning(tech1") == 1
+
+
+def test_trend_tag_filter_reaches_stored_scan(spark, scratch):
+    from tagloom.operators import compare as cmp
+    tables = TagTables(load_sources(spark, SF001))
+    write_table(tables.tag_date, f"{scratch}/tag_date", partition_by=("year",),
+                cluster_by=("day", "tech"))
+    df = cmp.monthly_trend(spark.read.parquet(f"{scratch}/tag_date"),
+                           "red-plate", "small-widget", "hot-ring")
+    df.collect()
+    assert "In(tech, [hot-ring,red-plate,small-widget])" in plan(df)
