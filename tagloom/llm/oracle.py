@@ -7,19 +7,19 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 LINE_DEDUP = f"""
 WITH split_lines AS (
-  SELECT doc_id, at, line,
+  SELECT doc_id, pos, line,
          translate(trim(line, {_BLANKS}), {_A_TO_Z}) AS key
-  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS at
+  FROM (SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos
         FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
 ), common AS (
   SELECT key, max(doc_id) AS keeper FROM split_lines
   WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3
 ), marked AS (
-  SELECT l.doc_id, l.at, l.line, c.key IS NOT NULL AND l.doc_id <> c.keeper AS gone
+  SELECT l.doc_id, l.pos, l.line, c.key IS NOT NULL AND l.doc_id <> c.keeper AS gone
   FROM split_lines l LEFT JOIN common c ON l.key = c.key
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (NOT gone), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
 
