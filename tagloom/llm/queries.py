@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tagloom.llm.bpe import encode_digests
 from tagloom.llm.common import table
+from tagloom.llm.license_scan import scan_licenses
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.minhash import near_duplicates
+from tagloom.llm.pii import digest, scan_pii
+
+
+def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_digests(table(spark, sf_dir, "documents"))
+
+
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(table(spark, sf_dir, "documents"))
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -17,11 +28,18 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest(scan_pii(table(spark, sf_dir, "documents")))
+
+
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_bpe": op1_bpe,
+    "op4_license_scan": op4_license_scan,
     "op5_line_dedup": op5_line_dedup,
+    "op8_pii": op8_pii,
     "op9_minhash": op9_minhash,
 }
