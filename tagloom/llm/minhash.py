@@ -5,21 +5,25 @@ are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased; a shorter document's whole
 word sequence is one shingle). The steps:
 
 1. One map pass gives each document its set size, a 128-bit fingerprint of the
-   set, ``ROWS * BANDS`` universal hash minima and a key for each band.
+   set, ``ROWS * BANDS`` universal hash minima (their low 16 bits are kept) and a
+   key for each band.
 2. Documents with one fingerprint are one class; its smallest id stands for it.
    Copies are never expanded into pairs.
 3. Classes that share a band key are candidates. In every band bucket each
    class is held against one pivot, first the smallest and then the largest
-   member. Pairs left between classes that are still in different components
-   are then listed, filtered by set size and by agreement of the minima.
-4. Every candidate is confirmed on both full shingle sets, taken from the
-   whole texts: 100 * intersection >= 75 * union. A pivot's members are spread
-   over salted partitions, each streaming past the pivot's set.
+   member. Members that are then still in different components are compared in
+   blocks of a bucket by set size and by agreement of the minima's low halves.
+   Only a spanning forest of the agreeing pairs comes out of a block pair; the
+   forests' components are clusters, in which all agreeing pairs are looked at.
+4. Every link is confirmed on both full shingle sets, taken from the whole
+   texts: 100 * intersection >= 75 * union. A pivot's members are spread over
+   salted partitions, each streaming past the pivot's set; a cluster's members
+   are confirmed in pairs of blocks, each giving a spanning forest of its links.
 5. Components by alternating large-star and small-star.
 
 At a similarity of exactly 0.75 a pair shares no band with probability
-(1 - 0.75**4)**32 = 5e-6. The minima filter passes pairs whose agreement is at
-least 0.75 less 5 standard deviations.
+(1 - 0.75**5)**40 = 2e-5. The minima filter passes pairs whose agreement is at
+least 0.75 less 4 standard deviations.
 
 Defined results: null, empty or wordless texts have an empty set and link with
 nothing; repeated rows with one id are one document; rows without an id are
@@ -44,7 +48,9 @@ from tagloom.llm.wordhash import NOT_SPACE, document_words, mix, slices
 
 SHINGLE = 5
 PERCENT = 75
-ROWS, BANDS = 4, 32
+ROWS, BANDS = 5, 40
+#: Members of a band bucket, and of a cluster of texts, that one block holds, about.
+BLOCK, TEXT_BLOCK = 512, 256
 #: Members of one pivot that share a partition, about; hubs are spread over SALTS partitions.
 SALTS = 64
 SEED = 20240917
@@ -102,7 +108,7 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if len(shingles):
                     prints.append(np.frombuffer(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest(), np.int64))
                     own = minima(shingles)
-                    least.append(own.tobytes())
+                    least.append(own.astype(np.uint16).tobytes())
                     keys.append(band_keys(own))
                 else:
                     prints.append((None, None))
@@ -185,24 +191,139 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return ends.where("coalesce(c_a, a) <> coalesce(c_b, b)").select("a", "b")
 
 
-def _agreement(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    least = int(np.floor((PERCENT / 100 - 5 * np.sqrt(0.75 * 0.25 / (ROWS * BANDS))) * ROWS * BANDS))
-    for batch in batches:
-        one, two = (
-            np.array([np.frombuffer(x, np.uint32) for x in batch.column(c).to_pylist()]).reshape(-1, ROWS * BANDS)
-            for c in ("m_a", "m_b")
-        )
-        keep = pa.array((one == two).sum(axis=1) >= least)
-        yield batch.select(["a", "b"]).filter(keep)
+def _agreeing_pairs(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of pairs of one block pair, of different components, whose minima agree as a similar pair's do."""
+    own, rep, n, label = (rows.column(c).to_numpy() for c in ("own", "rep", "n", "component"))
+    bi, bj = (rows.column(c)[0].as_py() for c in ("bi", "bj"))
+    left, right = np.flatnonzero(own == bi), np.flatnonzero(own == bj)
+    apart = label[left, None] != label[None, right]
+    fits = (n[left, None] * 100 >= n[None, right] * PERCENT) & (n[None, right] * 100 >= n[left, None] * PERCENT)
+    once = rep[left, None] < rep[None, right] if bi == bj else True
+    i, j = np.nonzero(apart & fits & once)
+    i, j = left[i], right[j]
+    low = np.frombuffer(b"".join(rows.column("low").to_pylist()), np.uint16).reshape(len(rep), -1)
+    total = ROWS * BANDS
+    least = int(np.floor((PERCENT / 100 - 4 * np.sqrt(0.75 * 0.25 / total)) * total))
+    keep = [
+        (low[i[at : at + 20_000]] == low[j[at : at + 20_000]]).sum(axis=1) >= least for at in range(0, len(i), 20_000)
+    ]
+    keep = np.concatenate(keep) if keep else np.empty(0, bool)
+    return i[keep], j[keep]
+
+
+def _forest(n: int, pairs: Iterator[tuple[int, int]], linked=None) -> Iterator[tuple[int, int]]:
+    """A spanning forest of those pairs for which ``linked`` holds; pairs already joined aren't asked."""
+    parent = list(range(n))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    for i, j in pairs:
+        a, b = root(i), root(j)
+        if a != b and (linked is None or linked(i, j)):
+            parent[b] = a
+            yield i, j
+
+
+def _agreeing_forest(rows: pa.Table) -> list[tuple[int, int]]:
+    i, j = _agreeing_pairs(rows)
+    return list(_forest(len(rows), zip(i.tolist(), j.tolist(), strict=True)))
+
+
+def _linked_forest(rows: pa.Table) -> list[tuple[int, int]]:
+    i, j = _agreeing_pairs(rows)
+    if not len(i):
+        return []
+    sets = list(_sets(rows.select(["text"]).combine_chunks().to_batches()[0]))
+
+    def linked(x: int, y: int) -> bool:
+        both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+        return 100 * both >= PERCENT * (len(sets[x]) + len(sets[y]) - both)
+
+    return list(_forest(len(rows), zip(i.tolist(), j.tolist(), strict=True), linked))
+
+
+def _in_blocks(forest):
+    """Forest edges of each block pair; rows come sorted by (group, bi, bj), so its rows are together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for whole in batches:
+            for batch in slices(whole, "text") if "text" in whole.schema.names else [whole]:
+                rows = pa.Table.from_batches([batch])
+                rows = rows if kept is None else pa.concat_tables([kept, rows]).combine_chunks()
+                new = np.zeros(len(rows), bool)
+                for c in ("group", "bi", "bj"):
+                    column = rows.column(c).to_numpy()
+                    new[1:] |= column[1:] != column[:-1]
+                edges = np.concatenate([[0], np.flatnonzero(new)])
+                yield _edges(forest, [rows.slice(x, y - x) for x, y in zip(edges[:-1], edges[1:], strict=True)])
+                kept = rows.slice(edges[-1])
+        if kept is not None and len(kept):
+            yield _edges(forest, [kept])
+
+    return run
+
+
+def _edges(forest, groups: list[pa.Table]) -> pa.RecordBatch:
+    a, b = [], []
+    for g in groups:
+        if len(g) > 1:
+            rep = g.column("rep").to_pylist()
+            for i, j in forest(g):
+                a.append(rep[i])
+                b.append(rep[j])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _block_pairs(members: DataFrame, block: int) -> DataFrame:
+    """Members (group, rep, component, ...) once for each block pair of their group that they take part in.
+
+    A group of m members is cut into m / block blocks by a hash; each pair of
+    blocks is a unit of work with a bounded number of rows, wherever it lands.
+    Groups whose members are all in one component already are left out.
+    """
+    mixed = (
+        members.groupBy("group")
+        .agg(F.min("component").alias("c1"), F.max("component").alias("c2"), F.count(F.lit(1)).alias("m"))
+        .where("c1 <> c2")
+        .select("group", F.ceil(F.col("m") / block).cast("int").alias("blocks"))
+    )
+    return (
+        members.join(mixed, "group")
+        .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .withColumn("bi", F.least("own", "other"))
+        .withColumn("bj", F.greatest("own", "other"))
+        .drop("other", "blocks")
+    )
 
 
-def _agreeing(pairs: DataFrame, sketch: DataFrame) -> DataFrame:
-    """The pairs whose minima agree about as often as a similar pair's would."""
-    ends = pairs
-    for end in ("a", "b"):
-        own = sketch.select(F.col("doc_id").alias(end), F.col("minima").alias(f"m_{end}")).dropDuplicates([end])
-        ends = ends.join(own, end)
-    return ends.select("a", "b", "m_a", "m_b").mapInArrow(_agreement, "a long, b long")
+def _left_over(buckets: DataFrame, label: DataFrame, sketch: DataFrame, texts: DataFrame, staged: Staged) -> DataFrame:
+    """Links (a, b) enough to join what the pivots have left apart."""
+    low = sketch.where("minima is not null").select(F.col("doc_id").alias("rep"), F.col("minima").alias("low"))
+    low = low.dropDuplicates(["rep"])
+
+    def run(units: DataFrame, forest) -> DataFrame:
+        dealt = units.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
+        return dealt.mapInArrow(_in_blocks(forest), "a long, b long")
+
+    placed = buckets.join(label, F.col("rep") == F.col("node"), "left").select(
+        F.col("key").alias("group"), "rep", "n", F.coalesce("component", "rep").alias("component")
+    )
+    agreeing = run(_block_pairs(placed, BLOCK).join(low, "rep"), _agreeing_forest)
+    clusters = components(staged.write(agreeing.distinct(), "agreeing"), staged, "clusters")
+    size = buckets.select("rep", "n").distinct()
+    placed = (
+        clusters.select(F.col("component").alias("group"), F.col("node").alias("rep"))
+        .join(size, "rep")
+        .join(label, F.col("rep") == F.col("node"), "left")
+        .select("group", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    )
+    units = _block_pairs(placed, TEXT_BLOCK).join(low, "rep").join(texts.withColumnRenamed("doc_id", "rep"), "rep")
+    return run(units, _linked_forest)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -230,22 +351,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     second = _apart(buckets.where("rep <> high").select(F.col("high").alias("a"), F.col("rep").alias("b")), label)
     edges = staged.write(edges.union(confirm(_best_pivot(second), candidates)), "edges-2")
     label = staged.write(components(edges, staged, "cc-2"), "label-2")
-    # what is left: pairs of a bucket whose members are still in different components
-    placed = buckets.select("key", "rep", "n").join(label, F.col("rep") == F.col("node"), "left").select(
-        "key", "rep", "n", F.coalesce("component", "rep").alias("component")
-    )
-    mixed = placed.groupBy("key").agg(F.min("component").alias("c1"), F.max("component").alias("c2")).where("c1 <> c2").select("key")
-    rest = staged.write(placed.join(mixed, "key", "left_semi"), "rest")
-    left, right = rest.alias("x"), rest.alias("y")
-    pairs = (
-        left.join(right, F.col("x.key") == F.col("y.key"))
-        .where("x.rep < y.rep and x.component <> y.component")
-        .where(f"x.n * 100 >= y.n * {PERCENT} and y.n * 100 >= x.n * {PERCENT}")
-        .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-        .distinct()
-    )
-    edges = staged.write(edges.union(confirm(_agreeing(pairs, sketch), candidates)), "edges-3")
-    staged.drop("rest", "texts", "buckets", "edges-1", "edges-2")
+    rest = _left_over(buckets.select("key", "rep", "n"), label, sketch, candidates, staged)
+    edges = staged.write(edges.union(rest), "edges-3")
+    staged.drop("texts", "buckets", "edges-1", "edges-2")
     label = staged.write(components(edges, staged, "cc-3"), "label-3")
     member = (
         sketch.join(classes, ["print1", "print2"], "left")
