@@ -94,17 +94,21 @@ def _rendered(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda p: F.concat_ws(":", F.lit(kind), p["start"], p["end"]))
 
 
+def _named(kind: str, spans: Column) -> Column:
+    return F.transform(spans, lambda p: F.concat(F.lit(f"{kind}:"), F.lower(p["found"])))
+
+
+def _replaced(kind: str, spans: Column) -> Column:
+    mark = F.lit("" if kind == "term" else f"[{kind.upper()}]")
+    return F.transform(spans, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), mark.alias("mark")))
+
+
 def _context_terms(docs: DataFrame) -> DataFrame:
     """doc_id, entity (kind and value), term and its place, from the lines that hold a base value."""
     text = F.col("text")
     lines = F.split(text, "\n", -1)
     lengths = F.transform(lines, lambda x: F.length(x) + 1)
-    values = F.concat(
-        *[
-            F.transform(base_spans(F.col("line"), kind), lambda p, kind=kind: F.concat(F.lit(f"{kind}:"), F.lower(p["found"])))
-            for kind in KINDS
-        ]
-    )
+    values = F.concat(*[_named(kind, base_spans(F.col("line"), kind)) for kind in KINDS])
     spans = F.concat(
         *[F.transform(base_spans(F.col("line"), kind), lambda p: F.struct(p["start"], p["end"])) for kind in KINDS]
     )
@@ -195,19 +199,7 @@ def redact(text: Column, kinds: tuple[str, ...] = (*KINDS, "term")) -> Column:
     Reads the span columns of ``scan_pii`` beside the text. Of overlapping
     spans the one that starts first is replaced, and the rest of the others.
     """
-    marked = F.array_sort(
-        F.concat(
-            *[
-                F.transform(
-                    F.col(kind),
-                    lambda p, kind=kind: F.struct(
-                        p["start"].alias("start"), p["end"].alias("end"), F.lit("" if kind == "term" else f"[{kind.upper()}]").alias("mark")
-                    ),
-                )
-                for kind in kinds
-            ]
-        )
-    )
+    marked = F.array_sort(F.concat(*[_replaced(kind, F.col(kind)) for kind in kinds]))
     start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
     return F.aggregate(
         marked,
