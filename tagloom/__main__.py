@@ -71,7 +71,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         for name, df in serve_compare(spark, args.tables, args.tech, args.tech_with,
                                       args.tech_or).items():
             print(f"== {name}")
-            df.show(truncate=False)
+            # whole sections: months and contributors, bounded by the page itself
+            df.show(df.count(), truncate=False)
     return 0
 
 

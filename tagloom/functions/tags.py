@@ -12,13 +12,10 @@ from pyspark.sql import Column, functions as F
 #   a post's tags arrive as one string "<a><b><c>";
 #   cleanup turns "<" and ">" into a blank, then one pass of "  " -> " ", then trim;
 #   tokens are split at a single blank;
-#   a tag-list text longer than 1000 characters is cut to its first 990;
 #   tag-list text and user fields keep ASCII characters only;
 #   an edge is named "<from>-<to>", a month label is "<year>-<month>" (no padding);
 #   a spoilt user name is a printed tuple: strip "(", ")" and '"', split at ",",
 #   part 1 is the name, part 2 the website.
-LIST_MAX_CHARS = 1000
-LIST_CUT_CHARS = 990
 NON_ASCII = "[^\\x00-\\x7F]"
 TUPLE_MARKS = "[()]"
 TUPLE_STRIP = '[()"]'
@@ -56,10 +53,8 @@ def ascii_only(text: str | Column) -> Column:
 
 
 def clean_list_text(techlist: str | Column) -> Column:
-    """F8 + F9: ASCII only, trimmed, and cut when over-long."""
-    c = F.trim(ascii_only(techlist))
-    return F.when(F.length(c) > LIST_MAX_CHARS,
-                  F.substring(c, 1, LIST_CUT_CHARS)).otherwise(c)
+    """F8: ASCII only, trimmed; the whole text, whatever its length."""
+    return F.trim(ascii_only(techlist))
 
 
 def edge_name(node1: str | Column, node2: str | Column) -> Column:

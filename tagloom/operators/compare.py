@@ -14,8 +14,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.tags import month_index, month_label
 
-# Fixed values of the page: contributor rows fetched and shown, neighbours shown.
-CONTRIBUTORS_FETCHED = 10
+# Fixed values of the page: contributor rows and neighbours shown.
 CONTRIBUTORS_SHOWN = 4
 RELATED_SHOWN = 10
 RANK_SHOWN = 10
@@ -39,7 +38,7 @@ def monthly_trend(tag_date_df: DataFrame, tech: str, tech_with: str, tech_or: st
         # a scalar subquery (one row, computed once), not a global window
         last = t.select(F.max(month_index("day"))).scalar()
         by_month = by_month.where(m < last)
-    return by_month.select(
+    return by_month.orderBy("year", "month").select(
         month_label("year", "month").alias("date"), "year", "month",
         F.lit(tech).alias("tech_label"), F.lit(tech_with).alias("tech1_label"),
         F.lit(tech_or).alias("tech2_label"), "tech", "tech1", "tech2")
@@ -104,38 +103,40 @@ def common_contributors(user_tech_df: DataFrame, tech: str, tech_with: str,
     tag, then on the first; the first ``shown`` rows (fewer if absent, D13)."""
     a = user_tech_df.where(F.col("tech") == tech).select("user_id", F.col("score").alias("a_score"))
     b = user_tech_df.where(F.col("tech") == tech_with)
-    limit = min(shown, CONTRIBUTORS_FETCHED)
     return (b.join(a, "user_id")
             .orderBy(F.col("score").desc(), F.col("a_score").desc(), F.col("user_id"))
-            .limit(limit)
+            .limit(shown)
             .select("user_id", "user_name",
                     F.coalesce("user_website", F.lit("")).alias("user_web"),
                     F.col("score").alias("weight"), "cnt"))
 
 
-def _related(graph_edges_df: DataFrame, tech: str, tech_with: str) -> DataFrame:
-    """J7 + T2: neighbours with an edge to both tags, ranked (rk 1..10)."""
+def _related(graph_edges_df: DataFrame, tech: str, tech_with: str,
+             shown: int = RELATED_SHOWN) -> DataFrame:
+    """J7 + T2: neighbours with an edge to both tags, ranked (rk 1..shown)."""
     a = graph_edges_df.where(F.col("technode2") == tech).select(
         "technode1", F.col("name").alias("name1"), F.col("weight").alias("weight1"))
     b = graph_edges_df.where(F.col("technode2") == tech_with).select(
         "technode1", F.col("name").alias("name2"), F.col("weight").alias("weight2"))
     top = (a.join(b, "technode1")
            .orderBy(F.col("weight2").desc(), F.col("weight1").desc(), F.col("technode1"))
-           .limit(RELATED_SHOWN))
-    # the window runs over at most RELATED_SHOWN rows
+           .limit(shown))
+    # the window runs over at most ``shown`` rows
     w = Window.orderBy(F.col("weight2").desc(), F.col("weight1").desc(), F.col("technode1"))
     return top.withColumn("rk", F.row_number().over(w))
 
 
-def related_techs(graph_edges_df: DataFrame, tech: str, tech_with: str) -> DataFrame:
+def related_techs(graph_edges_df: DataFrame, tech: str, tech_with: str,
+                  shown: int = RELATED_SHOWN) -> DataFrame:
     """Section 4 rows: ``tech, name1, weight1, name2, weight2``."""
-    r = _related(graph_edges_df, tech, tech_with)
+    r = _related(graph_edges_df, tech, tech_with, shown)
     return r.select(F.col("technode1").alias("tech"), "name1", "weight1", "name2", "weight2")
 
 
-def related_graph_nodes(graph_edges_df: DataFrame, tech: str, tech_with: str) -> DataFrame:
-    """R5 nodes: the two roots as 0 and 1, the neighbours as 2..11."""
-    r = _related(graph_edges_df, tech, tech_with)
+def related_graph_nodes(graph_edges_df: DataFrame, tech: str, tech_with: str,
+                        shown: int = RELATED_SHOWN) -> DataFrame:
+    """R5 nodes: the two roots as 0 and 1, the neighbours from 2 on."""
+    r = _related(graph_edges_df, tech, tech_with, shown)
     roots = (r.sparkSession.range(2)
              .select(F.col("id").cast("int").alias("id"),
                      F.when(F.col("id") == 0, F.lit(tech)).otherwise(F.lit(tech_with))
@@ -144,10 +145,11 @@ def related_graph_nodes(graph_edges_df: DataFrame, tech: str, tech_with: str) ->
                                       F.col("technode1").alias("name")))
 
 
-def related_graph_edges(graph_edges_df: DataFrame, tech: str, tech_with: str) -> DataFrame:
+def related_graph_edges(graph_edges_df: DataFrame, tech: str, tech_with: str,
+                        shown: int = RELATED_SHOWN) -> DataFrame:
     """R5 edges: each neighbour linked to root 0 by its edge to ``tech`` and
     to root 1 by its edge to ``tech_with``."""
-    r = _related(graph_edges_df, tech, tech_with)
+    r = _related(graph_edges_df, tech, tech_with, shown)
     links = F.array(F.struct(F.lit(0).alias("target"), F.col("name1").alias("name")),
                     F.struct(F.lit(1).alias("target"), F.col("name2").alias("name")))
     return (r.select((F.col("rk") + 1).cast("int").alias("source"), F.explode(links).alias("l"))

@@ -61,10 +61,13 @@ def user_vertices(user_tech_df: DataFrame) -> DataFrame:
 def contribute_edges(user_tech_df: DataFrame, tech_node_df: DataFrame) -> DataFrame:
     """K6 + J4: user -> tag edges whose tag is a vertex: ``user_id, tech, weight, cnt``.
     The tag name is written ASCII only (F8) and must then match a vertex name,
-    so a tag with other characters has no edge."""
+    so a tag with other characters has no edge unless its ASCII form is one.
+    Of a user's tags with one ASCII form the first in byte order keeps the edge."""
     keys = tech_node_df.select(F.col("technode").alias("_v")).distinct()
-    edges = user_tech_df.select("user_id", ascii_only("tech").alias("tech"),
-                                F.col("score").alias("weight"), "cnt")
+    edges = (user_tech_df.groupBy("user_id", ascii_only("tech").alias("ascii"))
+             .agg(F.min(F.struct("tech", "score", "cnt")).alias("first"))
+             .select("user_id", F.col("ascii").alias("tech"),
+                     F.col("first.score").alias("weight"), F.col("first.cnt").alias("cnt")))
     return edges.join(keys, edges.tech == keys._v, "left_semi")
 
 

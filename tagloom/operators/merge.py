@@ -1,9 +1,11 @@
 """Merging a batch's totals into stored totals.
 
 A9 -- additive upsert: a key absent from the store is inserted, a present key
-gets its sums increased. A10 -- insert if absent, first write wins. Both are
-one ``union`` plus one ``groupBy`` on the key (a single shuffle, with partial
-aggregation), instead of the reference's insert-zero-then-update SQL pair.
+gets its sums increased: one ``union`` plus one ``groupBy`` on the key (a single
+shuffle, with partial aggregation), instead of the reference's
+insert-zero-then-update SQL pair. A10 -- insert if absent, first write wins: the
+store plus the rows of the batch whose key it lacks (an anti join; the stored
+rows themselves are neither sorted nor aggregated).
 """
 
 from __future__ import annotations
@@ -53,12 +55,9 @@ def merge_totals(old: DataFrame, delta: DataFrame, spec: TotalsSpec) -> DataFram
 def insert_if_absent(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
     """A10: rows of ``delta`` whose key is not stored yet are added; stored
     rows are never changed."""
-    rest = [c for c in old.columns if c not in keys]
-    tagged = (old.select(*keys, F.struct(*rest).alias("_row"), F.lit(0).alias("_src"))
-              .unionByName(delta.select(*keys, F.struct(*rest).alias("_row"),
-                                        F.lit(1).alias("_src"))))
-    return (tagged.groupBy(*keys).agg(F.min_by("_row", "_src").alias("_row"))
-            .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]))
+    fresh = delta.join(old.select(*keys), keys, "left_anti")
+    columns = [*keys, *(c for c in old.columns if c not in keys)]
+    return old.select(*columns).unionByName(fresh.select(*columns))
 
 
 def union_batches(frames: list[DataFrame]) -> DataFrame:

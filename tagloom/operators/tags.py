@@ -44,10 +44,10 @@ def posts_tagged(posts: DataFrame) -> DataFrame:
 
 
 def tag_lists(post_tags_df: DataFrame) -> DataFrame:
-    """the list text and its number of blank-separated parts."""
+    """the list text and its number of tokens (0 for an empty text, D15)."""
     return post_tags_df.select(
         "id", "day", "weight", "techlist",
-        F.size(F.split("techlist", " ")).cast("int").alias("n_tags"))
+        F.size(split_tags("techlist")).cast("int").alias("n_tags"))
 
 
 def with_tag_array(post_tags_df: DataFrame) -> DataFrame:
@@ -113,15 +113,17 @@ def tag_pairs(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
     skipped, repeats kept: ``id, day, weight, tech1, tech2``.
 
     For a big post the pair (a, b) of distinct tags stands for m_a*m_b rows
-    of the nested loop; they are expanded after the join."""
+    of the nested loop; they are expanded after the join, by one side's
+    repeats and then the other's, so no array holds their product."""
     small, big = _split_by_size(post_tags_df, inline_max)
     inline = (small.select("id", "day", "weight", "tags", F.explode("tags").alias("tech1"))
               .select("id", "day", "weight", "tech1",
                       F.explode(F.filter("tags", lambda y: y != F.col("tech1"))).alias("tech2")))
     split = (_big_pairs(big, salt, F.col("tech1") != F.col("tech2"))
-             .select("id", "day", "weight", "tech1", "tech2",
-                     F.explode(F.sequence(F.lit(1), F.col("m1") * F.col("m2"))).alias("_k")))
-    return inline.unionByName(split.drop("_k"))
+             .withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("m1"))))
+             .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("m2"))))
+             .select("id", "day", "weight", "tech1", "tech2"))
+    return inline.unionByName(split)
 
 
 def token_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:

@@ -64,7 +64,7 @@ def tag_date(post_tags_df: DataFrame, count: str = "pairs",
     # P5: a record without a day has no date row (the pair totals keep it)
     tc = token_counts(post_tags_df.where(F.col("day").isNotNull()), inline_max)
     if count == "pairs":
-        contrib = (F.col("m") * (F.col("n") - F.col("m"))).cast("bigint")
+        contrib = F.col("m").cast("bigint") * (F.col("n") - F.col("m"))
         tc = tc.where(F.col("m") < F.col("n"))
     elif count == "posts":
         contrib = F.lit(1).cast("bigint")
@@ -76,9 +76,9 @@ def tag_date(post_tags_df: DataFrame, count: str = "pairs",
 
 def tag_list(post_tags_df: DataFrame) -> DataFrame:
     """A5 (DATE_yyyy_LIST): per (day, cleaned tag-list text), sum of weight and
-    number of posts, single-tag posts included. The text is cleaned and cut
-    before grouping (D7)."""
-    return (post_tags_df
+    number of posts, single-tag posts included. The text is cleaned before
+    grouping (D7). As in ``tag_date`` a post without a day has no row (P5)."""
+    return (post_tags_df.where(F.col("day").isNotNull())
             .groupBy(F.year("day").alias("year"), "day",
                      clean_list_text("techlist").alias("techlist"))
             .agg(F.sum("weight").cast("bigint").alias("weight"),
@@ -86,7 +86,7 @@ def tag_list(post_tags_df: DataFrame) -> DataFrame:
 
 
 def clean_tag_lists(post_tags_df: DataFrame) -> DataFrame:
-    """F8 + F9 per post."""
+    """F8 per post."""
     return post_tags_df.select("id", clean_list_text("techlist").alias("techlist"))
 
 

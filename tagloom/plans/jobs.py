@@ -1,8 +1,8 @@
 """Batch jobs: the one-shot build, the incremental id-batch loop, the page.
 
 ``run_build`` is the Spark form of the reference's aggregation jobs: it
-writes the cleaned posts once to the shared folder (``spark.checkpoint.dir``),
-which cuts the lineage -- a lost executor re-reads that table instead of
+writes the cleaned posts once beside its tables (the output root is shared by
+definition), which cuts the lineage -- a lost executor re-reads that table instead of
 re-running the source scan and joins -- then builds the totals from it and
 the graph tables from the written totals, one write job per table.
 
@@ -23,7 +23,6 @@ from ..operators import tags as t
 from ..sinks.writers import write_table, write_tables
 from ..sources import batches as b
 from ..sources.fixtures import Sources
-from ..session import work_path
 from ..streaming.incremental import TotalsStore, apply_comment_batch, apply_post_batch
 from .tables import TagTables, compare
 
@@ -40,7 +39,7 @@ def run_build(spark: SparkSession, sources: Sources, out_root: str,
     posts; the five totals (one aggregation each); the graph tables, derived
     from the written totals so the pair and comment aggregations run once.
     """
-    stage = stage_root or work_path(spark, f"tagloom-stage-{uuid.uuid4().hex[:12]}")
+    stage = stage_root or f"{out_root.rstrip('/')}/_stage-{uuid.uuid4().hex[:12]}"
     write_table(t.post_tags(sources.posts), f"{stage}/post_tags")
     given = {"post_tags": spark.read.parquet(f"{stage}/post_tags")}
     base = TagTables(sources, given=given)
@@ -49,28 +48,43 @@ def run_build(spark: SparkSession, sources: Sources, out_root: str,
     derived = TagTables(sources, given=given)
     paths.update(write_tables({name: getattr(derived, name) for name in DERIVED_TABLES},
                               out_root))
+    if stage_root is None:
+        delete_path(spark, stage)
     return paths
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a folder that this job wrote, on whatever file system it is."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _windows(store: TotalsStore, ids: DataFrame, kind: str, size: int) -> list[tuple[int, int]]:
+    """The next half-open id windows of a table: from the end of the last window
+    merged (the store's cursor; the smallest id at first) to the largest id,
+    the last window clipped to what is there. Ids arrive in growing order."""
+    low, high = ids.agg(F.min("id"), F.max("id")).first()
+    if low is None:
+        return []
+    done = store.cursor(kind)
+    start = low if done is None else done
+    return [(a, min(b_, high + 1)) for a, b_ in b.batch_bounds(start, high, size)]
+
+
 def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore,
                     posts_per_batch: int = b.POSTS_PER_BATCH,
                     comments_per_batch: int = b.COMMENTS_PER_BATCH) -> int:
     """The reference's loops over Posts and Comments ids. Every window is a
-    pushed-down range scan; replays are skipped. Returns batches applied."""
+    pushed-down range scan named by its true bounds in the ledger; a later run
+    goes on where the last one ended, whatever its batch size, so no id is
+    lost or added twice. Returns batches applied."""
     applied = 0
-    lo_hi = sources.posts.agg(F.min("id"), F.max("id")).first()
-    if lo_hi[0] is not None:
-        for low, high in b.batch_bounds(lo_hi[0] - lo_hi[0] % posts_per_batch, lo_hi[1],
-                                        posts_per_batch):
-            applied += apply_post_batch(store, b.id_batch(sources.posts, low, high),
-                                        f"posts-{low}-{high}")
-    lo_hi = sources.comments.agg(F.min("id"), F.max("id")).first()
-    if lo_hi[0] is not None:
-        for low, high in b.batch_bounds(lo_hi[0] - lo_hi[0] % comments_per_batch, lo_hi[1],
-                                        comments_per_batch):
-            applied += apply_comment_batch(store, b.id_batch(sources.comments, low, high),
-                                           sources.posts, sources.users,
-                                           f"comments-{low}-{high}")
+    for low, high in _windows(store, sources.posts, "posts", posts_per_batch):
+        applied += apply_post_batch(store, b.id_batch(sources.posts, low, high),
+                                    f"posts-{low}-{high}")
+    for low, high in _windows(store, sources.comments, "comments", comments_per_batch):
+        applied += apply_comment_batch(store, b.id_batch(sources.comments, low, high),
+                                       sources.posts, sources.users, f"comments-{low}-{high}")
     return applied
 
 

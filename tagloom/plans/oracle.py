@@ -55,13 +55,11 @@ tag_date AS (
   FROM tag_pairs WHERE day IS NOT NULL GROUP BY 1, 2, 3),
 clean_lists AS (
   SELECT id, day, weight,
-         CASE WHEN length(c) > 1000 THEN substr(c, 1, 990) ELSE c END AS techlist
-  FROM (SELECT id, day, weight,
-               trim(regexp_replace(techlist, '[^\x00-\x7F]', '', 'g')) AS c FROM post_tags)),
+         trim(regexp_replace(techlist, '[^\x00-\x7F]', '', 'g')) AS techlist FROM post_tags),
 tag_list AS (
   SELECT CAST(year(day) AS INT) AS year, day, techlist,
          CAST(sum(weight) AS BIGINT) AS weight, count(*) AS app_num
-  FROM clean_lists GROUP BY 1, 2, 3),
+  FROM clean_lists WHERE day IS NOT NULL GROUP BY 1, 2, 3),
 user_tech AS (
   SELECT m.user_id, u.display_name AS user_name, u.website_url AS user_website,
          e.tag AS tech, CAST(sum(m.score) AS BIGINT) AS score, count(*) AS cnt
@@ -111,7 +109,7 @@ TAILS = {
     "users_commenting": """SELECT id, display_name, website_url FROM users
         WHERE id IN (SELECT user_id FROM comments WHERE user_id IS NOT NULL)""",
     "tag_lists": """SELECT id, day, weight, techlist,
-        CAST(len(string_split(techlist, ' ')) AS INT) AS n_tags FROM post_tags""",
+        CAST(len(list_filter(string_split(techlist, ' '), lambda x: x <> '')) AS INT) AS n_tags FROM post_tags""",
     "clean_tag_lists": "SELECT id, techlist FROM clean_lists",
     "tag_tokens": "SELECT id, day, weight, tag FROM tag_tokens",
     "tag_pairs": "SELECT id, day, weight, tech1, tech2 FROM tag_pairs",
@@ -139,8 +137,10 @@ TAILS = {
         FROM user_tech""",
     "contribute_edges": r"""SELECT user_id, tech, weight, cnt FROM (
         SELECT user_id, regexp_replace(tech, '[^\x00-\x7F]', '', 'g') AS tech,
-               score AS weight, cnt FROM user_tech)
-        WHERE tech IN (SELECT technode FROM tech_node)""",
+               score AS weight, cnt, row_number() OVER (
+                 PARTITION BY user_id, regexp_replace(tech, '[^\x00-\x7F]', '', 'g')
+                 ORDER BY tech) AS rk FROM user_tech)
+        WHERE rk = 1 AND tech IN (SELECT technode FROM tech_node)""",
     "repair_user_names": r"""SELECT id,
         CASE WHEN regexp_matches(n, '[()]')
              THEN string_split(regexp_replace(n, '[()"]', '', 'g'), ',')[1] ELSE n END AS name,

@@ -97,12 +97,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared folder the cluster names in ``spark.checkpoint.dir``.
 
     A cluster sets it to a shared file system; only when it is unset (tests on
-    one machine) do we pick a fresh folder under ``/tmp``.
+    one machine) do we pick a fresh folder under ``/tmp``, once per session. No
+    setting of the session is changed.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        path = spark.sparkContext.getCheckpointDir()
+        if path:
+            return path
         path = os.path.join("/tmp", f"tagloom-ckpt-{uuid.uuid4().hex[:8]}")
-        spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
 

@@ -19,8 +19,8 @@ JDBC_BATCH_ROWS = 1000
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: tuple[str, ...] | list[str] = (),
                 cluster_by: tuple[str, ...] | list[str] = ()) -> None:
-    """K1: one Parquet table. With ``partition_by`` (and the session's dynamic
-    partition overwrite) only the partitions present in ``df`` are replaced.
+    """K1: one Parquet table. An overwrite replaces the whole table, whatever the
+    session's partition overwrite mode: no partition of an older build stays.
 
     Before a partitioned write the rows are range-partitioned on the
     partition columns plus ``cluster_by``: Spark samples the keys for
@@ -30,7 +30,8 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     """
     if partition_by:
         df = df.repartitionByRange(*partition_by, *cluster_by)
-        df.write.mode(mode).partitionBy(*partition_by).parquet(path)
+        (df.write.mode(mode).option("partitionOverwriteMode", "static")
+         .partitionBy(*partition_by).parquet(path))
     else:
         df.write.mode(mode).parquet(path)
 

@@ -23,8 +23,9 @@ store from a file stream with ``foreachBatch``.
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.utils import AnalysisException
 
 from ..operators import tags as t
 from ..operators import totals as tot
@@ -83,10 +84,13 @@ class TotalsStore:
         return f"{self.root}/_ledger"
 
     def ledger(self) -> DataFrame:
-        try:
-            return self.spark.read.parquet(self.ledger_path)
-        except AnalysisException:
+        """The ledger; empty only where its folder is missing. Any other failure to
+        read it is an error, never an empty store."""
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(self.ledger_path)
+        files = where.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not files.exists(where):
             return self.spark.createDataFrame([], LEDGER_SCHEMA)
+        return self.spark.read.schema(LEDGER_SCHEMA).parquet(self.ledger_path)
 
     def _append_ledger(self, rows: DataFrame) -> None:
         rows.coalesce(1).write.mode("append").parquet(self.ledger_path)
@@ -101,6 +105,13 @@ class TotalsStore:
     def applied(self, batch_id: str) -> bool:
         return self.ledger().where(F.col("batch_id") == batch_id).limit(1).count() > 0
 
+    def cursor(self, kind: str) -> int | None:
+        """The end of the last id window ``kind-<low>-<high>`` merged; None before the first."""
+        end = F.regexp_extract("batch_id", f"^{kind}-[0-9]+-([0-9]+)$", 1)
+        row = (self.ledger().where(F.col("table") == BATCH_MARK).where(end != "")
+               .agg(F.max(end.cast("bigint")).alias("end")).first())
+        return row["end"]
+
     # ---- tables ----
     def path(self, table: str, version: int) -> str:
         return f"{self.root}/{table}/v={version}"
@@ -228,11 +239,17 @@ def apply_comment_batch(store: TotalsStore, comments_batch: DataFrame, posts: Da
     return store.apply(batch_id, comment_batch_deltas(comments_batch, posts, users))
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark keeps in a stream's checkpoint: the same after a restart, new with a new checkpoint."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()["value"])["id"]
+
+
 def stream_posts(spark: SparkSession, source_dir: str, store: TotalsStore,
                  checkpoint: str, files_per_batch: int = 1, prefix: str = "posts"):
     """Structured Streaming over a folder of post files: each micro-batch is
-    merged into the store through ``foreachBatch``; the epoch id names the
-    batch, so an epoch re-run after a restart is skipped by the ledger.
+    merged into the store through ``foreachBatch``; the stream's own id and the
+    epoch name the batch, so an epoch re-run after a restart is skipped by the
+    ledger and another stream into the same store is not.
     Runs what is available and stops (``availableNow``)."""
     stream = (spark.readStream.schema(SCHEMAS["posts"])
               .option("maxFilesPerTrigger", files_per_batch).parquet(source_dir))
@@ -240,7 +257,7 @@ def stream_posts(spark: SparkSession, source_dir: str, store: TotalsStore,
     def merge(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()
         try:
-            apply_post_batch(store, batch, f"{prefix}-{epoch_id}")
+            apply_post_batch(store, batch, f"{prefix}-{stream_id(spark, checkpoint)}-{epoch_id}")
         finally:
             batch.unpersist()
 
@@ -260,7 +277,8 @@ def stream_comments(spark: SparkSession, source_dir: str, store: TotalsStore,
     def merge(batch: DataFrame, epoch_id: int) -> None:
         batch.persist()          # read twice: the post-id probe, then the merge
         try:
-            apply_comment_batch(store, batch, posts, users, f"{prefix}-{epoch_id}")
+            apply_comment_batch(store, batch, posts, users,
+                                f"{prefix}-{stream_id(spark, checkpoint)}-{epoch_id}")
         finally:
             batch.unpersist()
 

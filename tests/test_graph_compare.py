@@ -145,3 +145,16 @@ def test_compare_edge_needs_both_vertices(spark):
     rel = spark.createDataFrame([("a", "b", 5, 2), ("a", "c", 7, 3)], REL)
     node = spark.createDataFrame([("a", 10, 4), ("b", 6, 3)], NODE)       # no vertex c
     assert rows(cmp.compare_edge(rel, node, "a", ["b", "c"])) == [("a", "b", 5, 2, 10, 4, 6, 3)]
+
+
+def test_page_rows_are_not_capped(spark):
+    """More rows than the page shows by itself, when asked for; months in order."""
+    from tagloom.operators import compare as cmp
+    people = [(k, f"u{k}", None, tech, k, 1) for k in range(20) for tech in ("a", "b")]
+    ut = spark.createDataFrame(people, "user_id bigint, user_name string, user_website string, "
+                                       "tech string, score bigint, cnt bigint")
+    assert cmp.common_contributors(ut, "a", "b", shown=15).count() == 15
+    days = spark.sql("select year(d) as year, d as day, 'a' as tech, 1L as app_num from "
+                     "(select explode(sequence(date'2001-01-15', date'2004-12-15', interval 1 month)) as d)")
+    trend = cmp.monthly_trend(days, "a", "b", "c").collect()
+    assert len(trend) == 47 and trend == sorted(trend, key=lambda r: (r.year, r.month))

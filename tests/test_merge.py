@@ -208,3 +208,72 @@ def test_crash_before_ledger_commit_is_retried_once(spark, src, scratch, monkeyp
     assert not apply_post_batch(store, second, "b1")
     assert rows(store.table("tech_rel")) == rows(tot.tech_rel(t.post_tags(src.posts)))
     assert rows(store.table("tag_list")) == rows(tot.tag_list(t.post_tags(src.posts)))
+
+
+def test_incremental_goes_on_where_it_ended(spark, src, scratch):
+    """The source grows three times under changing batch sizes: each time the
+    store equals a build of all that is there, and a repeat adds nothing."""
+    from tagloom.plans.jobs import run_incremental
+    from tagloom.sources.fixtures import Sources
+    store = TotalsStore(spark, f"{scratch}/grown")
+    for top, size in ((300, 1000), (750, 200), (1500, 700)):
+        now = Sources(src.posts.where(F.col("id") <= top),
+                      src.comments.where(F.col("id") < top * 10), src.users)
+        assert run_incremental(spark, now, store, size, 10 * size) > 0
+        assert run_incremental(spark, now, store, size + 1, 10 * size) == 0
+        pt = t.post_tags(now.posts)
+        assert rows(store.table("tech_node")) == rows(tot.tech_node(pt))
+        assert rows(store.table("tag_list")) == rows(tot.tag_list(pt))
+
+
+def test_second_stream_is_counted(spark, src, scratch):
+    """Two streams with their own checkpoints into one store."""
+    store = TotalsStore(spark, f"{scratch}/store")
+    for k, (low, high) in enumerate(((0, 700), (700, 1500))):
+        source = f"{scratch}/in{k}"
+        b.id_batch(src.posts, low, high).coalesce(1).write.parquet(source)
+        stream_posts(spark, source, store, f"{scratch}/ckpt{k}").awaitTermination(300)
+    assert rows(store.table("tech_node")) == rows(tot.tech_node(t.post_tags(src.posts)))
+
+
+def test_batch_with_a_post_without_a_date(spark, scratch):
+    from tagloom.sources.fixtures import SCHEMAS
+    posts = spark.createDataFrame([(1, "<a><b>", 1, 0, 0, None)], SCHEMAS["posts"])
+    dated = posts.withColumn("id", F.lit(2).cast("bigint")).withColumn(
+        "creation_date", F.lit("2012-01-02").cast("timestamp_ntz"))
+    store = TotalsStore(spark, f"{scratch}/dates")
+    assert apply_post_batch(store, posts.unionByName(dated), "b0")
+    assert rows(store.table("tech_node")) == [("a", 2, 2), ("b", 2, 2)]
+    assert rows(store.table("tag_list"), "techlist", "app_num") == [("a b", 1)]
+
+
+def test_unreadable_ledger_is_an_error(spark, src, scratch):
+    import os
+    store = TotalsStore(spark, f"{scratch}/broken")
+    assert apply_post_batch(store, b.id_batch(src.posts, 0, 200), "b0")
+    name = next(f for f in os.listdir(store.ledger_path) if f.endswith(".parquet"))
+    with open(f"{store.ledger_path}/{name}", "wb") as f:
+        f.write(b"not a table")
+    with pytest.raises(Exception):
+        store.versions()
+
+
+def test_rebuild_leaves_no_old_year(spark, src, scratch):
+    import os
+
+    from tagloom.plans.jobs import run_build
+    from tagloom.sources.fixtures import Sources
+    run_build(spark, src, f"{scratch}/tables")
+    fewer = Sources(src.posts.where(F.year("creation_date") <= 1995), src.comments, src.users)
+    paths = run_build(spark, fewer, f"{scratch}/tables")
+    assert rows(spark.read.parquet(paths["tag_date"]).select("year").distinct()) == \
+        rows(tot.tag_date(t.post_tags(fewer.posts)).select("year").distinct())
+    assert not [d for d in os.listdir(f"{scratch}/tables") if d.startswith("_stage")]
+
+
+def test_user_edges_are_unique(spark):
+    from tagloom.operators.graph import contribute_edges
+    users = spark.createDataFrame([(1, "caf\u00e9", 5, 1), (1, "caf", 3, 2), (2, "caf\u00e9", 4, 1)],
+                                  "user_id bigint, tech string, score bigint, cnt bigint")
+    nodes = spark.createDataFrame([("caf",)], "technode string")
+    assert rows(contribute_edges(users, nodes)) == [(1, "caf", 3, 2), (2, "caf", 4, 1)]

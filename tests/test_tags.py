@@ -64,11 +64,22 @@ def test_non_ascii_list(make_posts):
     assert rows(tot.tag_list(pt), "techlist") == [("caf c++",)]
 
 
-def test_long_list_cut(make_posts):
-    tags = "".join(f"<t{i:05d}>" for i in range(200))    # 1,199 characters as a list
+def test_long_list_is_kept_whole(make_posts):
+    tags = "".join(f"<t{i:05d}>" for i in range(200))    # 1,399 characters as a list
     pt = t.post_tags(_posts(make_posts, tags))
     (text,), = rows(tot.clean_tag_lists(pt), "techlist")
-    assert len(text) == 990 and text.startswith("t00000 t00001")
+    assert text == " ".join(f"t{i:05d}" for i in range(200))
+
+
+def test_empty_list_has_no_tag(make_posts):
+    assert rows(t.tag_lists(t.post_tags(_posts(make_posts, "", "<a><b>"))), "n_tags") == [(0,), (2,)]
+
+
+def test_many_repeats_do_not_overflow(make_posts):
+    """Two tags of 50,000 repeats each stand for 2.5e9 ordered pair rows each way."""
+    pt = t.post_tags(_posts(make_posts, "<a>" * 50_000 + "<b>" * 50_000))
+    assert rows(tot.tag_date(pt), "tech", "app_num") == [("a", 2_500_000_000), ("b", 2_500_000_000)]
+    assert rows(tot.tech_rel(pt), "technode1", "cnt") == [("a", 2_500_000_000), ("b", 2_500_000_000)]
 
 
 def test_day_from_timestamp(make_posts):
@@ -123,8 +134,8 @@ def test_cleanup_matches_string_steps_on_random_text(spark):
 
 
 def test_lists_equal_after_cleanup_group_together(make_posts):
-    """The list text is cleaned and cut before grouping, so lists that
-    differ only in non-ASCII letters, or beyond the cut, are one row."""
+    """The list text is cleaned before grouping, so lists that differ only
+    in non-ASCII letters are one row; long lists that differ late are two."""
     long_a = "".join(f"<t{i:05d}>" for i in range(200)) + "<xa>"
     long_b = "".join(f"<t{i:05d}>" for i in range(200)) + "<xb>"
     posts = make_posts([(1, "<café><b>", 1, 0, 0, "2011-02-03"),
@@ -133,4 +144,4 @@ def test_lists_equal_after_cleanup_group_together(make_posts):
                         (4, long_b, 1, 0, 0, "2011-02-03")])
     got = rows(tot.tag_list(t.post_tags(posts)), "techlist", "weight", "app_num")
     assert got[0] == ("caf b", 3, 2)
-    assert len(got) == 2 and len(got[1][0]) == 990 and got[1][1:] == (2, 2)
+    assert len(got) == 3 and got[1][0].endswith(" xa") and got[2][0].endswith(" xb")
