@@ -13,6 +13,12 @@ most one row per bucket and model. The driver gets the bucket table, whose
 size doesn't depend on the corpus, and for the k-th largest value a histogram
 of fixed size that is refined until its bin is small.
 
+Texts are not shuffled to find the target ones. Two hashed positions of each
+target id are set in a sieve of at most ``SIEVE_BITS`` bits, which each task
+holds its rows against; what passes is joined with the target ids themselves,
+so the target is exact however full the sieve gets. The join is of one kind at
+every size.
+
 Defined results: null, empty and wordless texts have log weight 0; documents
 with equal values at the threshold are all selected; repeated rows with one
 id get one noise; rows without an id are not selected; without target
@@ -25,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import Staged
@@ -36,6 +42,8 @@ SHARE = 0.3
 SMOOTHING = 1.0
 BINS = 4096
 SEED = 5
+#: 8 MB; below that, 16 bits an id.
+SIEVE_BITS = 1 << 26
 
 
 def ngrams(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -66,6 +74,47 @@ def model(texts: DataFrame) -> np.ndarray:
     return np.log(total / total.sum())
 
 
+def _positions(bits: int) -> list[Column]:
+    return [F.pmod(F.xxhash64("doc_id", F.lit(k)), F.lit(bits)) for k in (1, 2)]
+
+
+def _sieve(ids: DataFrame) -> tuple[np.ndarray, int]:
+    """Words of 64 bits with the positions of all ids set, and the number of bits."""
+    bits = min(SIEVE_BITS, 1 << max(10, (16 * ids.count()).bit_length()))
+    rows = (
+        ids.select(F.explode(F.array(*_positions(bits))).alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits"))
+        .toArrow()
+    )
+    sieve = np.zeros(bits >> 6, np.uint64)
+    sieve[rows.column("word").to_numpy()] = rows.column("bits").to_numpy().astype(np.uint64)
+    return sieve, bits
+
+
+def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """doc_id and text of the rows of ``docs`` whose id is in ``ids``, which holds each id once."""
+    sieve, bits = _sieve(ids)
+    shared = docs.sparkSession.sparkContext.broadcast(sieve)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for name in ("p1", "p2"):
+                at = batch.column(name).to_numpy()
+                keep &= (shared.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
+            yield batch.select(["doc_id", "text"]).filter(pa.array(keep))
+
+    p1, p2 = _positions(bits)
+    likely = (
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+        .where("doc_id is not null")
+        .select("doc_id", "text", p1.alias("p1"), p2.alias("p2"))
+        .mapInArrow(passing, "doc_id long, text string")
+    )
+    return likely.join(ids.hint("merge"), "doc_id", "left_semi")
+
+
 def kth_largest(values: DataFrame, column: str, k: int) -> float:
     """The k-th largest value of a column, by histograms of ``BINS`` bins over ever smaller ranges."""
     low, high = values.agg(F.min(column), F.max(column)).first()
@@ -98,9 +147,9 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFr
     """doc_id, log_weight, gumbel_key and selected of each row of ``docs``."""
     spark = docs.sparkSession
     staged = Staged(spark, "resample")
-    good = labels.where("quality = 1 and doc_id is not null").select("doc_id").distinct()
+    good = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct()
     raw = model(docs)
-    target = model(docs.select("doc_id", "text").join(good, "doc_id", "left_semi"))
+    target = model(texts_of(docs, good))
     ratio = spark.sparkContext.broadcast(target - raw if target.std() > 0 else np.zeros(BUCKETS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 
@@ -154,7 +155,7 @@ def test_embeddings_equal_brute_force(spark):
 
 
 def test_resampling(spark):
-    from tagloom.llm.resample import kth_largest, resample
+    from tagloom.llm.resample import kth_largest, resample, texts_of
 
     rnd = random.Random(5)
     rows, marks = [], []
@@ -176,6 +177,9 @@ def test_resampling(spark):
     assert [r.log_weight for r in got if r.doc_id in (1000, 1001)] == [0.0, 0.0]
     assert not any(r.selected for r in got if r.doc_id is None)
     assert resample(documents(spark, []), labels).count() == 0
+    docs, some = documents(spark, rows), labels.where("quality = 1 and doc_id is not null").select("doc_id")
+    targets = Counter((r.doc_id, r.text) for r in texts_of(docs, some).collect())
+    assert targets == Counter(x[:2] for x in rows if x[0] in {m[0] for m in marks if m[1]})
     values = [round(rnd.gauss(0, 1), 2) for _ in range(500)] + [7.0] * 50
     df = spark.createDataFrame([(v,) for v in values], "v double")
     assert all(kth_largest(df, "v", k) == sorted(values, reverse=True)[k - 1] for k in (1, 30, 50, 51, 300, 550))
