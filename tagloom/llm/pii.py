@@ -17,8 +17,9 @@ Its places in the lines that hold e become spans of kind ``term``.
 ``redact`` generalises base values to their kind and removes such terms.
 
 Only lines with a base value are exploded into words. Document frequencies
-are counted for the terms that reach the support, in one pass over all texts
-with partial aggregation; the term table is written first, so that Spark
+are counted for the terms that reach the support, over all texts with partial
+aggregation; only the rows of ids that occur more than once are reduced to
+distinct pairs of id and term first; the term table is written first, so that Spark
 broadcasts it only if its measured size is below the session's bound.
 
 Defined results: a null or empty text has no span; repeated rows with one id
@@ -138,6 +139,12 @@ def _context_terms(docs: DataFrame) -> DataFrame:
     )
 
 
+def _terms_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
+    """doc_id and term, once a row, for the ``terms`` in each whole text."""
+    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    return docs.select("doc_id", F.explode(found).alias("term")).join(terms, "term", "left_semi")
+
+
 def disclosing_terms(docs: DataFrame, staged: Staged) -> DataFrame:
     """Places (doc_id, start, end) of terms that exceed the disclosure threshold, and their bits."""
     places_ = staged.write(_context_terms(docs), "terms")
@@ -147,14 +154,15 @@ def disclosing_terms(docs: DataFrame, staged: Staged) -> DataFrame:
     alone = places_.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     terms = staged.write(together.select("term").distinct(), "candidates")
     n_docs = docs.where("doc_id is not null").select("doc_id").distinct().count()
-    everywhere = (
-        docs.where("doc_id is not null")
-        .select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))).alias("term"))
-        .join(terms, "term", "left_semi")
-        .distinct()
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n_term"))
+    # the rows of an id that occurs once are counted as they are, without the ids in the shuffle
+    known = docs.where("doc_id is not null")
+    repeated = staged.write(
+        known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated"
     )
+    once = _terms_of(known.join(repeated, "doc_id", "left_anti"), terms)
+    more = _terms_of(known.join(repeated, "doc_id", "left_semi"), terms).distinct()
+    counts = [x.groupBy("term").agg(F.count(F.lit(1)).alias("n")) for x in (once, more)]
+    everywhere = counts[0].union(counts[1]).groupBy("term").agg(F.sum("n").alias("n_term"))
     scored = (
         together.join(everywhere, "term")
         .join(alone, "entity")
