@@ -1,11 +1,10 @@
 """Per-post tag operators: cleanup, token explode and ordered pair expansion.
 
-A post's tags travel as one array inside its row, so expanding tokens and
-pairs is a narrow ``Generate`` with no shuffle. A post whose list is longer
-than ``INLINE_MAX_TOKENS`` would put all of its quadratic pair work on one
-task; such posts take a second path where the post's tokens are exploded,
-counted per distinct tag and self-joined on ``(id, salt)``, so one huge post
-is spread over ``PAIR_SALT`` tasks instead of one.
+A post's tags travel as one array inside its row, so expanding and counting
+tokens is a narrow ``Generate`` with no shuffle. Pairs are quadratic in the
+post's length, so every post is first dealt out as work units of at most
+``UNIT_TOKENS`` left tokens (one unit for a normal post); a huge post becomes
+many units on many tasks. All posts take this one path.
 """
 
 from __future__ import annotations
@@ -14,17 +13,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.tags import clean_tag_text, post_weight, split_tags
 
-INLINE_MAX_TOKENS = 512
-PAIR_SALT = 64          # a power of two: the salt is a bit mask of a hash
-
-
-def _salt_of(col: Column, salt: int) -> Column:
-    """``col`` folded to 0..salt-1 with a bit mask. A mask of a non-null value
-    is never null, so Spark infers no IS NOT NULL filter from the join key and
-    both sides of the self-join keep the same subtree (one shared exchange)."""
-    if salt & (salt - 1):
-        raise ValueError("salt must be a power of two")
-    return col.bitwiseAND(F.lit(salt - 1))
+UNIT_TOKENS = 512
 
 
 def post_tags(posts: DataFrame) -> DataFrame:
@@ -50,118 +39,76 @@ def tag_lists(post_tags_df: DataFrame) -> DataFrame:
         F.size(split_tags("techlist")).cast("int").alias("n_tags"))
 
 
-def with_tag_array(post_tags_df: DataFrame) -> DataFrame:
-    return post_tags_df.select("id", "day", "weight", split_tags("techlist").alias("tags"))
-
-
 def tag_tokens(post_tags_df: DataFrame) -> DataFrame:
     """One row per token (repeats kept, empty tokens dropped)."""
     return post_tags_df.select("id", "day", "weight",
                                F.explode(split_tags("techlist")).alias("tag"))
 
 
-def _split_by_size(post_tags_df: DataFrame,
-                   inline_max: int) -> tuple[DataFrame, DataFrame]:
-    """Posts with at most ``inline_max`` tokens, and the others, as tag arrays.
-
-    A list of n tokens is at least 2n-1 characters long (a character per token,
-    a blank between), so the big side first keeps only texts of at least
-    2*inline_max+1 characters: a length test that spares nearly every post the
-    split (the conjuncts are evaluated in order)."""
-    small = with_tag_array(post_tags_df)
-    small = small.where(F.size("tags") <= inline_max)
-    big = with_tag_array(post_tags_df.where(F.length("techlist") >= 2 * inline_max + 1))
-    big = big.where(F.size("tags") > inline_max)
-    return small, big
+def _counted(tags: Column) -> Column:
+    """The distinct tags of an array in byte order with their multiplicity,
+    ``array<struct<tag, m>>``: the runs of the sorted array, so a list of n
+    tokens costs a sort and not n comparisons per tag."""
+    ordered = F.array_sort(tags)
 
+    def run_starts(xs: Column) -> Column:
+        at = F.when(F.size(xs) > 0, F.sequence(F.lit(0), F.size(xs) - 1))
+        return F.filter(at, lambda i: (i == 0) | (F.get(xs, i) != F.get(xs, i - 1)))
 
-def _salted_self_join(left: DataFrame, right: DataFrame, left_salt: Column,
-                      salt: int, on_extra: Column) -> DataFrame:
-    """Join two token frames of the same big posts on ``(id, salt)``.
+    # the sorted array and its starts are bound once each, as one-element arrays
+    def runs(xs: Column) -> Column:
+        def to_structs(starts: Column) -> Column:
+            return F.transform(starts, lambda s, j: F.struct(
+                F.get(xs, s).alias("tag"),
+                (F.coalesce(F.get(starts, j + 1), F.size(xs)) - s).cast("bigint").alias("m")))
+        return F.get(F.transform(F.array(run_starts(xs)), to_structs), F.lit(0))
 
-    The left rows are spread over ``salt`` buckets, the right rows are copied
-    into every bucket, so a post with d tokens costs d*d/salt per task.
-    """
-    lft = left.withColumn("_salt", left_salt)
-    rgt = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-    return lft.join(rgt, (lft["id"] == rgt["_rid"]) & (lft["_salt"] == rgt["_salt"]) & on_extra)
+    return F.get(F.transform(F.array(ordered), runs), F.lit(0))
 
 
-def _big_counts(big: DataFrame) -> DataFrame:
-    """Distinct tags of the big posts with their multiplicity m (one shuffle
-    on the post; both sides of the salted self-join read this same exchange)."""
-    return (big.select("id", "day", "weight", F.size("tags").alias("n"),
-                       F.explode("tags").alias("tag"))
-            .groupBy("id", "day", "weight", "n", "tag")
-            .agg(F.count(F.lit(1)).cast("int").alias("m")))
+def _units(df: DataFrame, n: Column, unit_tokens: int) -> DataFrame:
+    """``df`` (one row per post, with ``id``) as one row per work unit, dealt
+    over the tasks: column ``unit`` counts from 0."""
+    last = F.floor((n - 1) / F.lit(unit_tokens)).cast("int")
+    # a fixed width: by their bytes, which are few, units would be put together again
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return (df.where(n > 1).withColumn("unit", F.explode(F.sequence(F.lit(0), last)))
+            .repartition(width, "id", "unit"))
 
 
-def _big_pairs(big: DataFrame, salt: int, keep: Column) -> DataFrame:
-    """Pairs of distinct tags (a, b) of each big post satisfying ``keep``,
-    with m_a and m_b: ``id, day, weight, tech1, tech2, m1, m2``."""
-    tc = _big_counts(big)
-    left = tc.select("id", "day", "weight", F.col("tag").alias("tech1"), F.col("m").alias("m1"))
-    right = tc.select(F.col("id").alias("_rid"), F.col("tag").alias("tech2"),
-                      F.col("m").alias("m2"))
-    return (_salted_self_join(left, right, _salt_of(F.hash("tech1"), salt), salt, keep)
-            .select("id", "day", "weight", "tech1", "tech2", "m1", "m2"))
+def tag_pairs(post_tags_df: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
+    """G1: ordered pairs of a post's tokens, both directions, equal values
+    skipped, repeats kept: ``id, day, weight, tech1, tech2``."""
+    posts = post_tags_df.select("id", "day", "weight", split_tags("techlist").alias("tags"))
+    left = F.slice("tags", F.col("unit") * unit_tokens + 1, F.lit(unit_tokens))
+    return (_units(posts, F.size("tags"), unit_tokens)
+            .select("id", "day", "weight", "tags", F.explode(left).alias("tech1"))
+            .select("id", "day", "weight", "tech1",
+                    F.explode(F.filter("tags", lambda y: y != F.col("tech1"))).alias("tech2")))
 
 
-def tag_pairs(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
-              salt: int = PAIR_SALT) -> DataFrame:
-    """G1: ordered pairs of a post's tokens, both directions, equal values
-    skipped, repeats kept: ``id, day, weight, tech1, tech2``.
-
-    For a big post the pair (a, b) of distinct tags stands for m_a*m_b rows
-    of the nested loop; they are expanded after the join, by one side's
-    repeats and then the other's, so no array holds their product."""
-    small, big = _split_by_size(post_tags_df, inline_max)
-    inline = (small.select("id", "day", "weight", "tags", F.explode("tags").alias("tech1"))
-              .select("id", "day", "weight", "tech1",
-                      F.explode(F.filter("tags", lambda y: y != F.col("tech1"))).alias("tech2")))
-    split = (_big_pairs(big, salt, F.col("tech1") != F.col("tech2"))
-             .withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("m1"))))
-             .withColumn("_k", F.explode(F.sequence(F.lit(1), F.col("m2"))))
-             .select("id", "day", "weight", "tech1", "tech2"))
-    return inline.unionByName(split)
-
-
-def token_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
+def token_counts(post_tags_df: DataFrame) -> DataFrame:
     """Distinct tags of each post with their multiplicity:
     ``id, day, weight, n, tag, m`` (n = tokens in the post)."""
-    small, big = _split_by_size(post_tags_df, inline_max)
-    counted = F.transform(
-        F.array_distinct("tags"),
-        lambda t: F.struct(t.alias("tag"),
-                           F.size(F.filter("tags", lambda y: y == t)).alias("m")))
-    inline = (small.select("id", "day", "weight", F.size("tags").alias("n"),
-                           F.explode(counted).alias("tm"))
-              .select("id", "day", "weight", "n", "tm.tag", "tm.m"))
-    grouped = _big_counts(big)
-    return inline.unionByName(grouped)
-
-
-def half_pair_counts(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS,
-                     salt: int = PAIR_SALT) -> DataFrame:
+    tags = split_tags("techlist")
+    return (post_tags_df.select("id", "day", "weight", F.size(tags).cast("bigint").alias("n"),
+                                F.explode(_counted(tags)).alias("tm"))
+            .select("id", "day", "weight", "n", "tm.tag", "tm.m"))
+
+
+def half_pair_counts(post_tags_df: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """Rewrite W2 at post level: for distinct tags a < b of one post, the
     reference emits m_a*m_b rows (a, b) and as many (b, a). Returns
-    ``tech1 < tech2, weight = post weight * m_a*m_b, cnt = m_a*m_b``."""
-    small, big = _split_by_size(post_tags_df, inline_max)
-    counted = F.transform(
-        F.array_distinct("tags"),
-        lambda t: F.struct(t.alias("tag"),
-                           F.size(F.filter("tags", lambda y: y == t)).cast("bigint").alias("m")))
-    # the counts are computed once per post, then exploded (not recomputed
-    # for every exploded row)
-    a = (small.select("weight", counted.alias("tms"))
-         .select("weight", "tms", F.explode("tms").alias("a")))
-    inline = (a.select("weight", "a",
-                       F.explode(F.filter("tms", lambda b: b["tag"] > F.col("a.tag"))).alias("b"))
-              .select(F.col("a.tag").alias("tech1"), F.col("b.tag").alias("tech2"),
-                      (F.col("weight") * F.col("a.m") * F.col("b.m")).alias("weight"),
-                      (F.col("a.m") * F.col("b.m")).alias("cnt")))
-    split = _big_pairs(big, salt, F.col("tech1") < F.col("tech2"))
-    split = split.select("tech1", "tech2",
-                         (F.col("weight") * F.col("m1") * F.col("m2")).alias("weight"),
-                         (F.col("m1").cast("bigint") * F.col("m2")).alias("cnt"))
-    return inline.unionByName(split)
+    ``tech1 < tech2, weight = post weight * m_a*m_b, cnt = m_a*m_b``.
+
+    The counted tags are in order, so the partners of one are all that follow."""
+    posts = post_tags_df.select("id", "weight", _counted(split_tags("techlist")).alias("tms"))
+    first = F.col("unit") * unit_tokens
+    places = F.sequence(first, F.least(first + unit_tokens, F.size("tms")) - 1)
+    pairs = (_units(posts, F.size("tms"), unit_tokens)
+             .select("weight", "tms", F.explode(places).alias("i"))
+             .select("weight", F.get("tms", F.col("i")).alias("a"),
+                     F.explode(F.slice("tms", F.col("i") + 2, F.size("tms"))).alias("b")))
+    return pairs.select(F.col("a.tag").alias("tech1"), F.col("b.tag").alias("tech2"),
+                        (F.col("weight") * F.col("a.m") * F.col("b.m")).alias("weight"),
+                        (F.col("a.m") * F.col("b.m")).alias("cnt"))

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tags import clean_list_text, split_tags
-from .tags import INLINE_MAX_TOKENS, half_pair_counts, token_counts
+from .tags import UNIT_TOKENS, half_pair_counts, token_counts
 
 
 def _mirror(half: DataFrame, a: str, b: str, rest: list[str]) -> DataFrame:
@@ -31,10 +31,10 @@ def _mirror(half: DataFrame, a: str, b: str, rest: list[str]) -> DataFrame:
             .select(F.col("_m.x").alias(a), F.col("_m.y").alias(b), *rest))
 
 
-def tech_rel(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
+def tech_rel(post_tags_df: DataFrame, unit_tokens: int = UNIT_TOKENS) -> DataFrame:
     """A1 (TECH_REL): per ordered tag pair, sum of post weight and number of
     pair rows: ``technode1, technode2, weight, cnt``."""
-    half = (half_pair_counts(post_tags_df, inline_max)
+    half = (half_pair_counts(post_tags_df, unit_tokens)
             .groupBy("tech1", "tech2")
             .agg(F.sum("weight").cast("bigint").alias("weight"),
                  F.sum("cnt").cast("bigint").alias("cnt"))
@@ -43,18 +43,17 @@ def tech_rel(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> Da
     return _mirror(half, "technode1", "technode2", ["weight", "cnt"])
 
 
-def tech_node(post_tags_df: DataFrame, inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
+def tech_node(post_tags_df: DataFrame) -> DataFrame:
     """A2 + A3 (TECH_NODE): per tag, the posts where it meets another tag
     (D4): sum of their weight and their number: ``technode, weight, cnt``."""
-    tc = token_counts(post_tags_df, inline_max)
+    tc = token_counts(post_tags_df)
     return (tc.where(F.col("m") < F.col("n"))
             .groupBy(F.col("tag").alias("technode"))
             .agg(F.sum("weight").cast("bigint").alias("weight"),
                  F.count(F.lit(1)).alias("cnt")))
 
 
-def tag_date(post_tags_df: DataFrame, count: str = "pairs",
-             inline_max: int = INLINE_MAX_TOKENS) -> DataFrame:
+def tag_date(post_tags_df: DataFrame, count: str = "pairs") -> DataFrame:
     """A4 (DATE_yyyy as one table with a ``year`` column).
 
     ``count="pairs"`` (the reference, D5): the number of ordered pair rows of
@@ -62,9 +61,9 @@ def tag_date(post_tags_df: DataFrame, count: str = "pairs",
     posts with the tag that day.
     """
     # P5: a record without a day has no date row (the pair totals keep it)
-    tc = token_counts(post_tags_df.where(F.col("day").isNotNull()), inline_max)
+    tc = token_counts(post_tags_df.where(F.col("day").isNotNull()))
     if count == "pairs":
-        contrib = F.col("m").cast("bigint") * (F.col("n") - F.col("m"))
+        contrib = F.col("m") * (F.col("n") - F.col("m"))
         tc = tc.where(F.col("m") < F.col("n"))
     elif count == "posts":
         contrib = F.lit(1).cast("bigint")
@@ -152,16 +151,15 @@ def user_tech(post_tags_df: DataFrame, comments: DataFrame, users: DataFrame) ->
 
 
 def user_tech_list(user_tech_df: DataFrame) -> DataFrame:
-    """One row per user with the list ``tech:score:cnt`` ordered by score
-    descending, then tech. A user's list holds at most one entry per distinct
-    tag, so it is bounded by the tag vocabulary, not by the data."""
-    item = F.struct(F.negative("score").alias("k"), F.col("tech").alias("t"),
-                    F.concat_ws(":", "tech", F.col("score").cast("string"),
-                                F.col("cnt").cast("string")).alias("s"))
+    """One row per user with ``techs``, the list of (tech, score, cnt) by
+    score descending, then tech. A user's list holds at most one entry per
+    distinct tag, so it is bounded by the tag vocabulary, not by the data."""
+    item = F.struct(F.negative("score").alias("k"), "tech", "score", "cnt")
     return (user_tech_df.groupBy("user_id", "user_name", "user_website")
             .agg(F.sort_array(F.collect_list(item)).alias("items"))
             .select("user_id", "user_name", "user_website",
-                    F.array_join(F.transform("items", lambda x: x["s"]), ",").alias("techs")))
+                    F.transform("items", lambda x: F.struct(x["tech"], x["score"], x["cnt"]))
+                    .alias("techs")))
 
 
 __all__ = [

@@ -96,13 +96,18 @@ TAILS = {
     "posts_tagged": "SELECT p.id, p.tags, t.day, t.weight FROM posts p JOIN post_tags t USING (id)",
     "max_id": "SELECT max(id) AS max_id FROM posts",
     "rel_count": "SELECT count(*) AS count_num FROM tech_rel",
-    "id_batch": """SELECT id, day, weight, CAST(id // 3000 AS BIGINT) AS batch,
-        CAST(id // 3000 * 3000 AS BIGINT) AS batch_low,
-        CAST((id // 3000 + 1) * 3000 AS BIGINT) AS batch_high FROM post_tags""",
+    "id_batch": """SELECT CAST(lo + w * size AS BIGINT) AS batch_low,
+        CAST(lo + (w + 1) * size AS BIGINT) AS batch_high, count(*) AS posts,
+        min(id) AS first_id, max(id) AS last_id, CAST(sum(weight) AS BIGINT) AS weight
+        FROM (SELECT id, weight, lo, size, (id - lo) // size AS w
+              FROM post_tags, (SELECT min(id) AS lo, (max(id) - min(id) + 5) // 5 AS size FROM posts))
+        GROUP BY 1, 2""",
     "id_batch_counts": """SELECT CAST(id // 3000 AS BIGINT) AS batch, count(*) AS posts,
         CAST(sum(weight) AS BIGINT) AS weight FROM post_tags GROUP BY 1""",
-    "three_batch_union": """SELECT id, day, weight, CAST(id // 9000 AS BIGINT) AS loop,
-        CAST((id // 3000) % 3 AS INT) AS slot FROM post_tags""",
+    "three_batch_union": """SELECT id, day, weight,
+        CAST(lo + (id - lo) // size * size AS BIGINT) AS batch_low,
+        CAST(lo + ((id - lo) // size + 1) * size AS BIGINT) AS batch_high
+        FROM post_tags, (SELECT min(id) AS lo, (max(id) - min(id) + 3) // 3 AS size FROM posts)""",
     "rel_page": "SELECT * FROM tech_rel ORDER BY technode1, technode2 LIMIT 500 OFFSET 1000",
     "posts_commented": """SELECT id, tags FROM posts
         WHERE id IN (SELECT post_id FROM comments WHERE user_id IS NOT NULL)""",
@@ -131,6 +136,9 @@ TAILS = {
     "graph_edges": """SELECT technode1, technode2, name, weight, cnt FROM graph_edges
         WHERE technode1 IN (SELECT technode FROM tech_node)
           AND technode2 IN (SELECT technode FROM tech_node)""",
+    "graph_edges_joined": """SELECT technode1, technode2, name, weight, cnt FROM graph_edges
+        WHERE technode1 IN (SELECT technode FROM tech_node)
+          AND technode2 IN (SELECT technode FROM tech_node)""",
     "user_vertices": r"""SELECT DISTINCT user_id AS id,
         regexp_replace(user_name, '[^\x00-\x7F]', '', 'g') AS name,
         coalesce(regexp_replace(user_website, '[^\x00-\x7F]', '', 'g'), '') AS website

@@ -19,12 +19,10 @@ from ..sources.fixtures import Sources
 
 
 class TagTables:
-    def __init__(self, sources: Sources | None, inline_max: int = t.INLINE_MAX_TOKENS,
-                 given: dict[str, DataFrame] | None = None):
+    def __init__(self, sources: Sources | None, given: dict[str, DataFrame] | None = None):
         """``given`` supplies tables that already exist (written earlier, or
         staged); every other table is derived from them or from ``sources``."""
         self.sources = sources
-        self.inline_max = inline_max
         self._given = set(given or ())
         for name, df in (given or {}).items():
             self.__dict__[name] = df            # takes the place of the cached property
@@ -44,19 +42,19 @@ class TagTables:
 
     @cached_property
     def tag_pairs(self) -> DataFrame:
-        return t.tag_pairs(self.post_tags, self.inline_max)
+        return t.tag_pairs(self.post_tags)
 
     @cached_property
     def tech_rel(self) -> DataFrame:
-        return tot.tech_rel(self.post_tags, self.inline_max)
+        return tot.tech_rel(self.post_tags)
 
     @cached_property
     def tech_node(self) -> DataFrame:
-        return tot.tech_node(self.post_tags, self.inline_max)
+        return tot.tech_node(self.post_tags)
 
     @cached_property
     def tag_date(self) -> DataFrame:
-        return tot.tag_date(self.post_tags, inline_max=self.inline_max)
+        return tot.tag_date(self.post_tags)
 
     @cached_property
     def tag_list(self) -> DataFrame:

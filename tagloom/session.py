@@ -32,22 +32,6 @@ SCALE_CONF = {
 }
 
 
-# Plans already built in this process, per session and key. A DataFrame is an
-# immutable plan: reusing one saves the file listing, footer reads and
-# analysis; every action still plans and runs it from the files.
-_BUILT: dict[tuple, tuple[SparkSession, object]] = {}
-
-
-def per_session(spark: SparkSession, key: tuple, build):
-    """``build()`` once per session and key."""
-    hit = _BUILT.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    value = build()
-    _BUILT[key] = (spark, value)
-    return value
-
-
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "tagloom", extra_conf: dict[str, str] | None = None) -> SparkSession:
     """A ``local[cpus]`` session for tests and the bench."""

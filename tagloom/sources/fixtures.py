@@ -13,8 +13,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..session import per_session
-
 SCHEMAS = {
     "posts": "id bigint, tags string, answer_count int, comment_count int, "
              "favorite_count int, creation_date timestamp_ntz",
@@ -39,7 +37,7 @@ class Sources:
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    return per_session(spark, ("table", path), lambda: spark.read.parquet(path))
+    return spark.read.parquet(path)
 
 
 def posts_view(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +91,5 @@ def users_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    return per_session(spark, ("sources", sf_dir.rstrip("/")),
-                 lambda: Sources(posts_view(spark, sf_dir), comments_view(spark, sf_dir),
-                                 users_view(spark, sf_dir)))
+    return Sources(posts_view(spark, sf_dir), comments_view(spark, sf_dir),
+                   users_view(spark, sf_dir))

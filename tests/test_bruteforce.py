@@ -58,19 +58,19 @@ def brute(posts):
 
 
 @pytest.mark.parametrize("seed", [1, 2, 3])
-@pytest.mark.parametrize("inline_max", [512, 5])
-def test_totals_equal_brute_force(spark, seed, inline_max):
+@pytest.mark.parametrize("unit_tokens", [512, 5])
+def test_totals_equal_brute_force(spark, seed, unit_tokens):
     data = random_posts(seed)
     posts = spark.createDataFrame(data, SCHEMAS["posts"])
     pt = t.post_tags(posts)
     rel, node, date, lst = brute(data)
-    assert set(rows(tot.tech_rel(pt, inline_max))) == rel
-    assert len(rows(tot.tech_rel(pt, inline_max))) == len(rel)
-    assert set(rows(tot.tech_node(pt, inline_max))) == node
-    assert set(rows(tot.tag_date(pt, inline_max=inline_max))) == date
+    assert set(rows(tot.tech_rel(pt, unit_tokens))) == rel
+    assert len(rows(tot.tech_rel(pt, unit_tokens))) == len(rel)
+    assert set(rows(tot.tech_node(pt))) == node
+    assert set(rows(tot.tag_date(pt))) == date
     assert set(rows(tot.tag_list(pt))) == lst
     n_pairs = sum(r[3] for r in rel)
-    assert t.tag_pairs(pt, inline_max).count() == n_pairs
+    assert t.tag_pairs(pt, unit_tokens).count() == n_pairs
 
 
 @pytest.mark.parametrize("seed", [4, 5])

@@ -7,7 +7,9 @@ import duckdb
 import pytest
 from conftest import SF001
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tagloom.plans.oracle import oracle_sql
+from tagloom.plans.queries import QUERIES
 from tools.oracle_check import value_hash
 
 TABLES = ("supplier", "part", "orders", "lineitem")
@@ -23,12 +25,12 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(queries()) == set(oracle_sql())
+    assert set(QUERIES) == set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF001)
+    df = QUERIES[name](spark, SF001)
     srows = [tuple(r) for r in df.collect()]
     res = con.execute(oracle_sql()[name])
     ocols = [d[0] for d in res.description]

@@ -4,8 +4,8 @@ filters prune partitions, top-k is limited before the shuffle."""
 import pytest
 from conftest import SF001
 
-from __spark_entry__ import queries
 from tagloom.operators import totals as tot
+from tagloom.plans.queries import QUERIES
 from tagloom.plans.tables import TagTables
 from tagloom.sinks.writers import read_year_table, write_table
 from tagloom.sources import batches as b
@@ -16,9 +16,9 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_in_plan(spark, name):
-    p = plan(queries()[name](spark, SF001))
+    p = plan(QUERIES[name](spark, SF001))
     for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
         assert node not in p, f"{name} runs Python: {node}"
 
@@ -42,7 +42,7 @@ def test_year_filter_prunes_partitions(spark, scratch):
 
 
 def test_top_k_limited_before_shuffle(spark):
-    p = plan(queries()["graph_edges"](spark, SF001))
+    p = plan(QUERIES["graph_edges"](spark, SF001))
     assert "WindowGroupLimit" in p and "Partial" in p
 
 
@@ -117,7 +117,7 @@ def rows_equal(a, b) -> bool:
 
 
 def test_compare_edge_aggregates_vertices_once(spark):
-    df = queries()["compare_edge"](spark, SF001)
+    df = QUERIES["compare_edge"](spark, SF001)
     df.collect()
     p = plan(df).split("== Initial Plan ==")[0]
     # one shuffle for the vertex totals (grouped by tag), one for the pairs

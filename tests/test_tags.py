@@ -88,17 +88,30 @@ def test_day_from_timestamp(make_posts):
     assert rows(t.post_tags(posts), "day") == [(dt.date(2012, 3, 4),)]
 
 
-def test_big_post_path_equals_inline(make_posts):
-    """A post over the inline limit takes the salted self-join; same result."""
+def test_units_of_a_big_post(make_posts):
+    """A post dealt out as many units gives what one unit gives."""
     many = "".join(f"<t{i}>" for i in range(12)) + "<t1><t2>"
     posts = _posts(make_posts, many, "<a><b><a>", "<x><y><z>")
     pt = t.post_tags(posts)
-    inline = t.tag_pairs(pt, inline_max=1000)
-    split = t.tag_pairs(pt, inline_max=4, salt=4)
-    assert rows(inline) == rows(split)
-    assert rows(tot.tech_rel(pt, inline_max=1000)) == rows(tot.tech_rel(pt, inline_max=4))
-    assert rows(tot.tech_node(pt, inline_max=1000)) == rows(tot.tech_node(pt, inline_max=4))
-    assert rows(tot.tag_date(pt, inline_max=1000)) == rows(tot.tag_date(pt, inline_max=4))
+    assert rows(t.tag_pairs(pt)) == rows(t.tag_pairs(pt, unit_tokens=4))
+    assert rows(tot.tech_rel(pt)) == rows(tot.tech_rel(pt, unit_tokens=4))
+
+
+def test_long_repeated_tags(make_posts):
+    """Two tags of 50,000 repeats each: products beyond 32 bits."""
+    pt = t.post_tags(_posts(make_posts, "<a><b>" * 50_000))
+    assert [r[3] for r in rows(tot.tech_rel(pt))] == [2_500_000_000] * 2
+    assert [r[3] for r in rows(tot.tag_date(pt))] == [2_500_000_000] * 2
+
+
+def test_units_of_a_huge_post_are_spread(spark, make_posts):
+    """A post of 2,000 distinct tags: its pairs come from several tasks."""
+    from pyspark.sql import functions as F
+    pt = t.post_tags(_posts(make_posts, "".join(f"<t{i}>" for i in range(2_000))))
+    half = t.half_pair_counts(pt, unit_tokens=100)
+    per_task = half.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r[1] for r in per_task) == 2_000 * 1_999 // 2
+    assert len(per_task) > 1
 
 
 def test_record_without_day(spark):

@@ -39,11 +39,10 @@ def test_w1_equals_pair_table(pt):
     assert rows(tot.tag_date(pt)) == rows(tot.tag_date_from_pairs(pairs))
 
 
-def test_split_path_on_whole_table(pt):
-    """Every post through the salted self-join path gives the same totals."""
-    assert rows(tot.tech_rel(pt, inline_max=0)) == rows(tot.tech_rel(pt))
-    assert rows(tot.tech_node(pt, inline_max=0)) == rows(tot.tech_node(pt))
-    assert rows(t.tag_pairs(pt, inline_max=2)) == rows(t.tag_pairs(pt))
+def test_many_units_on_whole_table(pt):
+    """Posts dealt out token by token give the same totals as whole ones."""
+    assert rows(tot.tech_rel(pt, unit_tokens=1)) == rows(tot.tech_rel(pt))
+    assert rows(t.tag_pairs(pt, unit_tokens=2)) == rows(t.tag_pairs(pt))
 
 
 def test_fixture_sums(pt):
@@ -91,7 +90,7 @@ def test_user_tech_list_order(spark):
         [(1, "u", None, "b", 5, 1), (1, "u", None, "a", 5, 2), (1, "u", None, "c", 9, 1)],
         "user_id bigint, user_name string, user_website string, tech string, score bigint, "
         "cnt bigint")
-    assert rows(tot.user_tech_list(ut), "techs") == [("c:9:1,a:5:2,b:5:1",)]
+    assert rows(tot.user_tech_list(ut), "techs") == [([("c", 9, 1), ("a", 5, 2), ("b", 5, 1)],)]
 
 
 def test_vertex_semi_join_is_noop_for_same_posts(pt):
