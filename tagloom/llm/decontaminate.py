@@ -29,6 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import lean
+
 CHARS_PER_ERROR = 16
 LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
@@ -158,7 +160,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 )
 
         own = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
-        return own.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SCHEMA)
+        return own.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), SCHEMA)
 
     found = [scan(block) for block in _blocks(benchmark)]
     return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], SCHEMA)

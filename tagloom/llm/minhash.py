@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged
+from tagloom.llm.common import Staged, lean
 from tagloom.llm.components import components
 from tagloom.llm.wordhash import NOT_SPACE, document_words, mix, slices
 
@@ -167,7 +167,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .repartition("pivot", "salt")
         .sortWithinPartitions("pivot", "salt", F.desc("is_pivot"))
         .select("pivot", "is_pivot", "doc_id", "text")
-        .mapInArrow(_verified, "a long, b long")
+        .mapInArrow(lean(_verified), "a long, b long")
     )
 
 
@@ -308,7 +308,7 @@ def _left_over(buckets: DataFrame, label: DataFrame, sketch: DataFrame, texts: D
 
     def run(units: DataFrame, forest) -> DataFrame:
         dealt = units.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
-        return dealt.mapInArrow(_in_blocks(forest), "a long, b long")
+        return dealt.mapInArrow(lean(_in_blocks(forest)), "a long, b long")
 
     placed = buckets.join(label, F.col("rep") == F.col("node"), "left").select(
         F.col("key").alias("group"), "rep", "n", F.coalesce("component", "rep").alias("component")
@@ -331,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     staged = Staged(spark, "minhash")
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = staged.write(texts.mapInArrow(_sketches, _SKETCH), "sketch")
+    sketch = staged.write(texts.mapInArrow(lean(_sketches), _SKETCH), "sketch")
     full = sketch.where("n_shingles > 0")
     classes = full.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"))
     reps = staged.write(
