@@ -9,8 +9,12 @@ the graph tables from the written totals, one write job per table.
 ``run_incremental`` keeps the reference's id-window loop for loads that
 arrive over time: half-open windows (D1), each merged once (D19).
 
+``run_graph`` writes the four graph tables from the totals that a store has
+accumulated, as the original's export did from its database.
+
 ``serve_compare`` answers the comparison page from the written tables, so
-the page's filters reach the Parquet scans (and the ``year`` partitions).
+the page's filters reach the Parquet scans (and the ``year`` partitions);
+``serve_compare_store`` does so from a store and the graph written from it.
 """
 
 from __future__ import annotations
@@ -88,6 +92,34 @@ def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore,
     return applied
 
 
+def _store_tables(store: TotalsStore) -> dict[str, DataFrame]:
+    """The current totals of a store by name; those never written are left out."""
+    found = {name: store.table(name) for name in BASE_TABLES}
+    return {name: df for name, df in found.items() if df is not None}
+
+
+def run_graph(store: TotalsStore, out_root: str) -> dict[str, str]:
+    """The graph tables of the totals accumulated in ``store``; returns their
+    paths. A store without comments gives vertices and edges only."""
+    totals = _store_tables(store)
+    if "tech_node" not in totals:
+        raise ValueError("the store holds no batch of posts yet")
+    tables = TagTables(None, given=totals)
+    names = DERIVED_TABLES if "user_tech" in totals else DERIVED_TABLES[:2]
+    return write_tables({name: getattr(tables, name) for name in names}, out_root)
+
+
+def serve_compare_store(store: TotalsStore, graph_root: str, tech: str, tech_with: str,
+                        tech_or: str) -> dict[str, DataFrame]:
+    """The page's sections over a store's totals and the graph ``run_graph`` wrote."""
+    edges = store.spark.read.parquet(f"{graph_root.rstrip('/')}/graph_edges")
+    given = {**_store_tables(store), "graph_edges": edges}
+    missing = [name for name in BASE_TABLES if name not in given]
+    if missing:
+        raise ValueError(f"the store holds no {', '.join(missing)} yet")
+    return compare(TagTables(None, given=given), tech, tech_with, tech_or)
+
+
 def serve_compare(spark: SparkSession, root: str, tech: str, tech_with: str,
                   tech_or: str) -> dict[str, DataFrame]:
     """The page's sections over the written tables."""

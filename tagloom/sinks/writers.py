@@ -14,6 +14,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.merge import SPECS
 
 JDBC_BATCH_ROWS = 1000
+JDBC_WRITERS = 18            # connections a write opens at most
+
+# The order each stored table is kept in: first the column its lookups filter
+# by, then the rest of its key, so that a hot tag still spans many tasks and files.
+CLUSTER = {
+    "tech_rel": ("technode1", "technode2"),
+    "tag_date": ("year", "tech", "day"),
+    "tag_list": ("year", "day", "techlist"),
+    "user_tech": ("tech", "user_id"),
+    "graph_edges": ("technode2", "technode1"),
+    "contribute_edges": ("tech", "user_id"),
+}
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
@@ -22,18 +34,21 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     """K1: one Parquet table. An overwrite replaces the whole table, whatever the
     session's partition overwrite mode: no partition of an older build stays.
 
-    Before a partitioned write the rows are range-partitioned on the
-    partition columns plus ``cluster_by``: Spark samples the keys for
+    With ``partition_by`` or ``cluster_by`` the rows are range-partitioned on
+    those columns and sorted in each task: Spark samples the keys for
     balanced bounds, so each task writes to one or two partition folders
-    (few files) and a hot year or day is still spread over many tasks --
+    (few files) and a hot year or tag is still spread over many tasks --
     hashing on the partition column alone would put a whole year in one.
+    A lookup by the first cluster column then skips the row groups outside
+    its range (Parquet minimum and maximum).
     """
+    by = [*partition_by, *(c for c in cluster_by if c not in partition_by)]
+    if by:
+        df = df.repartitionByRange(*by).sortWithinPartitions(*by)
+    w = df.write.mode(mode)
     if partition_by:
-        df = df.repartitionByRange(*partition_by, *cluster_by)
-        (df.write.mode(mode).option("partitionOverwriteMode", "static")
-         .partitionBy(*partition_by).parquet(path))
-    else:
-        df.write.mode(mode).parquet(path)
+        w = w.option("partitionOverwriteMode", "static").partitionBy(*partition_by)
+    w.parquet(path)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, str]:
@@ -42,8 +57,7 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
     for name, df in tables.items():
         spec = SPECS.get(name)
         path = f"{root.rstrip('/')}/{name}"
-        write_table(df, path, mode, spec.partition_by if spec else (),
-                    spec.keys if spec else ())
+        write_table(df, path, mode, spec.partition_by if spec else (), CLUSTER.get(name, ()))
         out[name] = path
     return out
 
@@ -58,13 +72,11 @@ def read_year_table(spark: SparkSession, path: str, years: list[int] | None = No
 
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append",
                properties: dict[str, str] | None = None,
-               batch_rows: int = JDBC_BATCH_ROWS, num_partitions: int | None = None) -> None:
+               batch_rows: int = JDBC_BATCH_ROWS, num_partitions: int = JDBC_WRITERS) -> None:
     """K1 over JDBC: every task inserts its rows in batches of ``batch_rows``
     in one transaction; ``num_partitions`` caps the concurrent connections."""
     w = (df.write.format("jdbc").mode(mode).option("url", url).option("dbtable", table)
-         .option("batchsize", str(batch_rows)))
-    if num_partitions:
-        w = w.option("numPartitions", str(num_partitions))
+         .option("batchsize", str(batch_rows)).option("numPartitions", str(num_partitions)))
     for k, v in (properties or {}).items():
         w = w.option(k, v)
     w.save()

@@ -14,10 +14,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 # Fixed value of the reference's JDBC reads: partitions asked for.
 JDBC_PARTITIONS = 18
+FETCH_ROWS = 10_000          # rows per round trip to the database
 
 
 def _reader(spark: SparkSession, url: str, properties: dict[str, str] | None):
-    r = spark.read.format("jdbc").option("url", url)
+    r = spark.read.format("jdbc").option("url", url).option("fetchsize", str(FETCH_ROWS))
     for k, v in (properties or {}).items():
         r = r.option(k, v)
     return r

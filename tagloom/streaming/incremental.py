@@ -30,14 +30,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..operators.merge import SPECS, merge_totals
-from ..sinks.writers import write_jdbc, write_table
-from ..sources.jdbc import read_jdbc
+from ..sinks.writers import CLUSTER, write_jdbc, write_table
+from ..sources.jdbc import read_jdbc, read_jdbc_partitioned
 from ..sources.fixtures import SCHEMAS
 
 LEDGER_SCHEMA = "batch_id string, table string, part int, version int"
 WHOLE = -1                  # the part of a table that is not split by year
 BATCH_MARK = "_batch"       # one ledger row per applied batch, even an empty one
 JDBC_LEDGER_SCHEMA = "batch_id string, tbl string, part int, version int"
+#: Tables of a database that grow with the data and are read whole: split by this id.
+JDBC_SPLIT = {"user_tech": "user_id"}
 JDBC_LEDGER_TYPES = "batch_id VARCHAR(256), tbl VARCHAR(64)"
 
 
@@ -125,7 +127,8 @@ class TotalsStore:
 
     def _write_version(self, df: DataFrame, name: str, version: int) -> None:
         spec = SPECS[name]
-        write_table(df, self.path(name, version), "overwrite", spec.partition_by, spec.keys)
+        write_table(df, self.path(name, version), "overwrite", spec.partition_by,
+                    CLUSTER.get(name, ()))
 
     def _read(self, name: str, parts: dict[int, int]) -> DataFrame | None:
         """The union of the given parts at their versions."""
@@ -194,9 +197,10 @@ class JdbcTotalsStore(TotalsStore):
     """
 
     def __init__(self, spark: SparkSession, url: str, properties: dict[str, str] | None = None,
-                 prefix: str = "TAGLOOM"):
+                 prefix: str = "TAGLOOM", quote: str = '"'):
         self.spark = spark
         self.url = url
+        self.quote = quote
         self.props = dict(properties or {})
         self.prefix = prefix.upper()
         empty = spark.createDataFrame([], JDBC_LEDGER_SCHEMA)
@@ -219,8 +223,12 @@ class JdbcTotalsStore(TotalsStore):
                    self.ledger_table, mode="append", properties=self.props)
 
     def _read_part(self, name: str, part: int, version: int) -> DataFrame:
-        df = read_jdbc(self.spark, self.url, table=self.table_name(name, version),
-                       properties=self.props)
+        table = self.table_name(name, version)
+        if name in JDBC_SPLIT:
+            return read_jdbc_partitioned(self.spark, self.url, table,
+                                         f'{self.quote}{JDBC_SPLIT[name]}{self.quote}',
+                                         properties=self.props)
+        df = read_jdbc(self.spark, self.url, table=table, properties=self.props)
         if part == WHOLE:
             return df
         return df.where(F.col(SPECS[name].partition_by[0]) == part)
