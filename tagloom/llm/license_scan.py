@@ -34,16 +34,14 @@ BASE = {
 }
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
-#: Words of which one stands in any text that some rule can match.
-GATE = ("licen", "copyright", "copyleft", "spdx", "public domain", "all rights reserved", "cc by", "cc0", "creative commons", "warranty", "redistribution", "gpl", "permission is hereby granted", "provided as is")
-
 
 @dataclass(frozen=True)
 class Rule:
     label: str
     priority: int  # 1 lowest, 3 highest
-    keyword: str
+    keyword: str  # stands in any text in which the rule is tried
     pattern: str
+    gate: tuple[str, ...]  # one of them stands in any match of the pattern
 
 
 #: label: (keyword, the license's name as it stands in words, SPDX id as it stands in words)
@@ -110,66 +108,81 @@ NAMES = {
     "cc-by-nc-4": ("by nc", r"cc by nc 4 0", r"cc by nc 4 0"),
 }
 
-#: Forms in which a license is named: (priority, pattern around the name or the id).
+#: Forms in which a license is named: (priority, words of which any match holds one, pattern around the name or the id).
 FORMS = (
-    (3, r"spdx license identifier {id}"),
-    (3, r"(?:licen[cs]ed|released|distributed|available|published|covered) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?"),
-    (2, r"(?:subject to|terms of|conditions of|governed by) the {name}(?: licen[cs]e)?"),
-    (2, r"licen[cs]e(?:s)?(?: is| are)? {name}"),
-    (1, r"{name} licen[cs]e"),
+    (3, ("spdx license identifier",), r"spdx license identifier {id}"),
+    (
+        3,
+        ("licensed under", "licenced under", "released under", "distributed under", "available under", "published under", "covered under"),
+        r"(?:licen[cs]ed|released|distributed|available|published|covered) under (?:the )?(?:terms of )?(?:the )?{name}(?: licen[cs]e)?",
+    ),
+    (
+        2,
+        ("subject to the", "terms of the", "conditions of the", "governed by the"),
+        r"(?:subject to|terms of|conditions of|governed by) the {name}(?: licen[cs]e)?",
+    ),
+    (2, ("license", "licence"), r"licen[cs]e(?:s)?(?: is| are)? {name}"),
+    (1, ("license", "licence"), r"{name} licen[cs]e"),
 )
 
 #: Signatures that name no license by itself, and texts of licenses.
 TEXTS = (
-    Rule("gpl", 1, "general public", r"gnu general public licen[cs]e"),
-    Rule("lgpl", 1, "lesser general public", r"gnu lesser general public licen[cs]e"),
-    Rule("agpl", 1, "affero", r"gnu affero general public licen[cs]e"),
-    Rule("gpl-3", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 3"),
-    Rule("gpl-2", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 2"),
-    Rule("or-later", 1, "any later version", r"or at your option any later version"),
-    Rule("mit", 3, "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software"),
-    Rule("isc", 3, "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
-    Rule("bsd", 2, "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted"),
-    Rule("bsd-3-clause", 3, "endorse or promote", r"may be used to endorse or promote products derived from this software"),
-    Rule("apache-2", 3, "apache", r"you may not use this file except in compliance with the license"),
-    Rule("zlib", 3, "as is", r"this software is provided as is without any express or implied warranty in no event"),
-    Rule("unlicense", 3, "public domain", r"free and unencumbered software released into the public domain"),
-    Rule("public-domain", 2, "public domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain"),
-    Rule("public-domain", 1, "public domain", r"in the public domain"),
-    Rule("wtfpl", 3, "do what", r"do what the f\S+ you want to public license"),
-    Rule("cc-by-sa", 2, "share", r"creative commons attribution share ?alike(?: [1-4] [0-9])?"),
-    Rule("cc-by-nc-sa", 3, "share", r"creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?"),
-    Rule("cc-by-nc-nd", 3, "no ?deriv", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1-4] [0-9])?"),
-    Rule("cc-by-nd", 2, "no ?deriv", r"creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] [0-9])?"),
-    Rule("cc-by-nc", 2, "commercial", r"creative commons attribution non ?commercial(?: [1-4] [0-9])?"),
-    Rule("cc-by-nc", 2, "cc by nc", r"cc by nc(?: [1-4] [0-9])?"),
-    Rule("cc-by", 2, "by", r"licen[cs]ed under (?:a )?cc by(?: [1-4] [0-9])?"),
-    Rule("cc0-1", 2, "no rights reserved", r"no rights reserved"),
-    Rule("creative-commons", 1, "creative commons", r"creative commons"),
-    Rule("proprietary", 2, "all rights reserved", r"all rights reserved"),
-    Rule("proprietary", 2, "proprietary", r"proprietary and confidential"),
-    Rule("proprietary", 2, "written permission", r"without (?:the )?(?:prior )?(?:express )?written permission"),
-    Rule("copyright", 1, "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}"),
-    Rule("copyleft", 1, "copyleft", r"copyleft"),
-    Rule("warranty-disclaimer", 1, "warrant", r"without warranty of any kind|without any warranty"),
-    Rule("spdx", 1, "spdx", r"spdx license identifier \S+"),
-    Rule("unknown-license", 1, "licen", r"licen[cs]ed under"),
-    Rule("unknown-license", 1, "licen", r"released under the \S+ licen[cs]e"),
-    Rule("non-commercial", 1, "commercial", r"(?:for )?non ?commercial (?:use|purposes) only"),
-    Rule("free-for-use", 1, "free", r"free for (?:personal|academic|educational|research) use"),
+    Rule("gpl", 1, "general public", r"gnu general public licen[cs]e", ("general public",)),
+    Rule("lgpl", 1, "lesser general public", r"gnu lesser general public licen[cs]e", ("general public",)),
+    Rule("agpl", 1, "affero", r"gnu affero general public licen[cs]e", ("general public",)),
+    Rule("gpl-3", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 3", ("general public",)),
+    Rule("gpl-2", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 2", ("general public",)),
+    Rule("or-later", 1, "any later version", r"or at your option any later version", ("any later version",)),
+    Rule("mit", 3, "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software", ("hereby granted",)),
+    Rule("isc", 3, "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("hereby granted",)),
+    Rule("bsd", 2, "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", ("redistribution and use",)),
+    Rule("bsd-3-clause", 3, "endorse or promote", r"may be used to endorse or promote products derived from this software", ("endorse or promote",)),
+    # the sentence alone is also that of other licenses
+    Rule("apache-2", 3, "apache", r"you may not use this file except in compliance with the license", ("license",)),
+    Rule("zlib", 3, "as is", r"this software is provided as is without any express or implied warranty in no event", ("provided as is",)),
+    Rule("unlicense", 3, "public domain", r"free and unencumbered software released into the public domain", ("public domain",)),
+    Rule("public-domain", 2, "public domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", ("public domain",)),
+    Rule("public-domain", 1, "public domain", r"in the public domain", ("public domain",)),
+    Rule("wtfpl", 3, "do what", r"do what the f\S+ you want to public license", ("license",)),
+    Rule("cc-by-sa", 2, "share", r"creative commons attribution share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc-sa", 3, "share", r"creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc-nd", 3, "no ?deriv", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nd", 2, "no ?deriv", r"creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc", 2, "commercial", r"creative commons attribution non ?commercial(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc", 2, "cc by nc", r"cc by nc(?: [1-4] [0-9])?", ("cc by",)),
+    Rule("cc-by", 2, "by", r"licen[cs]ed under (?:a )?cc by(?: [1-4] [0-9])?", ("cc by",)),
+    Rule("cc0-1", 2, "no rights reserved", r"no rights reserved", ("rights reserved",)),
+    Rule("creative-commons", 1, "creative commons", r"creative commons", ("creative commons",)),
+    Rule("proprietary", 2, "all rights reserved", r"all rights reserved", ("rights reserved",)),
+    Rule("proprietary", 2, "proprietary", r"proprietary and confidential", ("proprietary and",)),
+    Rule("proprietary", 2, "written permission", r"without (?:the )?(?:prior )?(?:express )?written permission", ("written permission",)),
+    Rule("copyright", 1, "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", ("copyright",)),
+    Rule("copyleft", 1, "copyleft", r"copyleft", ("copyleft",)),
+    Rule("warranty-disclaimer", 1, "warrant", r"without warranty of any kind|without any warranty", ("warranty",)),
+    Rule("spdx", 1, "spdx", r"spdx license identifier \S+", ("spdx license identifier",)),
+    Rule("unknown-license", 1, "licen", r"licen[cs]ed under", ("licensed under", "licenced under")),
+    Rule("unknown-license", 1, "licen", r"released under the \S+ licen[cs]e", ("released under",)),
+    Rule("non-commercial", 1, "commercial", r"(?:for )?non ?commercial (?:use|purposes) only", ("commercial use only", "commercial purposes only")),
+    Rule("free-for-use", 1, "free", r"free for (?:personal|academic|educational|research) use", ("free for",)),
 )
 
 
 def rules() -> list[Rule]:
     """All rules: each name in each form, then the signatures that stand alone."""
     named = [
-        Rule(label, priority, keyword, form.format(name=f"(?:{name})", id=f"(?:{spdx})"))
+        Rule(label, priority, keyword, form.format(name=f"(?:{name})", id=f"(?:{spdx})"), words)
         for label, (keyword, name, spdx) in NAMES.items()
-        for priority, form in FORMS
+        for priority, words, form in FORMS
     ]
     return named + list(TEXTS)
 
 
+def gate() -> list[str]:
+    """Words of which one stands in any text that a base phrase or some rule can match, without those that hold another."""
+    words = sorted({*BASE, *(w for r in rules() for w in r.gate)})
+    return [w for w in words if not any(v != w and v in w for v in words)]
+
+
 def word_text(text: Column) -> Column:
     """The words of a text between single spaces.
 
@@ -265,15 +278,15 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     ``score`` is 1 with a base label; else 0.9, 0.6 or 0.3 by the highest
     priority of the detections that remain, and 0 without any.
     """
-    gate = F.lit(False)
-    for word in GATE:
-        gate = gate | F.contains(F.col("words"), F.lit(word))
+    maybe = F.lit(False)
+    for word in gate():
+        maybe = maybe | F.contains(F.col("words"), F.lit(word))
     starts = [_base_starts(F.col("padded"), phrase) for phrase in BASE]
     nothing = F.array().cast("array<struct<start:int,minus_end:int,minus_priority:int,label:string>>")
     counted = (
         docs.select("doc_id", word_text(F.col("text")).alias("words"))
         .withColumn("n_words", F.when(F.col("words") == "", 0).otherwise(_spaces(F.col("words")) + 1).cast("long"))
-        .withColumn("maybe", gate)
+        .withColumn("maybe", maybe)
         .withColumn("padded", F.when(F.col("maybe"), F.concat(F.lit(" "), "words", F.lit(" "))))
     )
     located = counted.select(
