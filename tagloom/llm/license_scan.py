@@ -3,9 +3,9 @@
 A text is lower-cased and reduced to its words (runs of
 ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]``) joined by one space. Three base
 phrases are counted and located in every text. Texts that hold a gate word
-are then held against the signature rules: each rule has a keyword that must
-stand in the text before its regular expression is tried, and a priority. A
-detection that lies within one of higher priority, or within a longer one of
+are then held against the signature rules: each rule has words of which one
+stands in each of its matches, looked for before its regular expression is
+tried, and a priority. A detection that lies within one of higher priority, or within a longer one of
 the same priority, is suppressed; base labels are never suppressed.
 
 All of it is one projection over the rows, without a shuffle, so a hot key or
@@ -39,73 +39,74 @@ SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 class Rule:
     label: str
     priority: int  # 1 lowest, 3 highest
-    keyword: str  # stands in any text in which the rule is tried
     pattern: str
     gate: tuple[str, ...]  # one of them stands in any match of the pattern
+    keywords: tuple[str, ...] = ()  # of these too, if there are any
+    beside: str = ""  # must stand in the text besides
 
 
-#: label: (keyword, the license's name as it stands in words, SPDX id as it stands in words)
+#: label: (words of which any form of the name holds one, the license's name as it stands in words, SPDX id as it stands in words)
 NAMES = {
-    "mit": ("mit", r"(?:mit|expat)(?: x11)?", r"mit"),
-    "mit-0": ("mit", r"mit (?:no attribution|0)", r"mit 0"),
-    "apache-1.1": ("apache", r"apache(?: software)? license v(?:ersion )?1 1", r"apache 1 1"),
-    "apache-2": ("apache", r"apache(?: software)?(?: license)?(?: v| version| v ersion)? ?2(?: 0)?", r"apache 2 0"),
-    "bsd-2-clause": ("bsd", r"(?:simplified|freebsd|(?:2|two) clause) bsd|bsd (?:2|two) clause", r"bsd 2 clause"),
-    "bsd-3-clause": ("bsd", r"(?:new|modified|revised|(?:3|three) clause) bsd|bsd (?:3|three) clause", r"bsd 3 clause"),
-    "bsd-4-clause": ("bsd", r"(?:original|old|(?:4|four) clause) bsd|bsd (?:4|four) clause", r"bsd 4 clause"),
-    "0bsd": ("bsd", r"zero clause bsd|bsd (?:0|zero) clause|0bsd", r"0bsd"),
-    "gpl-1": ("g", r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
-    "gpl-2": ("g", r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?2(?: 0)?", r"gpl 2 0(?: only| or later)?"),
-    "gpl-3": ("g", r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?3(?: 0)?", r"gpl 3 0(?: only| or later)?"),
-    "lgpl-2": ("l", r"(?:gnu )?(?:lgpl|library general public license)(?: v| version)? ?2(?: 0)?", r"lgpl 2 0(?: only| or later)?"),
-    "lgpl-2.1": ("l", r"(?:gnu )?(?:lgpl|lesser general public license)(?: v| version)? ?2 1", r"lgpl 2 1(?: only| or later)?"),
-    "lgpl-3": ("l", r"(?:gnu )?(?:lgpl|lesser general public license)(?: v| version)? ?3(?: 0)?", r"lgpl 3 0(?: only| or later)?"),
-    "agpl-3": ("a", r"(?:gnu )?(?:agpl|affero general public license)(?: v| version)? ?3(?: 0)?", r"agpl 3 0(?: only| or later)?"),
-    "mpl-1.1": ("m", r"(?:mozilla public license|mpl)(?: v| version)? ?1 1", r"mpl 1 1"),
-    "mpl-2": ("m", r"(?:mozilla public license|mpl)(?: v| version)? ?2(?: 0)?", r"mpl 2 0"),
-    "epl-1": ("e", r"(?:eclipse public license|epl)(?: v| version)? ?1(?: 0)?", r"epl 1 0"),
-    "epl-2": ("e", r"(?:eclipse public license|epl)(?: v| version)? ?2(?: 0)?", r"epl 2 0"),
-    "cddl-1": ("c", r"(?:common development and distribution license|cddl)(?: v| version)? ?1(?: 0)?", r"cddl 1 0"),
-    "cddl-1.1": ("c", r"(?:common development and distribution license|cddl)(?: v| version)? ?1 1", r"cddl 1 1"),
-    "cpl-1": ("common public", r"common public license(?: v| version)? ?1(?: 0)?", r"cpl 1 0"),
-    "eupl-1.1": ("eu", r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1 1", r"eupl 1 1"),
-    "eupl-1.2": ("eu", r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1 2", r"eupl 1 2"),
-    "isc": ("isc", r"isc", r"isc"),
-    "zlib": ("zlib", r"zlib(?: libpng)?", r"zlib"),
-    "bsl-1": ("boost", r"boost(?: software)?(?: license)?(?: v| version)? ?1(?: 0)?", r"bsl 1 0"),
-    "busl-1.1": ("business source", r"business source license(?: v| version)? ?1 1", r"busl 1 1"),
-    "unlicense": ("unlicense", r"unlicense", r"unlicense"),
-    "wtfpl": ("wtfpl", r"wtfpl", r"wtfpl"),
-    "artistic-1": ("artistic", r"artistic license(?: v| version)? ?1(?: 0)?", r"artistic 1 0"),
-    "artistic-2": ("artistic", r"artistic license(?: v| version)? ?2(?: 0)?", r"artistic 2 0"),
-    "ofl-1.1": ("font", r"(?:sil )?open font license(?: v| version)? ?1 1", r"ofl 1 1"),
-    "psf-2": ("python", r"python(?: software foundation)? license(?: v| version)? ?2?", r"(?:psf|python) 2 0"),
-    "postgresql": ("postgresql", r"postgresql", r"postgresql"),
-    "php-3": ("php", r"php license(?: v| version)? ?3(?: 0| 01)?", r"php 3 0?1?"),
-    "ruby": ("ruby", r"ruby", r"ruby"),
-    "openssl": ("openssl", r"openssl", r"openssl"),
-    "x11": ("x11", r"x11", r"x11"),
-    "ncsa": ("ncsa", r"(?:university of illinois )?ncsa(?: open source)?", r"ncsa"),
-    "ms-pl": ("microsoft", r"microsoft public license", r"ms pl"),
-    "ms-rl": ("microsoft", r"microsoft reciprocal license", r"ms rl"),
-    "osl-3": ("open software", r"open software license(?: v| version)? ?3(?: 0)?", r"osl 3 0"),
-    "afl-3": ("academic free", r"academic free license(?: v| version)? ?3(?: 0)?", r"afl 3 0"),
-    "upl-1": ("universal permissive", r"universal permissive license(?: v| version)? ?1?(?: 0)?", r"upl 1 0"),
-    "mulan-psl-2": ("mulan", r"mulan(?: permissive software license|psl)(?: v| version)? ?2", r"mulanpsl 2 0"),
-    "sspl-1": ("server side public", r"server side public license(?: v| version)? ?1?", r"sspl 1 0"),
-    "elastic-2": ("elastic", r"elastic license(?: v| version)? ?2(?: 0)?", r"elastic 2 0"),
-    "gfdl-1.2": ("documentation", r"(?:gnu )?free documentation license(?: v| version)? ?1 2", r"gfdl 1 2(?: only| or later)?"),
-    "gfdl-1.3": ("documentation", r"(?:gnu )?free documentation license(?: v| version)? ?1 3", r"gfdl 1 3(?: only| or later)?"),
-    "odbl-1": ("database", r"open (?:data commons open )?database license(?: v| version)? ?1?(?: 0)?", r"odbl 1 0"),
-    "odc-by-1": ("open data commons", r"open data commons attribution license(?: v| version)? ?1?(?: 0)?", r"odc by 1 0"),
-    "pddl-1": ("public domain dedication", r"(?:open data commons )?public domain dedication and license", r"pddl 1 0"),
-    "cc0-1": ("cc0", r"(?:creative commons )?cc0(?: v| version)? ?1?(?: 0)?", r"cc0 1 0"),
-    "cc-by": ("by", r"(?:creative commons|cc) (?:attribution|by)(?: [1-4] [0-9])?", r"cc by [1-4] [0-9]"),
-    "cc-by-sa": ("sa", r"cc by sa(?: [1-4] [0-9])?", r"cc by sa [1-4] [0-9]"),
-    "cc-by-nd": ("nd", r"cc by nd(?: [1-4] [0-9])?", r"cc by nd [1-4] [0-9]"),
-    "cc-by-nc-sa": ("nc sa", r"cc by nc sa(?: [1-4] [0-9])?", r"cc by nc sa [1-4] [0-9]"),
-    "cc-by-nc-nd": ("nc nd", r"cc by nc nd(?: [1-4] [0-9])?", r"cc by nc nd [1-4] [0-9]"),
-    "cc-by-nc-4": ("by nc", r"cc by nc 4 0", r"cc by nc 4 0"),
+    "mit": (("mit", "expat"), r"(?:mit|expat)(?: x11)?", r"mit"),
+    "mit-0": (("mit",), r"mit (?:no attribution|0)", r"mit 0"),
+    "apache-1.1": (("apache",), r"apache(?: software)? license v(?:ersion )?1 1", r"apache 1 1"),
+    "apache-2": (("apache",), r"apache(?: software)?(?: license)?(?: v| version| v ersion)? ?2(?: 0)?", r"apache 2 0"),
+    "bsd-2-clause": (("bsd",), r"(?:simplified|freebsd|(?:2|two) clause) bsd|bsd (?:2|two) clause", r"bsd 2 clause"),
+    "bsd-3-clause": (("bsd",), r"(?:new|modified|revised|(?:3|three) clause) bsd|bsd (?:3|three) clause", r"bsd 3 clause"),
+    "bsd-4-clause": (("bsd",), r"(?:original|old|(?:4|four) clause) bsd|bsd (?:4|four) clause", r"bsd 4 clause"),
+    "0bsd": (("bsd",), r"zero clause bsd|bsd (?:0|zero) clause|0bsd", r"0bsd"),
+    "gpl-1": (("gpl", "general public"), r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?1(?: 0)?", r"gpl 1 0(?: only| or later)?"),
+    "gpl-2": (("gpl", "general public"), r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?2(?: 0)?", r"gpl 2 0(?: only| or later)?"),
+    "gpl-3": (("gpl", "general public"), r"(?:gnu )?(?:gpl|general public license)(?: v| version)? ?3(?: 0)?", r"gpl 3 0(?: only| or later)?"),
+    "lgpl-2": (("lgpl", "library general"), r"(?:gnu )?(?:lgpl|library general public license)(?: v| version)? ?2(?: 0)?", r"lgpl 2 0(?: only| or later)?"),
+    "lgpl-2.1": (("lgpl", "lesser general"), r"(?:gnu )?(?:lgpl|lesser general public license)(?: v| version)? ?2 1", r"lgpl 2 1(?: only| or later)?"),
+    "lgpl-3": (("lgpl", "lesser general"), r"(?:gnu )?(?:lgpl|lesser general public license)(?: v| version)? ?3(?: 0)?", r"lgpl 3 0(?: only| or later)?"),
+    "agpl-3": (("agpl", "affero"), r"(?:gnu )?(?:agpl|affero general public license)(?: v| version)? ?3(?: 0)?", r"agpl 3 0(?: only| or later)?"),
+    "mpl-1.1": (("mpl", "mozilla"), r"(?:mozilla public license|mpl)(?: v| version)? ?1 1", r"mpl 1 1"),
+    "mpl-2": (("mpl", "mozilla"), r"(?:mozilla public license|mpl)(?: v| version)? ?2(?: 0)?", r"mpl 2 0"),
+    "epl-1": (("epl", "eclipse"), r"(?:eclipse public license|epl)(?: v| version)? ?1(?: 0)?", r"epl 1 0"),
+    "epl-2": (("epl", "eclipse"), r"(?:eclipse public license|epl)(?: v| version)? ?2(?: 0)?", r"epl 2 0"),
+    "cddl-1": (("cddl", "common development"), r"(?:common development and distribution license|cddl)(?: v| version)? ?1(?: 0)?", r"cddl 1 0"),
+    "cddl-1.1": (("cddl", "common development"), r"(?:common development and distribution license|cddl)(?: v| version)? ?1 1", r"cddl 1 1"),
+    "cpl-1": (("common public",), r"common public license(?: v| version)? ?1(?: 0)?", r"cpl 1 0"),
+    "eupl-1.1": (("eupl", "european union"), r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1 1", r"eupl 1 1"),
+    "eupl-1.2": (("eupl", "european union"), r"(?:european union public licen[cs]e|eupl)(?: v| version)? ?1 2", r"eupl 1 2"),
+    "isc": (("isc",), r"isc", r"isc"),
+    "zlib": (("zlib",), r"zlib(?: libpng)?", r"zlib"),
+    "bsl-1": (("boost",), r"boost(?: software)?(?: license)?(?: v| version)? ?1(?: 0)?", r"bsl 1 0"),
+    "busl-1.1": (("business source",), r"business source license(?: v| version)? ?1 1", r"busl 1 1"),
+    "unlicense": (("unlicense",), r"unlicense", r"unlicense"),
+    "wtfpl": (("wtfpl",), r"wtfpl", r"wtfpl"),
+    "artistic-1": (("artistic",), r"artistic license(?: v| version)? ?1(?: 0)?", r"artistic 1 0"),
+    "artistic-2": (("artistic",), r"artistic license(?: v| version)? ?2(?: 0)?", r"artistic 2 0"),
+    "ofl-1.1": (("font",), r"(?:sil )?open font license(?: v| version)? ?1 1", r"ofl 1 1"),
+    "psf-2": (("python",), r"python(?: software foundation)? license(?: v| version)? ?2?", r"(?:psf|python) 2 0"),
+    "postgresql": (("postgresql",), r"postgresql", r"postgresql"),
+    "php-3": (("php",), r"php license(?: v| version)? ?3(?: 0| 01)?", r"php 3 0?1?"),
+    "ruby": (("ruby",), r"ruby", r"ruby"),
+    "openssl": (("openssl",), r"openssl", r"openssl"),
+    "x11": (("x11",), r"x11", r"x11"),
+    "ncsa": (("ncsa",), r"(?:university of illinois )?ncsa(?: open source)?", r"ncsa"),
+    "ms-pl": (("microsoft",), r"microsoft public license", r"ms pl"),
+    "ms-rl": (("microsoft",), r"microsoft reciprocal license", r"ms rl"),
+    "osl-3": (("open software",), r"open software license(?: v| version)? ?3(?: 0)?", r"osl 3 0"),
+    "afl-3": (("academic free",), r"academic free license(?: v| version)? ?3(?: 0)?", r"afl 3 0"),
+    "upl-1": (("universal permissive",), r"universal permissive license(?: v| version)? ?1?(?: 0)?", r"upl 1 0"),
+    "mulan-psl-2": (("mulan",), r"mulan(?: permissive software license|psl)(?: v| version)? ?2", r"mulanpsl 2 0"),
+    "sspl-1": (("server side public",), r"server side public license(?: v| version)? ?1?", r"sspl 1 0"),
+    "elastic-2": (("elastic",), r"elastic license(?: v| version)? ?2(?: 0)?", r"elastic 2 0"),
+    "gfdl-1.2": (("documentation",), r"(?:gnu )?free documentation license(?: v| version)? ?1 2", r"gfdl 1 2(?: only| or later)?"),
+    "gfdl-1.3": (("documentation",), r"(?:gnu )?free documentation license(?: v| version)? ?1 3", r"gfdl 1 3(?: only| or later)?"),
+    "odbl-1": (("database",), r"open (?:data commons open )?database license(?: v| version)? ?1?(?: 0)?", r"odbl 1 0"),
+    "odc-by-1": (("open data commons",), r"open data commons attribution license(?: v| version)? ?1?(?: 0)?", r"odc by 1 0"),
+    "pddl-1": (("public domain dedication",), r"(?:open data commons )?public domain dedication and license", r"pddl 1 0"),
+    "cc0-1": (("cc0",), r"(?:creative commons )?cc0(?: v| version)? ?1?(?: 0)?", r"cc0 1 0"),
+    "cc-by": (("commons attribution", "commons by", "cc attribution", "cc by"), r"(?:creative commons|cc) (?:attribution|by)(?: [1-4] [0-9])?", r"cc by [1-4] [0-9]"),
+    "cc-by-sa": (("by sa",), r"cc by sa(?: [1-4] [0-9])?", r"cc by sa [1-4] [0-9]"),
+    "cc-by-nd": (("by nd",), r"cc by nd(?: [1-4] [0-9])?", r"cc by nd [1-4] [0-9]"),
+    "cc-by-nc-sa": (("nc sa",), r"cc by nc sa(?: [1-4] [0-9])?", r"cc by nc sa [1-4] [0-9]"),
+    "cc-by-nc-nd": (("nc nd",), r"cc by nc nd(?: [1-4] [0-9])?", r"cc by nc nd [1-4] [0-9]"),
+    "cc-by-nc-4": (("by nc",), r"cc by nc 4 0", r"cc by nc 4 0"),
 }
 
 #: Forms in which a license is named: (priority, words of which any match holds one, pattern around the name or the id).
@@ -127,51 +128,51 @@ FORMS = (
 
 #: Signatures that name no license by itself, and texts of licenses.
 TEXTS = (
-    Rule("gpl", 1, "general public", r"gnu general public licen[cs]e", ("general public",)),
-    Rule("lgpl", 1, "lesser general public", r"gnu lesser general public licen[cs]e", ("general public",)),
-    Rule("agpl", 1, "affero", r"gnu affero general public licen[cs]e", ("general public",)),
-    Rule("gpl-3", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 3", ("general public",)),
-    Rule("gpl-2", 3, "general public", r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 2", ("general public",)),
-    Rule("or-later", 1, "any later version", r"or at your option any later version", ("any later version",)),
-    Rule("mit", 3, "hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software", ("hereby granted",)),
-    Rule("isc", 3, "permission to use", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("hereby granted",)),
-    Rule("bsd", 2, "redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", ("redistribution and use",)),
-    Rule("bsd-3-clause", 3, "endorse or promote", r"may be used to endorse or promote products derived from this software", ("endorse or promote",)),
+    Rule("gpl", 1, r"gnu general public licen[cs]e", ("general public",)),
+    Rule("lgpl", 1, r"gnu lesser general public licen[cs]e", ("lesser general public",)),
+    Rule("agpl", 1, r"gnu affero general public licen[cs]e", ("affero general public",)),
+    Rule("gpl-3", 3, r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 3", ("general public",)),
+    Rule("gpl-2", 3, r"gnu general public licen[cs]e (?:as published by the free software foundation )?(?:either )?version 2", ("general public",)),
+    Rule("or-later", 1, r"or at your option any later version", ("any later version",)),
+    Rule("mit", 3, r"permission is hereby granted free of charge to any person obtaining a copy of this software", ("hereby granted",)),
+    Rule("isc", 3, r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ("permission to use",)),
+    Rule("bsd", 2, r"redistribution and use in source and binary forms with or without modification are permitted", ("redistribution and use",)),
+    Rule("bsd-3-clause", 3, r"may be used to endorse or promote products derived from this software", ("endorse or promote",)),
     # the sentence alone is also that of other licenses
-    Rule("apache-2", 3, "apache", r"you may not use this file except in compliance with the license", ("license",)),
-    Rule("zlib", 3, "as is", r"this software is provided as is without any express or implied warranty in no event", ("provided as is",)),
-    Rule("unlicense", 3, "public domain", r"free and unencumbered software released into the public domain", ("public domain",)),
-    Rule("public-domain", 2, "public domain", r"(?:released|placed|dedicated) (?:in|into|to) the public domain", ("public domain",)),
-    Rule("public-domain", 1, "public domain", r"in the public domain", ("public domain",)),
-    Rule("wtfpl", 3, "do what", r"do what the f\S+ you want to public license", ("license",)),
-    Rule("cc-by-sa", 2, "share", r"creative commons attribution share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
-    Rule("cc-by-nc-sa", 3, "share", r"creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
-    Rule("cc-by-nc-nd", 3, "no ?deriv", r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
-    Rule("cc-by-nd", 2, "no ?deriv", r"creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
-    Rule("cc-by-nc", 2, "commercial", r"creative commons attribution non ?commercial(?: [1-4] [0-9])?", ("creative commons",)),
-    Rule("cc-by-nc", 2, "cc by nc", r"cc by nc(?: [1-4] [0-9])?", ("cc by",)),
-    Rule("cc-by", 2, "by", r"licen[cs]ed under (?:a )?cc by(?: [1-4] [0-9])?", ("cc by",)),
-    Rule("cc0-1", 2, "no rights reserved", r"no rights reserved", ("rights reserved",)),
-    Rule("creative-commons", 1, "creative commons", r"creative commons", ("creative commons",)),
-    Rule("proprietary", 2, "all rights reserved", r"all rights reserved", ("rights reserved",)),
-    Rule("proprietary", 2, "proprietary", r"proprietary and confidential", ("proprietary and",)),
-    Rule("proprietary", 2, "written permission", r"without (?:the )?(?:prior )?(?:express )?written permission", ("written permission",)),
-    Rule("copyright", 1, "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", ("copyright",)),
-    Rule("copyleft", 1, "copyleft", r"copyleft", ("copyleft",)),
-    Rule("warranty-disclaimer", 1, "warrant", r"without warranty of any kind|without any warranty", ("warranty",)),
-    Rule("spdx", 1, "spdx", r"spdx license identifier \S+", ("spdx license identifier",)),
-    Rule("unknown-license", 1, "licen", r"licen[cs]ed under", ("licensed under", "licenced under")),
-    Rule("unknown-license", 1, "licen", r"released under the \S+ licen[cs]e", ("released under",)),
-    Rule("non-commercial", 1, "commercial", r"(?:for )?non ?commercial (?:use|purposes) only", ("commercial use only", "commercial purposes only")),
-    Rule("free-for-use", 1, "free", r"free for (?:personal|academic|educational|research) use", ("free for",)),
+    Rule("apache-2", 3, r"you may not use this file except in compliance with the license", ("compliance with the license",), beside="apache"),
+    Rule("zlib", 3, r"this software is provided as is without any express or implied warranty in no event", ("provided as is",)),
+    Rule("unlicense", 3, r"free and unencumbered software released into the public domain", ("public domain",)),
+    Rule("public-domain", 2, r"(?:released|placed|dedicated) (?:in|into|to) the public domain", ("public domain",)),
+    Rule("public-domain", 1, r"in the public domain", ("public domain",)),
+    Rule("wtfpl", 3, r"do what the f\S+ you want to public license", ("do what the",)),
+    Rule("cc-by-sa", 2, r"creative commons attribution share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc-sa", 3, r"creative commons attribution non ?commercial share ?alike(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc-nd", 3, r"creative commons attribution non ?commercial no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nd", 2, r"creative commons attribution no ?deriv(?:ative)?s?(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc", 2, r"creative commons attribution non ?commercial(?: [1-4] [0-9])?", ("creative commons",)),
+    Rule("cc-by-nc", 2, r"cc by nc(?: [1-4] [0-9])?", ("cc by",)),
+    Rule("cc-by", 2, r"licen[cs]ed under (?:a )?cc by(?: [1-4] [0-9])?", ("cc by",)),
+    Rule("cc0-1", 2, r"no rights reserved", ("rights reserved",)),
+    Rule("creative-commons", 1, r"creative commons", ("creative commons",)),
+    Rule("proprietary", 2, r"all rights reserved", ("rights reserved",)),
+    Rule("proprietary", 2, r"proprietary and confidential", ("proprietary and",)),
+    Rule("proprietary", 2, r"without (?:the )?(?:prior )?(?:express )?written permission", ("written permission",)),
+    Rule("copyright", 1, r"copyright (?:c )?(?:19|20)[0-9]{2}", ("copyright",)),
+    Rule("copyleft", 1, r"copyleft", ("copyleft",)),
+    Rule("warranty-disclaimer", 1, r"without warranty of any kind|without any warranty", ("warranty",)),
+    Rule("spdx", 1, r"spdx license identifier \S+", ("spdx license identifier",)),
+    Rule("unknown-license", 1, r"licen[cs]ed under", ("licensed under", "licenced under")),
+    Rule("unknown-license", 1, r"released under the \S+ licen[cs]e", ("released under",)),
+    Rule("non-commercial", 1, r"(?:for )?non ?commercial (?:use|purposes) only", ("commercial use only", "commercial purposes only")),
+    Rule("free-for-use", 1, r"free for (?:personal|academic|educational|research) use", ("free for",)),
 )
 
 
 def rules() -> list[Rule]:
     """All rules: each name in each form, then the signatures that stand alone."""
     named = [
-        Rule(label, priority, keyword, form.format(name=f"(?:{name})", id=f"(?:{spdx})"), words)
-        for label, (keyword, name, spdx) in NAMES.items()
+        Rule(label, priority, form.format(name=f"(?:{name})", id=f"(?:{spdx})"), words, names if "{name}" in form else ())
+        for label, (names, name, spdx) in NAMES.items()
         for priority, words, form in FORMS
     ]
     return named + list(TEXTS)
@@ -196,16 +197,33 @@ def _spaces(stretch: Column) -> Column:
     return F.length(stretch) - F.length(F.replace(stretch, F.lit(" "), F.lit("")))
 
 
+def _words(words: tuple[str, ...]) -> Column:
+    return F.array(*map(F.lit, words)) if words else F.array().cast("array<string>")
+
+
 def _rule_table() -> Column:
+    """The rules in groups of equal gate words."""
+    groups: dict[tuple[str, ...], list[Rule]] = {}
+    for r in rules():
+        groups.setdefault(r.gate, []).append(r)
     return F.array(
         *[
             F.struct(
-                F.lit(r.label).alias("label"),
-                F.lit(r.priority).alias("priority"),
-                F.lit(r.keyword.replace(" ?", "")).alias("keyword"),
-                F.lit(f" (?:{r.pattern})(?= )").alias("pattern"),
+                _words(words).alias("gate"),
+                F.array(
+                    *[
+                        F.struct(
+                            F.lit(r.label).alias("label"),
+                            F.lit(r.priority).alias("priority"),
+                            _words(r.keywords).alias("keywords"),
+                            F.lit(r.beside).alias("beside"),
+                            F.lit(f" (?:{r.pattern})(?= )").alias("pattern"),
+                        )
+                        for r in group
+                    ]
+                ).alias("rules"),
             )
-            for r in rules()
+            for words, group in groups.items()
         ]
     )
 
@@ -219,8 +237,20 @@ def _base_starts(padded: Column, phrase: str) -> Column:
 
 
 def _detections(padded: Column) -> Column:
-    """Detections of all rules whose keyword the text holds, in order of place, the widest first."""
-    tried = F.filter(_rule_table(), lambda r: F.contains(padded, r["keyword"]))
+    """Detections of all rules whose words the text holds, in order of place, the widest first."""
+
+    def held(words: Column) -> Column:
+        return F.exists(words, lambda w: F.contains(padded, w))
+
+    tried = F.flatten(
+        F.transform(
+            F.filter(_rule_table(), lambda g: held(g["gate"])),
+            lambda g: F.filter(
+                g["rules"],
+                lambda r: ((F.size(r["keywords"]) == 0) | held(r["keywords"])) & F.contains(padded, r["beside"]),
+            ),
+        )
+    )
     found = F.flatten(
         F.transform(
             tried,

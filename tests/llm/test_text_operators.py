@@ -196,6 +196,43 @@ def test_license_gate(spark):
         assert got[k].labels == labels and (got[k].score > 0) == bool(labels), text
 
 
+def test_license_rules_find_their_own_strings(spark):
+    """Each rule stands behind words that every match of it holds, and finds strings of its own."""
+    from pyspark.sql import functions as F
+
+    from tagloom.llm.license_scan import _detections, rules, scan_licenses
+
+    asked = []
+    for r in rules():
+        strings = _strings(r.pattern)
+        for words in (r.gate, r.keywords):
+            assert not words or all(any(w in x for w in words) for x in strings), r
+        single = [x for x in strings if x == " ".join(x.split())]
+        for x in {single[k * (len(single) - 1) // 4] for k in range(5)}:
+            asked.append((f" {' '.join([x, *r.beside.split()])} ", r.label, r.priority, len(x.split())))
+    found = spark.createDataFrame(asked, "padded string, label string, priority int, n int").withColumn(
+        "hit",
+        F.exists(
+            _detections(F.col("padded")),
+            lambda d: (d["start"] == 0) & (-d["minus_end"] == F.col("n")) & (d["label"] == F.col("label")) & (-d["minus_priority"] == F.col("priority")),
+        ),
+    )
+    assert found.where("not hit").collect() == []
+    want = {
+        "SPDX-License-Identifier: BSL-1.0": "bsl-1",
+        "SPDX-License-Identifier: PSF-2.0": "psf-2",
+        "SPDX-License-Identifier: MS-PL": "ms-pl",
+        "SPDX-License-Identifier: ODC-By-1.0": "odc-by-1",
+        "licensed under the Expat license": "mit",
+        "licensed under the Creative Commons Attribution 4.0": "cc-by",
+        "Creative Commons Attribution No Derivatives": "cc-by-nd",
+        "Creative Commons Attribution-NonCommercial-NoDerivs 3.0": "cc-by-nc-nd",
+        "you may not use this file except in compliance with the License, MPL/": "",
+    }
+    got = {r.doc_id: r.labels for r in scan_licenses(table(spark, list(want))).collect()}
+    assert [got[k] for k in range(len(want))] == list(want.values())
+
+
 BASE_PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
