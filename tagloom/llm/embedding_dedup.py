@@ -1,20 +1,18 @@
-"""Embedding near-dedup by sorted projection passes.
+"""Embedding near-dedup by exact block comparison.
 
 Vectors with equal labels are compared by cosine in double precision. Equal
 vectors of a label are one class; the smallest id stands for it, so copies
-are never compared. In each of ``PASSES`` passes the classes of a label are
-ordered by the concatenated signs of ``BITS`` random projections, and each is
-held against the next ``WINDOW`` in that order. All passes are one sort: a row
-for each class and pass, dealt by range, so a hot label spans many partitions;
-the rows at the ends of partitions are compared in a second, small step.
-
-The verified pairs of all passes are joined to components. Windows are
-bounded, so a dense group of more than ``WINDOW`` vectors may lack pairs: the
-members of each component are therefore compared once more, all with all, in
-pairs of blocks that only give link counts and a spanning forest.
-
-Two vectors at cosine 0.93 agree in a projection's sign with probability 0.88.
-Measured recall against brute force is in the README.
+are never compared. The classes of a label (and of a length) are dealt into
+blocks by a hash of their id, and each pair of blocks is a unit of work: a
+tiled matrix product that sees every pair once. It gives the link counts of
+its members and a spanning forest of its links, so a dense group moves no more
+rows than a sparse one, and a hot label spreads over many tasks. The forests
+are joined to components.
+
+No pair is left out, so the result is that of brute force. The price is work
+that grows with the square of a label's classes; a class is sent to each block
+of its label: at most 8 times up to 8 * ``MOST`` classes, beyond that once for
+every ``MOST``. The README gives measured figures.
 
 Defined results: vectors that are null, empty or zero, that hold null or
 non-finite components, or that have no label link with nothing, as do vectors
@@ -29,20 +27,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged
+from tagloom.llm.common import Staged, lean
 from tagloom.llm.components import components
 
 COSINE = 0.93
-PASSES, BITS, WINDOW = 24, 48, 32
-#: Rows of a partition of the sort, about, and members of a block of a component.
-PART_ROWS, BLOCK = 100_000, 512
-SEED = 11
-
-_ROW = "rep long, label long, pass int, code long, vector array<double>"
+#: A label has up to 8 blocks of at least ``LEAST`` classes, about, or as many as hold ``MOST`` each.
+LEAST, SPREAD, MOST = 512, 8, 32_768
+#: Rows and columns of a tile of the matrix product.
+TILE = (512, 2048)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -56,123 +51,79 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return flat.reshape(len(column), -1) if len(column) else np.empty((0, 0))
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row for each pass with the vector's code: the signs of its projections."""
-    for batch in batches:
-        size = np.array([len(x) for x in batch.column("vector")])
-        for n in np.unique(size):
-            rows = batch.filter(pa.array(size == n))
-            vectors = _matrix(rows.column("vector"))
-            rng = np.random.default_rng([SEED, int(n)])
-            for k in range(PASSES):
-                signs = vectors @ rng.normal(size=(n, BITS)) > 0
-                code = signs @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
-                yield pa.RecordBatch.from_arrays(
-                    [rows.column("rep"), rows.column("label"), pa.array(np.full(len(code), k, np.int32)), pa.array(code), rows.column("vector")],
-                    names=["rep", "label", "pass", "code", "vector"],
-                )
-
-
-_FOUND = "a long, b long, border int, rep long, label long, pass int, place int, vector array<double>"
-
-
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within the window of a sorted partition, and its first and last rows for the borders."""
-    part, kept, head, names = TaskContext.get().partitionId(), None, 0, ["rep", "label", "pass", "vector"]
-    for batch in batches:
-        rows = pa.Table.from_batches([batch.select(names)])
-        if head < WINDOW:
-            first = rows.slice(0, WINDOW - head)
-            yield _border(first, part - 1, WINDOW + head)
-            head += len(first)
-        fresh = 0 if kept is None else len(kept)
-        rows = rows if kept is None else pa.concat_tables([kept, rows]).combine_chunks()
-        yield _found(*_near(rows, fresh))
-        kept = rows.slice(max(0, len(rows) - WINDOW))
-    if kept is not None and len(kept):
-        yield _border(kept, part, WINDOW - len(kept))
-
-
-def _near(rows: pa.Table, fresh: int) -> tuple[np.ndarray, np.ndarray]:
-    """Verified pairs of rows at most WINDOW apart, the second one from ``fresh`` on."""
-    rep, label, turn = (rows.column(c).to_numpy() for c in ("rep", "label", "pass"))
-    size = np.array([len(x) for x in rows.column("vector").combine_chunks()])
-    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for n in np.unique(size):
-        own = np.flatnonzero(size == n)
-        vectors = unit(_matrix(rows.column("vector").combine_chunks().take(pa.array(own))))
-        for w in range(1, min(WINDOW, len(own) - 1) + 1):
-            i, j = own[:-w], own[w:]
-            ask = np.flatnonzero((label[i] == label[j]) & (turn[i] == turn[j]) & (j >= fresh))
-            near = ask[np.einsum("ij,ij->i", vectors[ask], vectors[ask + w]) >= COSINE]
-            a.append(np.minimum(rep[i[near]], rep[j[near]]))
-            b.append(np.maximum(rep[i[near]], rep[j[near]]))
-    a, b = np.concatenate(a), np.concatenate(b)
-    once = np.unique(np.stack([a, b]), axis=1)
-    return once[0], once[1]
-
-
-def _batch(n: int, **columns) -> pa.RecordBatch:
-    kinds = {"a": pa.int64(), "b": pa.int64(), "border": pa.int32(), "rep": pa.int64(), "label": pa.int64(), "pass": pa.int32(), "place": pa.int32(), "vector": pa.list_(pa.float64())}
+def _near(vectors: np.ndarray, left: np.ndarray, right: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Linked pairs of rows, tile by tile; each pair once, also where both sides are one block."""
+    same = left is right
+    for x in range(0, len(left), TILE[0]):
+        i = left[x : x + TILE[0]]
+        for y in range(x // TILE[1] * TILE[1] if same else 0, len(right), TILE[1]):
+            j = right[y : y + TILE[1]]
+            a, b = np.nonzero(vectors[i] @ vectors[j].T >= COSINE)
+            if same:
+                once = a + x < b + y
+                a, b = a[once], b[once]
+            if len(a):
+                yield i[a], j[b]
+
+
+def _joined(root: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Joins the trees of the linked rows in ``root``, in place; the roots that were joined."""
+    low, high = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    while True:
+        x, y = root[a], root[b]
+        apart = x != y
+        if not apart.any():
+            return np.concatenate(low), np.concatenate(high)
+        a, b = a[apart], b[apart]
+        least, most = np.minimum(x[apart], y[apart]), np.maximum(x[apart], y[apart])
+        most, first = np.unique(most, return_index=True)
+        root[most] = least[first]
+        low.append(least[first])
+        high.append(most)
+        while (root[root] != root).any():
+            root[:] = root[root]
+
+
+_LINKS = "rep long, n long, a long, b long"
+
+
+def _block_pair(rows: pa.Table) -> pa.RecordBatch:
+    """Link counts of the members of a pair of blocks, and edges that join its linked members."""
+    rows = rows.combine_chunks()
+    rep, m, own = (rows.column(c).to_numpy() for c in ("rep", "m", "own"))
+    left = np.flatnonzero(own == rows.column("bi")[0].as_py())
+    right = left if len(left) == len(rows) else np.flatnonzero(own == rows.column("bj")[0].as_py())
+    vectors = unit(_matrix(rows.column("vector").combine_chunks()))
+    links, root, low, high = np.zeros(len(rows), np.int64), np.arange(len(rows)), [], []
+    for a, b in _near(vectors, left, right):
+        links += np.bincount(a, m[b], len(rows)).astype(np.int64) + np.bincount(b, m[a], len(rows)).astype(np.int64)
+        for kept, x in zip((low, high), _joined(root, a, b), strict=True):
+            kept.append(x)
+    some = np.flatnonzero(links)
+    low, high = (rep[np.concatenate(x)] if x else np.empty(0, np.int64) for x in (low, high))
+    none = pa.nulls(len(some), pa.int64()), pa.nulls(len(low), pa.int64())
+    columns = ((rep[some], none[1]), (links[some], none[1]), (none[0], low), (none[0], high))
     return pa.RecordBatch.from_arrays(
-        [columns[c] if c in columns else pa.nulls(n, t) for c, t in kinds.items()], names=list(kinds)
+        [pa.concat_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())]) for x, y in columns], names=["rep", "n", "a", "b"]
     )
 
 
-def _found(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-    return _batch(len(a), a=pa.array(a, pa.int64()), b=pa.array(b, pa.int64()))
-
-
-def _border(rows: pa.Table, border: int, place: int) -> pa.RecordBatch:
-    rows = rows.combine_chunks()
-    n = len(rows)
-    own = {c: rows.column(c).combine_chunks() for c in ("rep", "label", "pass", "vector")}
-    return _batch(n, border=pa.array(np.full(n, border, np.int32)), place=pa.array(np.arange(place, place + n, dtype=np.int32)), **own)
-
-
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs across the borders of the sort's partitions; rows come sorted by (border, place)."""
-    tables = [pa.Table.from_batches([b]) for b in batches]
-    if not tables:
-        return
-    rows = pa.concat_tables(tables).combine_chunks()
-    border = rows.column("border").to_numpy()
-    edges = np.flatnonzero(np.concatenate([[True], border[1:] != border[:-1], [True]]))
-    for x, y in zip(edges[:-1], edges[1:], strict=True):
-        a, b = _near(rows.slice(x, y - x).combine_chunks(), 0)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of each member in each pair of blocks; rows come sorted by (component, bi, bj)."""
-    kept = None
-
-    def counted(rows: pa.Table) -> pa.RecordBatch:
-        rep, m, own = (rows.column(c).to_numpy() for c in ("rep", "m", "own"))
-        bi, bj = rows.column("bi")[0].as_py(), rows.column("bj")[0].as_py()
-        vectors = unit(_matrix(rows.column("vector").combine_chunks()))
-        left, right = np.flatnonzero(own == bi), np.flatnonzero(own == bj)
-        near = vectors[left] @ vectors[right].T >= COSINE
-        if bi == bj:
-            np.fill_diagonal(near, False)
-            who, n = rep[left], near @ m[right]
-        else:
-            who, n = np.concatenate([rep[left], rep[right]]), np.concatenate([near @ m[right], m[left] @ near])
-        return pa.RecordBatch.from_arrays([pa.array(who, pa.int64()), pa.array(n, pa.int64())], names=["rep", "n"])
-
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``_block_pair`` of each pair of blocks; rows come sorted by (label, size, bi, bj)."""
+    kept, last = [], None
     for batch in batches:
-        rows = pa.Table.from_batches([batch])
-        rows = rows if kept is None else pa.concat_tables([kept, rows]).combine_chunks()
-        new = np.zeros(len(rows), bool)
-        for c in ("component", "bi", "bj"):
-            column = rows.column(c).to_numpy()
-            new[1:] |= column[1:] != column[:-1]
-        edges = np.concatenate([[0], np.flatnonzero(new)])
+        keys = np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("label", "size", "bi", "bj")], axis=1)
+        edges = [0, *(np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist(), len(keys)]
         for x, y in zip(edges[:-1], edges[1:], strict=True):
-            yield counted(rows.slice(x, y - x))
-        kept = rows.slice(edges[-1])
-    if kept is not None and len(kept):
-        yield counted(kept)
+            if x == y:
+                continue
+            if kept and not np.array_equal(last, keys[x]):
+                yield _block_pair(pa.Table.from_batches(kept))
+                kept = []
+            kept.append(batch.slice(x, y - x))
+            last = keys[x]
+    if kept:
+        yield _block_pair(pa.Table.from_batches(kept))
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
@@ -196,39 +147,28 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
         .agg(F.min("vec_id").alias("rep"), F.count_distinct("vec_id").alias("m")),
         "classes",
     )
-    rows = classes.select("rep", "label", "vector").mapInArrow(_coded, _ROW)
-    parts = max(1, -(-classes.count() * PASSES // PART_ROWS))
-    found = staged.write(
-        rows.repartitionByRange(parts, "pass", "label", "code", "rep")
-        .sortWithinPartitions("pass", "label", "code", "rep")
-        .mapInArrow(_windows, _FOUND),
-        "found",
+    sized = classes.select("rep", "m", "label", F.size("vector").alias("size"), "vector")
+    n = F.count(F.lit(1))
+    blocks = staged.write(
+        sized.groupBy("label", "size").agg(
+            F.greatest(F.least(F.ceil(n / LEAST), F.lit(SPREAD)), F.ceil(n / MOST)).cast("int").alias("blocks")
+        ),
+        "blocks",
     )
-    borders = (
-        found.where("border is not null")
-        .repartition("border")
-        .sortWithinPartitions("border", "place")
-        .select("border", "rep", "label", "pass", "vector")
-        .mapInArrow(_across, "a long, b long")
-    )
-    edges = staged.write(found.where("a is not null").select("a", "b").union(borders).distinct(), "edges")
-    staged.drop("found")
-    label = staged.write(components(edges, staged), "label")
-    members = classes.select("rep", "m", "vector").join(label, F.col("rep") == F.col("node")).select("rep", "m", "vector", "component")
-    blocks = members.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    links = (
-        members.join(blocks, "component")
+    found = staged.write(
+        sized.join(blocks, ["label", "size"])
         .withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("bi", F.least("own", "other"))
         .withColumn("bj", F.greatest("own", "other"))
-        .select("component", "bi", "bj", "own", "rep", "m", "vector")
-        .repartition("component", "bi", "bj")
-        .sortWithinPartitions("component", "bi", "bj")
-        .mapInArrow(_counted, "rep long, n long")
-        .groupBy("rep")
-        .agg(F.sum("n").alias("n"))
+        .select("label", "size", "bi", "bj", "own", "rep", "m", "vector")
+        .repartition("label", "size", "bi", "bj")
+        .sortWithinPartitions("label", "size", "bi", "bj")
+        .mapInArrow(lean(_linked), _LINKS),
+        "found",
     )
+    links = found.where("rep is not null").groupBy("rep").agg(F.sum("n").alias("n"))
+    label = staged.write(components(found.where("a is not null").select("a", "b"), staged), "label")
     placed = (
         classes.join(links, "rep", "left")
         .join(label, F.col("rep") == F.col("node"), "left")

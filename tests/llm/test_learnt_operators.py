@@ -154,6 +154,33 @@ def test_embeddings_equal_brute_force(spark):
     assert near_vectors(df.limit(0)).count() == 0
 
 
+def test_embeddings_of_a_large_crowded_label(spark):
+    """Separate pairs among thousands of vectors that all lie close: every link is found, in blocks and tiles."""
+    from tagloom.llm.embedding_dedup import near_vectors, unit
+
+    rng = np.random.default_rng(8)
+    n, d, share = 6000, 64, 0.8
+    centre = unit(rng.normal(size=(1, d)))
+    far = rng.normal(size=(n, d))
+    far = unit(far - far @ centre.T * centre)
+    far[1::2] = unit(0.7 * far[::2] + 0.714 * far[1::2])  # cosine to the neighbour about 0.94 with the centre
+    vectors = np.sqrt(share) * centre + np.sqrt(1 - share) * far
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in near_vectors(df).collect()}
+    own = unit(vectors)
+    near = own @ own.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert near.sum() > n // 2
+    assert [got[k].n_links for k in range(n)] == near.sum(axis=1).tolist()
+    least = np.arange(n)
+    while True:
+        now = np.where(near.any(axis=1), np.minimum(least, np.where(near, least, n).min(axis=1)), least)
+        if (now == least).all():
+            break
+        least = now
+    assert [got[k].component_id for k in range(n)] == least.tolist()
+
+
 def test_resampling(spark):
     from tagloom.llm.resample import kth_largest, resample, texts_of
 
