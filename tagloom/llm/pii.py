@@ -4,23 +4,30 @@ Base spans are e-mail addresses, IPv4 addresses, payment card numbers (Luhn)
 and telephone numbers, found in the whole text by patterns that scan it once.
 
 The method then asks which ordinary terms give a protected entity away. An
-entity is a base value found in the corpus; its terms are the words of the
-lines that hold it. Over the whole corpus, n(e, t) documents hold entity and
-term in one line, df(t) documents hold the term anywhere, and n(e) hold the
-entity. A term exceeds the disclosure threshold for e where
+entity is a base value found in the corpus; its terms are the words that stand
+with it in one unit: a line (scope ``line``, the default) or the whole text
+(scope ``text``, as ``op8_pii`` has it). Over the whole corpus, n(e, t)
+documents hold entity and term in one unit, df(t) documents hold the term
+anywhere, and n(e) hold the entity. A term exceeds the disclosure threshold for
+e where
 
 * n(e, t) >= ``MIN_SUPPORT`` documents,
 * n(e, t) / df(t) >= ``MIN_SHARE``: who reads the term can infer the entity,
 * log2(N * n(e, t) / (n(e) * df(t))) >= ``MIN_BITS`` of pointwise information.
 
-Its places in the lines that hold e become spans of kind ``term``.
-``redact`` generalises base values to their kind and removes such terms.
+In scope ``text`` every place of such a term becomes a span of kind ``term``, in
+whichever document it stands; in scope ``line`` the places in the lines that
+hold e do. ``redact`` generalises base values to their kind and removes such
+terms. A term is a run of two or more letters, or a single ideograph that stands
+alone; runs of ideographs are not cut into words.
 
-Only lines with a base value are exploded into words. Document frequencies
-are counted for the terms that reach the support, over all texts with partial
-aggregation; only the rows of ids that occur more than once are reduced to
-distinct pairs of id and term first; the term table is written first, so that Spark
-broadcasts it only if its measured size is below the session's bound.
+Entities and terms are written apart, once a unit, and are joined only where
+they can reach the threshold: since n(e, t) is at most n(e) and df(t), only
+entities and terms of ``MIN_SUPPORT`` to N / 2 ** ``MIN_BITS`` documents can, and
+only in pairs with n(e) >= ``MIN_SHARE`` * df(t). Places are looked up last.
+Document frequencies are counted over all texts with partial aggregation; only
+the rows of ids that occur more than once are reduced to distinct pairs of id
+and term first.
 
 Defined results: a null or empty text has no span; repeated rows with one id
 count as one document and each is scanned alike; rows without an id get base
@@ -49,7 +56,7 @@ IP_PARTS = rf"^{_PART}(?:\.{_PART}){{3}}$"
 MIN_SUPPORT = 3
 MIN_SHARE = 0.8
 MIN_BITS = 3.0
-TERM = r"[\p{L}\p{M}]{4,}"
+TERM = r"[\p{L}\p{M}]{2,}|\p{IsHan}"
 
 
 def _digits(found: Column) -> Column:
@@ -104,88 +111,141 @@ def _replaced(kind: str, spans: Column) -> Column:
     return F.transform(spans, lambda p: F.struct(p["start"].alias("start"), p["end"].alias("end"), mark.alias("mark")))
 
 
-def _context_terms(docs: DataFrame) -> DataFrame:
-    """doc_id, entity (kind and value), term and its place, from the lines that hold a base value."""
+def _blanked(text: Column) -> Column:
+    """The text with its base values blanked out, each place where it was."""
+    spans = F.array_sort(F.concat(*[F.transform(base_spans(text, kind), lambda p: F.struct(p["start"], p["end"])) for kind in KINDS]))
+
+    def without(found: Column) -> Column:
+        return F.aggregate(
+            found,
+            F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts")),
+            lambda a, p: F.struct(
+                F.greatest(a["at"], p["end"]).alias("at"),
+                F.concat(
+                    a["parts"],
+                    F.array(
+                        F.substring(text, a["at"] + 1, F.greatest(p["start"] - a["at"], F.lit(0))),
+                        F.repeat(F.lit(" "), p["end"] - F.greatest(p["start"], a["at"])),
+                    ),
+                ).alias("parts"),
+            ),
+            lambda a: F.concat(F.array_join(a["parts"], ""), F.substring(text, a["at"] + 1, F.length(text))),
+        )
+
+    return let(spans, lambda found: F.when(F.size(found) == 0, text).otherwise(without(found)))
+
+
+def _words(text: Column) -> Column:
+    """Distinct terms of a text."""
+    return F.array_distinct(F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower))
+
+
+def _term_places(text: Column, terms: Column) -> Column:
+    """Places (start, end) of ``terms`` in a text, outside its base values."""
+    found = F.filter(places(_blanked(text), F.lit(TERM)), lambda w: F.array_contains(terms, F.lower(w["found"])))
+    return F.transform(found, lambda w: F.struct(w["start"].alias("start"), w["end"].alias("end")))
+
+
+def _units(docs: DataFrame, scope: str) -> DataFrame:
+    """doc_id, unit, its text and where it starts: the lines of the texts that can hold a base value, or these texts."""
     text = F.col("text")
+    docs = docs.where(F.col("doc_id").isNotNull() & F.rlike(text, F.lit("[0-9@]")))
+    if scope == "text":
+        return docs.select("doc_id", F.lit(0).alias("unit"), "text", F.lit(0).alias("offset"))
     lines = F.split(text, "\n", -1)
-    lengths = F.transform(lines, lambda x: F.length(x) + 1)
-    values = F.concat(*[_named(kind, base_spans(F.col("line"), kind)) for kind in KINDS])
-    spans = F.concat(
-        *[F.transform(base_spans(F.col("line"), kind), lambda p: F.struct(p["start"], p["end"])) for kind in KINDS]
-    )
-    marked = F.rlike(text, F.lit("[0-9@]"))
-    rows = (
-        docs.where(F.col("doc_id").isNotNull() & marked)
-        .select("doc_id", F.explode(F.arrays_zip(lines.alias("line"), sums_before(lengths).alias("offset"))).alias("at"))
-        .select("doc_id", "at.line", "at.offset")
-        .where(F.rlike("line", F.lit("@|[0-9].*[0-9]")))
-        .withColumn("values", F.array_distinct(values))
-        .where(F.size("values") > 0)
-    )
-    words = F.filter(
-        places(F.col("line"), F.lit(TERM)),
-        lambda w: ~F.exists(F.col("spans"), lambda s: (s["start"] < w["end"]) & (w["start"] < s["end"])),
-    )
+    offsets = sums_before(F.transform(lines, lambda x: F.length(x) + 1))
     return (
-        rows.withColumn("spans", spans)
-        .select("doc_id", "offset", "values", F.explode(words).alias("w"))
-        .select(
-            "doc_id",
-            F.explode("values").alias("entity"),
-            F.lower("w.found").alias("term"),
-            (F.col("offset") + F.col("w.start")).alias("start"),
-            (F.col("offset") + F.col("w.end")).alias("end"),
-        )
+        docs.select("doc_id", F.posexplode(F.arrays_zip(lines.alias("line"), offsets.alias("offset"))).alias("unit", "at"))
+        .select("doc_id", "unit", F.col("at.line").alias("text"), F.col("at.offset").alias("offset"))
+        .where(F.rlike("text", F.lit("@|[0-9].*[0-9]")))
     )
 
 
-def _terms_of(docs: DataFrame, terms: DataFrame) -> DataFrame:
-    """doc_id and term, once a row, for the ``terms`` in each whole text."""
-    found = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
-    return docs.select("doc_id", F.explode(found).alias("term")).join(terms, "term", "left_semi")
-
-
-def disclosing_terms(docs: DataFrame, staged: Staged) -> DataFrame:
-    """Places (doc_id, start, end) of terms that exceed the disclosure threshold, and their bits."""
-    places_ = staged.write(_context_terms(docs), "terms")
-    seen = places_.select("doc_id", "entity", "term").distinct()
-    together = seen.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= MIN_SUPPORT)
-    together = staged.write(together, "together")
-    alone = places_.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    terms = staged.write(together.select("term").distinct(), "candidates")
-    n_docs = docs.where("doc_id is not null").select("doc_id").distinct().count()
+def _frequency(known: DataFrame, n_docs: int, staged: Staged) -> DataFrame:
+    """n_term, the documents that hold a term, of the terms that can reach the threshold."""
     # the rows of an id that occurs once are counted as they are, without the ids in the shuffle
-    known = docs.where("doc_id is not null")
     repeated = staged.write(
         known.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated"
     )
-    once = _terms_of(known.join(repeated, "doc_id", "left_anti"), terms)
-    more = _terms_of(known.join(repeated, "doc_id", "left_semi"), terms).distinct()
-    counts = [x.groupBy("term").agg(F.count(F.lit(1)).alias("n")) for x in (once, more)]
-    everywhere = counts[0].union(counts[1]).groupBy("term").agg(F.sum("n").alias("n_term"))
-    scored = (
-        together.join(everywhere, "term")
-        .join(alone, "entity")
+    once, more = (known.join(repeated, "doc_id", how) for how in ("left_anti", "left_semi"))
+    once, more = (x.select("doc_id", F.explode(_words(F.col("text"))).alias("term")) for x in (once, more))
+    counts = [x.groupBy("term").agg(F.count(F.lit(1)).alias("n")) for x in (once, more.distinct())]
+    total = counts[0].union(counts[1]).groupBy("term").agg(F.sum("n").alias("n_term"))
+    return total.where(F.col("n_term").between(MIN_SUPPORT, n_docs / 2**MIN_BITS))
+
+
+def disclosing_terms(docs: DataFrame, staged: Staged, scope: str = "line") -> DataFrame:
+    """doc_id, unit and term where a term that exceeds the disclosure threshold is to be marked, once each."""
+    known = docs.where("doc_id is not null")
+    n_docs = known.select("doc_id").distinct().count()
+    units = _units(docs, scope)
+    values = F.concat(*[_named(kind, base_spans(F.col("text"), kind)) for kind in KINDS])
+    entities = staged.write(
+        units.select("doc_id", "unit", F.explode(F.array_distinct(values)).alias("entity")).distinct(), "entities"
+    )
+    alone = entities.select("doc_id", "entity").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
+    alone = alone.where(F.col("n_entity").between(MIN_SUPPORT, n_docs / 2**MIN_BITS))
+    held = staged.write(entities.join(alone, "entity"), "held")
+    frequency = staged.write(_frequency(known, n_docs, staged), "frequency")
+    terms = staged.write(
+        units.join(held.select("doc_id", "unit").distinct(), ["doc_id", "unit"], "left_semi")
+        .select("doc_id", "unit", F.explode(_words(_blanked(F.col("text")))).alias("term"))
+        .join(frequency, "term")
+        .distinct(),
+        "terms",
+    )
+    both = held.join(terms, ["doc_id", "unit"]).where(F.col("n_entity") >= MIN_SHARE * F.col("n_term"))
+    both = both.select("doc_id", "entity", "term", "n_entity", "n_term")
+    scored = staged.write(
+        (both if scope == "text" else both.distinct())
+        .groupBy("entity", "term", "n_entity", "n_term")
+        .agg(F.count(F.lit(1)).alias("n_both"))
         .withColumn("bits", F.log2(F.lit(float(n_docs)) * F.col("n_both") / (F.col("n_entity") * F.col("n_term"))))
-        .where((F.col("n_both") >= MIN_SHARE * F.col("n_term")) & (F.col("bits") >= MIN_BITS))
-        .select("entity", "term", "bits")
+        .where((F.col("n_both") >= MIN_SUPPORT) & (F.col("n_both") >= MIN_SHARE * F.col("n_term")) & (F.col("bits") >= MIN_BITS))
+        .select("entity", "term", "bits"),
+        "scored",
+    )
+    if scope == "text":
+        telling = staged.write(scored.select("term").distinct(), "telling")
+        return (
+            known.select("doc_id", F.lit(0).alias("unit"), F.explode(_words(F.col("text"))).alias("term"))
+            .join(telling, "term", "left_semi")
+            .select("doc_id", "unit", "term")
+            .distinct()
+        )
+    return (
+        held.select("doc_id", "unit", "entity")
+        .join(scored, "entity")
+        .join(terms.select("doc_id", "unit", "term"), ["doc_id", "unit", "term"], "left_semi")
+        .select("doc_id", "unit", "term")
+        .distinct()
     )
-    return places_.join(scored, ["entity", "term"]).groupBy("doc_id", "start", "end").agg(F.max("bits").alias("bits"))
 
 
-def scan_pii(docs: DataFrame) -> DataFrame:
+def scan_pii(docs: DataFrame, scope: str = "line") -> DataFrame:
     """Per row of ``docs``: doc_id, the spans of each kind and the ``term`` spans, each sorted by start."""
     staged = Staged(docs.sparkSession, "pii")
     own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    base = own.select("doc_id", *[base_spans(F.col("text"), kind).alias(kind) for kind in KINDS])
+    base = [base_spans(F.col("text"), kind).alias(kind) for kind in KINDS]
+    nothing = F.array().cast("array<struct<start:int,end:int>>")
+    marked = disclosing_terms(own, staged, scope).groupBy("doc_id", "unit").agg(F.collect_set("term").alias("terms"))
+    if scope == "text":
+        marked = marked.select(F.col("doc_id").alias("term_id"), "terms")
+        term = F.when(F.col("terms").isNotNull(), _term_places(F.col("text"), F.col("terms"))).otherwise(nothing)
+        return own.join(marked, F.col("doc_id") == F.col("term_id"), "left").select("doc_id", *base, term.alias("term"))
     terms = (
-        disclosing_terms(own, staged)
+        _units(own, scope)
+        .join(marked, ["doc_id", "unit"])
+        .select("doc_id", "offset", F.explode(_term_places(F.col("text"), F.col("terms"))).alias("w"))
+        .select("doc_id", (F.col("offset") + F.col("w.start")).alias("start"), (F.col("offset") + F.col("w.end")).alias("end"))
         .groupBy("doc_id")
         .agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("term"))
         .withColumnRenamed("doc_id", "term_id")
     )
-    return base.join(terms, F.col("doc_id") == F.col("term_id"), "left").select(
-        "doc_id", *KINDS, F.coalesce("term", F.array().cast("array<struct<start:int,end:int>>")).alias("term")
+    return (
+        own.select("doc_id", *base)
+        .join(terms, F.col("doc_id") == F.col("term_id"), "left")
+        .select("doc_id", *KINDS, F.coalesce("term", nothing).alias("term"))
     )
 
 

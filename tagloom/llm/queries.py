@@ -50,7 +50,7 @@ def op7_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return digest(scan_pii(table(spark, sf_dir, "documents")))
+    return digest(scan_pii(table(spark, sf_dir, "documents"), scope="text"))
 
 
 def op9_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

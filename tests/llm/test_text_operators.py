@@ -299,6 +299,20 @@ def test_pii_disclosing_terms(spark):
     assert clean[10] == other[6]
 
 
+def test_pii_terms_of_the_whole_text(spark):
+    """Short names above and below their e-mail are marked in the whole text, and in a document without the entity."""
+    from tagloom.llm.pii import scan_pii
+
+    own = [f"dear all, {k}\nAnn Wu\nreach bob@x.org\n李 / 王伟 greets, ann" for k in range(5)]
+    other = [f"dear all, somebody greets, reach {k}" for k in range(60)] + ["Ann came with b@c.org", "Ann, bob@x.org wu"]
+    docs = table(spark, own + other)
+    got = {r.doc_id: [(s.start, s.end) for s in r.term] for r in scan_pii(docs, scope="text").collect()}
+    names = [m.span() for m in re.finditer("Ann|Wu|李|王伟|ann", own[0])]
+    assert len(names) == 5 and got[0] == names
+    assert got[7] == [] and got[65] == [(0, 3)] and got[66] == [(0, 3), (15, 17)]
+    assert scan_pii(table(spark, []), scope="text").count() == 0
+
+
 @pytest.mark.parametrize("bits", [3, 9])
 def test_bpe_equals_the_library(spark, bits):
     import numpy as np
