@@ -313,6 +313,21 @@ def test_pii_terms_of_the_whole_text(spark):
     assert scan_pii(table(spark, []), scope="text").count() == 0
 
 
+def test_pii_long_line_of_entities_and_terms(spark):
+    """Terms and entities of one long line are joined only where they can reach the threshold."""
+    from tagloom.llm.common import Staged
+    from tagloom.llm.pii import disclosing_terms, scan_pii
+
+    log = " ".join(f"u{k}@h.org {chr(97 + k % 26) * 3}{chr(97 + k // 26 % 26) * 3}{chr(97 + k // 676) * 3}" for k in range(3000))
+    own = [log] + [f"zorblax bob@x.org {k}" for k in range(3)] + [f"nothing here {k}" for k in range(40)]
+    for scope in ("line", "text"):
+        staged = Staged(spark, "pii-test")
+        assert {tuple(r) for r in disclosing_terms(table(spark, own), staged, scope).collect()} == {(k, 0, "zorblax") for k in (1, 2, 3)}
+        sizes = {name: spark.read.parquet(staged.path(name)).count() for name in ("entities", "held", "terms")}
+        assert sizes == {"entities": 3003, "held": 3, "terms": 3}
+        assert sum(len(r.term) for r in scan_pii(table(spark, own), scope).collect()) == 3
+
+
 @pytest.mark.parametrize("bits", [3, 9])
 def test_bpe_equals_the_library(spark, bits):
     import numpy as np
