@@ -13,9 +13,14 @@ Items are a query set against all documents, in blocks: a block has at most
 driver and sent to the tasks; more items are more blocks. The pass shuffles
 nothing, so hot sources and groups of copies cost no more than their rows.
 
-Defined results: null or empty texts and items match nothing; an item of fewer
-than ``LEAST_CHARS`` normalised characters matches only a text that equals it;
-of a document's stretches the closest counts; repeated rows give repeated
+An item of fewer than ``LEAST_CHARS`` normalised characters matches exactly: a
+text that equals it or, with ``inside`` (as the query and the pipeline have it),
+any text that holds it between words, found by the same automaton. Scripts that
+put no blanks between words (``UNSPACED``) let an item start and end anywhere.
+Parts of an item are not matched: a text with a long part of an item, but not
+the whole within its budget, passes.
+
+Defined results: null or empty texts and items match nothing; of a document's stretches the closest counts; repeated rows give repeated
 results; rows without an id are ignored; an empty benchmark or table gives an
 empty table; extra columns don't matter.
 """
@@ -36,6 +41,8 @@ LEAST_CHARS = 24
 BLOCK_CHARS = 4_000_000
 
 SCHEMA = "doc_id long, item_id long, distance int, budget int"
+#: Code points of scripts without blanks between words: Thai to Myanmar (without Tibetan), Khmer, CJK and kana.
+UNSPACED = ((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0xA4CF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 _BLANK = bytes(c if chr(c).isalnum() or c >= 128 else 32 for c in range(256))
 
 
@@ -43,6 +50,18 @@ def normalised(text: str | None) -> str:
     return b" ".join((text or "").lower().encode().translate(_BLANK).split()).decode()
 
 
+def _unspaced(c: str) -> bool:
+    return any(a <= ord(c) <= b for a, b in UNSPACED)
+
+
+def _apart(text: str, at: int) -> bool:
+    """Whether a word may end before place ``at`` of a text."""
+    if at <= 0 or at >= len(text):
+        return True
+    a, b = text[at - 1], text[at]
+    return not (a.isalnum() and b.isalnum()) or _unspaced(a) or _unspaced(b)
+
+
 def pieces(item: str) -> list[tuple[int, str]]:
     """Start and text of the pieces of an item: one more than its error budget, about equally long."""
     n = len(item) // CHARS_PER_ERROR + 1
@@ -78,7 +97,7 @@ def myers(item: str, text: str) -> int:
 class Matcher:
     """Finds a block of items in texts."""
 
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple[int, str]], inside: bool = False):
         import ahocorasick
 
         self.long = [(k, t) for k, t in items if len(t) >= LEAST_CHARS]
@@ -90,21 +109,29 @@ class Matcher:
         for n, (_, item) in enumerate(self.long):
             for start, piece in pieces(item):
                 places.setdefault(piece, []).append((n, start + len(piece)))
+        if inside:
+            for item in self.short:
+                places.setdefault(item, []).append((None, len(item)))
         self.automaton = ahocorasick.Automaton()
         for piece, where in places.items():
             self.automaton.add_word(piece, where)
         if places:
             self.automaton.make_automaton()
+        self.searched = bool(places)
 
     def find(self, text: str) -> dict[int, int]:
         """Distance of each item that is in a normalised text."""
         found = {k: 0 for k in self.short.get(text, ())}
         tried: set[tuple[int, int]] = set()
-        if not self.long:
+        if not self.searched:
             return found
         for end, where in self.automaton.iter(text):
             for n, piece_end in where:
                 start = end + 1 - piece_end
+                if n is None:
+                    if _apart(text, start) and _apart(text, end + 1):
+                        found.update(dict.fromkeys(self.short[text[start : end + 1]], 0))
+                    continue
                 if (n, start) in tried:
                     continue
                 tried.add((n, start))
@@ -138,20 +165,20 @@ def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str]]]:
         yield block
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, item_id, distance and error budget of every item found in a document."""
+def contaminated(docs: DataFrame, benchmark: DataFrame, inside: bool = False) -> DataFrame:
+    """doc_id, item_id, distance and error budget of every item found in a document; short items too with ``inside``."""
     spark = docs.sparkSession
 
     def scan(items: list[tuple[int, str]]) -> DataFrame:
         shared = spark.sparkContext.broadcast(items)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(shared.value)
-            length = {k: len(t) for k, t in shared.value}
+            matcher = Matcher(shared.value, inside)
+            budget = {k: len(t) // CHARS_PER_ERROR if len(t) >= LEAST_CHARS else 0 for k, t in shared.value}
             for batch in batches:
                 rows = []
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                    rows += [(doc, k, d, length[k] // CHARS_PER_ERROR) for k, d in matcher.find(normalised(text.as_py())).items()]
+                    rows += [(doc, k, d, budget[k]) for k, d in matcher.find(normalised(text.as_py())).items()]
                 columns = list(zip(*rows, strict=True)) or [(), (), (), ()]
                 kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32())
                 yield pa.RecordBatch.from_arrays(

@@ -1,6 +1,7 @@
 """Classifiers, search and resampling: held-out accuracy, brute force, hard small tables."""
 
 import random
+import tempfile
 import zlib
 from collections import Counter
 
@@ -117,6 +118,27 @@ def test_decontamination(spark):
     assert contaminated(documents(spark, rows), bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_short_items_inside(spark):
+    """Items of few characters inside a text, between words; clean texts are not hit."""
+    import corpus_pipeline
+    from tagloom.llm.decontaminate import contaminated
+
+    items = [(1, "who wrote the Faust?"), (2, "水的沸点是多少度？"), (3, "art"), (4, "日本の首都はどこ"), (5, "art")]
+    rows = [(0, "Quiz: Who wrote  the Faust -- and when?", None), (1, "题目：水的沸点是多少度？答案一百。", None), (2, "the art.", None), (3, "問：日本の首都はどこですか", None)]
+    clean = ["a party started", "who wrote the fausto", "水的冰点是多少度", "smart", "artful", "who wrote faust"]
+    rows += [(10 + k, x, None) for k, x in enumerate(clean)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in contaminated(documents(spark, rows), bench, inside=True).collect())
+    assert got == [(0, 1, 0, 0), (1, 2, 0, 0), (2, 3, 0, 0), (2, 5, 0, 0), (3, 4, 0, 0)]
+    prose = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    short = [(k, t) for k, (_, t) in enumerate(items) if t != "art"]
+    assert contaminated(prose, spark.createDataFrame(short, "item_id long, text string"), inside=True).count() == 0
+    path = tempfile.mkdtemp(prefix="tagloom-test-", dir="/tmp")
+    bench.write.parquet(f"{path}/benchmark.parquet")
+    left = corpus_pipeline.drop_contaminated(spark, documents(spark, rows), path).select("doc_id").collect()
+    assert sorted(r.doc_id for r in left) == [10 + k for k in range(len(clean))]
+
+
 def test_embeddings_equal_brute_force(spark):
     from tagloom.llm.embedding_dedup import near_vectors
 
