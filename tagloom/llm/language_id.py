@@ -8,8 +8,8 @@ pointing into it, wins.
 
 Text is lower-cased and reduced to its letters, with one space between runs.
 Training takes at most ``MOST_ROWS`` rows of each language from the training
-fold, chosen by a hash of the id, of each at most ``MOST_ROW_CHARS``
-characters, and ``TOTAL_CHARS`` characters over all languages in equal shares:
+fold that have letters, chosen by a hash of the id, of each the first
+``MOST_ROW_CHARS`` characters of its letters, and ``TOTAL_CHARS`` characters over all languages in equal shares:
 a bounded sample. Letters beyond the ``SYMBOLS`` most frequent ones share
 symbols by their code point, which bounds the automata's tables.
 
@@ -162,10 +162,11 @@ def fit(docs: DataFrame) -> Model | None:
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     rows = (
         docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
-        .select("lang", "doc_id", F.substring("text", 1, 2 * MOST_ROW_CHARS).alias("text"))
+        .select("lang", "doc_id", F.substring(letters(F.col("text")), 1, MOST_ROW_CHARS).alias("text"))
+        .where(F.length("text") > 0)
         .withColumn("k", F.row_number().over(rank))
         .where(F.col("k") <= MOST_ROWS)
-        .select("lang", "k", F.substring(letters(F.col("text")), 1, MOST_ROW_CHARS).alias("text"))
+        .select("lang", "k", "text")
         .orderBy("lang", "k")
         .collect()
     )

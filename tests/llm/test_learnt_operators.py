@@ -72,6 +72,20 @@ def test_language(spark):
     assert identify(documents(spark, [])).count() == 0
 
 
+def test_language_of_rows_that_open_with_markup(spark):
+    """Letters are taken before a sampled row is cut, so that a row without letters in its first part trains too."""
+    from tagloom.llm.language_id import identify
+
+    rnd = random.Random(7)
+    kinds = {"en": ["th", "er", "on", "and"], "fr": ["eau", "ou", "ment"]}
+    rows = [(k, "<1> " * 2000 + _prose(rnd, kinds[lang], 60), lang) for k, lang in enumerate(sorted(kinds) * 20)]
+    rows += [(100 + k, "12 " * 9, "en") for k in range(200)]  # rows without letters take no place in the sample
+    got = {r.doc_id: r.lang_pred for r in identify(documents(spark, rows)).collect()}
+    held = [r for r in rows[:40] if _held(r[0], 4, 2)]
+    assert held and all(got[k] == lang for k, _, lang in held)
+    assert all(got[100 + k] == "und" for k in range(200))
+
+
 def _distance(item, text):
     """Least edit distance of item to any stretch of text, by the plain table."""
     row = [0] * (len(text) + 1)
