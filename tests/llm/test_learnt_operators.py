@@ -50,6 +50,22 @@ def test_toxicity(spark):
     assert {r.score for r in score_toxicity(docs, marks.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_threshold_of_a_small_language():
+    """Few toxic rows move a language's threshold by their share; none leave it at the overall one."""
+    from tagloom.llm.toxicity import SHRINK, _best_threshold, _thresholds
+
+    rng = np.random.default_rng(3)
+    n = np.array([300, 20, 8])
+    judged = np.repeat(np.arange(3), n)
+    y = np.concatenate([np.arange(300) < 100, np.arange(20) < 5, np.zeros(8)]).astype(int)
+    logit = 4 * y - 2 - 3.0 * (judged == 1) + rng.normal(size=len(y)) * 0.3
+    overall = _best_threshold(logit, y)
+    own = [_best_threshold(logit[judged == k], y[judged == k]) for k in range(2)]
+    got = _thresholds(logit, y, judged, 4)
+    assert np.allclose(got[:2], [overall + m / (m + SHRINK) * (x - overall) for m, x in zip((100, 5), own)])
+    assert own[1] < got[1] < overall and got[2] == got[3] == overall
+
+
 def test_language(spark):
     from tagloom.llm.language_id import identify, suffix_automaton
 
