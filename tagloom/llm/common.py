@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -93,3 +93,29 @@ def ascii_lower(text: Column) -> Column:
     return F.when(F.octet_length(text) == F.length(text), F.lower(text)).otherwise(
         F.translate(text, upper, upper.lower())
     )
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is computed once however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def ranked(df: DataFrame, order: tuple[str, ...], staged: Staged, name: str, rank: str = "rank") -> DataFrame:
+    """``df`` with the place of each row, from 0, in the order of the columns ``order`` (nulls first).
+
+    A range shuffle sorts the rows and a written table keeps their places in
+    their parts; the parts' row counts, one row for each written part, give
+    where a part starts. No row order passes through one task.
+    """
+    sorted_rows = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = staged.write(sorted_rows.withColumn("_at", F.monotonically_increasing_id()), name)
+    part = F.shiftright("_at", 33)
+    sizes = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return (
+        placed.withColumn("_part", part)
+        .join(F.broadcast(starts), "_part")
+        .withColumn(rank, F.col("_start") + F.col("_at").bitwiseAND((1 << 33) - 1))
+        .drop("_part", "_at", "_start")
+    )

@@ -23,4 +23,94 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_line_dedup": LINE_DEDUP}
+#: crc32 of an integer's decimal digits: eight bit steps for each byte.
+_CRC32 = """xor(list_reduce(
+           list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+                        lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+           lambda crc, e: CASE WHEN xor(crc, e) % 2 = 1 THEN xor(xor(crc, e) // 2, 3988292384) ELSE xor(crc, e) // 2 END
+         ), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id
+           ORDER BY turn NULLS FIRST, coalesce(role, ''), left(coalesce(text, ''), 32), md5(coalesce(text, ''))) - 1 AS place
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  SELECT conv_id, conv_id - conv_id % 20 AS base, {_CRC32} % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)
+), parts AS (
+  SELECT c.conv_id, t.place, 0 AS own, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.place < c.h
+  UNION ALL
+  SELECT c.conv_id, t.place, 1, t.role, t.text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.place >= c.h
+), rebuilt AS (
+  SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY own, place) AS depth,
+         md5(md5(role) || md5(text)) AS turn, len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS words
+  FROM parts
+), path AS (
+  SELECT conv_id, 0 AS depth, '' AS node, 0 AS words FROM convs
+  UNION ALL
+  SELECT conv_id, depth, md5(string_agg(turn, '') OVER (PARTITION BY conv_id ORDER BY depth)), words FROM rebuilt
+), lengths AS (
+  SELECT conv_id, max(depth) AS len FROM path GROUP BY conv_id
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(words) AS words,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = len), '')) AS ends_sha256
+  FROM path JOIN lengths USING (conv_id) GROUP BY node, depth
+), links AS (
+  SELECT DISTINCT c.node, p.node AS parent FROM path c JOIN path p ON p.conv_id = c.conv_id AND p.depth = c.depth - 1
+), kids AS (
+  SELECT parent AS node, count(*) AS n_children FROM links GROUP BY parent
+), sized AS (
+  SELECT n.*, coalesce(n_children, 0) AS n_children FROM nodes n LEFT JOIN kids USING (node)
+), under AS (
+  SELECT p.node, sum((s.n_convs - 1) * s.words) AS saved_tokens, count(*) FILTER (s.n_children = 0) AS n_leaves
+  FROM path p JOIN sized s ON s.conv_id = p.conv_id AND s.depth >= p.depth GROUP BY p.node
+)
+SELECT s.conv_id, s.depth::BIGINT AS depth, up.conv_id AS parent_conv_id, s.n_convs::BIGINT AS n_convs,
+       s.n_children::BIGINT AS n_children, u.n_leaves::BIGINT AS n_leaves, u.saved_tokens::BIGINT AS saved_tokens, s.ends_sha256
+FROM sized s JOIN under u USING (node) LEFT JOIN links l USING (node) LEFT JOIN nodes up ON up.node = l.parent
+"""
+
+SOURCE_DIVERGENCE = f"""
+WITH docs AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS doc,
+         translate(coalesce(text, ''), {_A_TO_Z}) AS text FROM documents
+), words AS (
+  SELECT lang, source, doc, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs
+), kept AS (
+  SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT doc) >= 30
+), langs AS (
+  SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY lang, source, term
+), totals AS (
+  SELECT lang, source, sum(n) AS total FROM counts GROUP BY lang, source
+), groups AS (
+  SELECT DISTINCT lang, source FROM docs
+), grid AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(t.total, 0) + 5 * l.v) AS p,
+         1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v) AS q
+  FROM groups g JOIN kept k USING (lang) JOIN langs l USING (lang)
+  LEFT JOIN totals t USING (lang, source) LEFT JOIN counts c USING (lang, source, term)
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM grid x JOIN grid y USING (lang, term)
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+), terms AS (
+  SELECT lang, source, 'term' AS part, term AS item, p - q AS value FROM grid WHERE n > 0 AND p > q
+), placed AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+  FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
+FROM placed WHERE part = 'pair' OR rank <= 50
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op5_line_dedup": LINE_DEDUP,
+    "op11_prefix_trie": PREFIX_TRIE,
+    "op13_source_divergence": SOURCE_DIVERGENCE,
+}

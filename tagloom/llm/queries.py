@@ -11,12 +11,16 @@ from tagloom.llm.bpe import encode_digests
 from tagloom.llm.common import table
 from tagloom.llm.decontaminate import contaminated
 from tagloom.llm.embedding_dedup import near_vectors
+from tagloom.llm.fingerprints import compare_edited
+from tagloom.llm.fingerprints import digest as fingerprint_digest
 from tagloom.llm.language_id import identify
 from tagloom.llm.license_scan import scan_licenses
 from tagloom.llm.line_dedup import dedup_lines
 from tagloom.llm.minhash import near_duplicates
 from tagloom.llm.pii import digest, scan_pii
+from tagloom.llm.prefix_trie import prefix_trie
 from tagloom.llm.resample import resample
+from tagloom.llm.source_divergence import audit
 from tagloom.llm.toxicity import score_toxicity
 
 
@@ -61,6 +65,18 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_digest(compare_edited(table(spark, sf_dir, "documents")))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_decontaminate": op2_decontaminate,
@@ -72,4 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_minhash": op9_minhash,
     "op10_language_id": op10_language_id,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_fingerprints": op12_fingerprints,
+    "op13_source_divergence": op13_source_divergence,
 }
