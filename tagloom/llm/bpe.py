@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tagloom.llm.common import lean
+from tagloom.llm.common import arrow_map
 from tagloom.llm.wordhash import slices, text_buffers
 
 VOCABULARY = "word_bpe_49k.json"
@@ -222,4 +222,4 @@ def encode_digests(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Token count and hashes of ids and decoded text of each row of ``docs``."""
     path = path or vocabulary_path()
     check_vocabulary(path)
-    return docs.select("doc_id", "text").mapInArrow(lean(_encoded(path)), SCHEMA)
+    return docs.select("doc_id", "text").transform(arrow_map, _encoded(path), SCHEMA)

@@ -78,6 +78,23 @@ def lean(run: Callable) -> Callable:
     return mapped
 
 
+def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+    """``df`` mapped by ``run``, whose workers give their memory back when a task ends."""
+    return df.mapInArrow(lean(run), schema)
+
+
+def one_row(df: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row for each ``key``: of several, the least by the columns ``order``, whatever the order of rows.
+
+    Only keys that repeat are grouped with their columns.
+    """
+    again = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(key)
+    rest = [c for c in df.columns if c != key]
+    least = F.min(F.struct(*order, *(c for c in rest if c not in order))).alias("_row")
+    several = df.join(again, key, "left_semi").groupBy(key).agg(least).select(key, *(F.col(f"_row.{c}") for c in rest))
+    return df.join(again, key, "left_anti").select(key, *rest).unionByName(several)
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``: the fixed train / held-out folds."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import lean
+from tagloom.llm.common import arrow_map
 
 CHARS_PER_ERROR = 16
 LEAST_CHARS = 24
@@ -187,7 +187,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, inside: bool = False) ->
                 )
 
         own = docs.where(F.col("doc_id").isNotNull() & (F.length("text") > 0))
-        return own.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lean(run), SCHEMA)
+        return own.select(F.col("doc_id").cast("long").alias("doc_id"), "text").transform(arrow_map, run, SCHEMA)
 
     found = [scan(block) for block in _blocks(benchmark)]
     return reduce(DataFrame.unionAll, found) if found else spark.createDataFrame([], SCHEMA)

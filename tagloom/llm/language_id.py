@@ -10,7 +10,9 @@ Text is lower-cased and reduced to its letters, with one space between runs.
 Training takes at most ``MOST_ROWS`` rows of each language from the training
 fold that have letters, chosen by a hash of the id, of each the first
 ``MOST_ROW_CHARS`` characters of its letters, and ``TOTAL_CHARS`` characters over all languages in equal shares:
-a bounded sample. Letters beyond the ``SYMBOLS`` most frequent ones share
+a bounded sample. Of more than ``MOST_LANGUAGES`` lang values those with the most
+training rows are learnt (of equals by name), so each has at least 2,000 characters.
+Letters beyond the ``SYMBOLS`` most frequent ones share
 symbols by their code point, which bounds the automata's tables.
 
 Whole texts are parsed. They are laid out in blocks of ``BLOCK`` symbols in
@@ -35,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import fold
+from tagloom.llm.common import arrow_map, fold
 from tagloom.llm.wordhash import slices
 
 FOLDS, HELD_OUT = 4, 2
 MOST_ROWS, MOST_ROW_CHARS, TOTAL_CHARS = 60, 2000, 96_000
+MOST_LANGUAGES = 48
 SYMBOLS = 96
 BLOCK = 512
 BLOCKS_AT_ONCE = 4096
@@ -160,8 +163,11 @@ def _model(samples: dict[str, str]) -> Model | None:
 def fit(docs: DataFrame) -> Model | None:
     """Automata of the languages, from the bounded sample of the training fold."""
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    training = docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+    counts = training.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    learnt = [r.lang for r in counts.orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES).collect()]
     rows = (
-        docs.where(F.col("lang").isNotNull() & (F.length("text") > 0) & (fold(F.col("doc_id"), FOLDS) != HELD_OUT))
+        training.where(F.col("lang").isin(learnt))
         .select("lang", "doc_id", F.substring(letters(F.col("text")), 1, MOST_ROW_CHARS).alias("text"))
         .where(F.length("text") > 0)
         .withColumn("k", F.row_number().over(rank))
@@ -207,8 +213,8 @@ def identify(docs: DataFrame) -> DataFrame:
                     names=["doc_id", "lang_pred", "score"],
                 )
 
-    judged = docs.select("doc_id", letters(F.col("text")).alias("text")).mapInArrow(
-        run, "doc_id long, lang_pred string, score double"
+    judged = docs.select("doc_id", letters(F.col("text")).alias("text")).transform(
+        arrow_map, run, "doc_id long, lang_pred string, score double"
     )
     return judged.select(
         "doc_id", (fold(F.col("doc_id"), FOLDS) == HELD_OUT).alias("held_out"), "lang_pred", "score"

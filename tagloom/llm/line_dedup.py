@@ -8,8 +8,9 @@ lines stay and are joined by ``\\n`` in their order.
 
 Only 128-bit key hashes are exploded and shuffled. Documents are counted with
 partial aggregation, so a line that a third of all documents hold arrives as
-one row per map task; the join that finds the places of dropped lines splits
-hot keys at run time.
+one row per map task. The hashes found in enough documents are a written table,
+so that both sides of the join that finds the places of dropped lines are plain
+shuffles, of which Spark splits hot keys at run time.
 
 Defined results: a null or empty text is one empty line; a text that loses all
 lines becomes empty; rows without an id are returned unchanged and count as no
@@ -23,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import ascii_lower
+from tagloom.llm.common import Staged, ascii_lower
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -60,10 +61,10 @@ def dedup_lines(
     row = (F.xxhash64(text), F.xxhash64(F.lit(1), text))
     entries = (
         docs.where(F.col("doc_id").isNotNull() & (F.length(text) >= min_chars))
-        .select("doc_id", row[0].alias("row_h1"), row[1].alias("row_h2"), F.explode(_key_hashes(text, min_chars)).alias("e"))
-        .select("doc_id", "row_h1", "row_h2", "e.*")
+        .select("doc_id", row[0].alias("_row_h1"), row[1].alias("_row_h2"), F.explode(_key_hashes(text, min_chars)).alias("e"))
+        .select("doc_id", "_row_h1", "_row_h2", "e.*")
     )
-    common = (
+    found = (
         entries.select("h1", "h2", "doc_id")
         .distinct()
         .groupBy("h1", "h2")
@@ -71,28 +72,29 @@ def dedup_lines(
         .where(F.col("n") >= min_docs)
         .drop("n")
     )
+    common = Staged(docs.sparkSession, "lines").write(found, "common")
     drops = (
         entries.join(common, ["h1", "h2"])
         .where(F.col("doc_id") < F.col("keeper"))
-        .groupBy(F.col("doc_id").alias("row_id"), "row_h1", "row_h2")
-        .agg(F.collect_set("at").alias("drops"))
+        .groupBy(F.col("doc_id").alias("_row_id"), "_row_h1", "_row_h2")
+        .agg(F.collect_set("at").alias("_drops"))
     )
     kept_columns = ("doc_id", "text", *(c for c in carry if c not in ("doc_id", "text")))
     base = docs.select(
-        *kept_columns, F.col("doc_id").alias("row_id"), row[0].alias("row_h1"), row[1].alias("row_h2")
+        *kept_columns, F.col("doc_id").alias("_row_id"), row[0].alias("_row_h1"), row[1].alias("_row_h2")
     )
     lines = lines_of(F.col("text"))
-    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("drops"))
+    left = F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), F.col("_drops"))
     return (
-        base.join(drops, ["row_id", "row_h1", "row_h2"], "left")
-        .withColumn("lines", lines)
+        base.join(drops, ["_row_id", "_row_h1", "_row_h2"], "left")
+        .withColumn("_lines", lines)
         .select(
             "doc_id",
             *carry,
-            F.size("lines").cast("long").alias("n_lines"),
-            F.when(F.col("drops").isNull(), 0).otherwise(F.size("drops")).cast("long").alias("n_dropped"),
-            F.when(F.col("drops").isNull(), F.coalesce("text", F.lit("")))
-            .otherwise(F.array_join(F.transform(left, lambda i: F.col("lines")[i]), "\n"))
+            F.size("_lines").cast("long").alias("n_lines"),
+            F.when(F.col("_drops").isNull(), 0).otherwise(F.size("_drops")).cast("long").alias("n_dropped"),
+            F.when(F.col("_drops").isNull(), F.coalesce("text", F.lit("")))
+            .otherwise(F.array_join(F.transform(left, lambda i: F.col("_lines")[i]), "\n"))
             .alias("kept"),
         )
     )

@@ -26,7 +26,8 @@ At a similarity of exactly 0.75 a pair shares no band with probability
 least 0.75 less 4 standard deviations.
 
 Defined results: null, empty or wordless texts have an empty set and link with
-nothing; repeated rows with one id are one document; rows without an id are
+nothing; repeated rows with one id are one document, of several texts the one
+with the smallest hash, whatever the order of rows; rows without an id are
 ignored; an empty table gives an empty table; only doc_id and text are read,
 so other columns don't matter.
 """
@@ -42,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged, lean
+from tagloom.llm.common import Staged, arrow_map, one_row
 from tagloom.llm.components import components
 from tagloom.llm.wordhash import NOT_SPACE, document_words, mix, slices
 
@@ -55,7 +56,7 @@ BLOCK, TEXT_BLOCK = 512, 256
 SALTS = 64
 SEED = 20240917
 
-_SKETCH = "doc_id long, n_shingles long, print1 long, print2 long, minima binary, keys array<long>"
+_SKETCH = "doc_id long, tie long, n_shingles long, print1 long, print2 long, minima binary, keys array<long>"
 
 
 @lru_cache(maxsize=1)
@@ -117,13 +118,14 @@ def _sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
+                    batch.column("tie"),
                     pa.array(sizes, pa.int64()),
                     pa.array([p[0] for p in prints], pa.int64()),
                     pa.array([p[1] for p in prints], pa.int64()),
                     pa.array(least, pa.binary()),
                     pa.array(keys, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "n_shingles", "print1", "print2", "minima", "keys"],
+                names=["doc_id", "tie", "n_shingles", "print1", "print2", "minima", "keys"],
             )
 
 
@@ -167,7 +169,7 @@ def confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         .repartition("pivot", "salt")
         .sortWithinPartitions("pivot", "salt", F.desc("is_pivot"))
         .select("pivot", "is_pivot", "doc_id", "text")
-        .mapInArrow(lean(_verified), "a long, b long")
+        .transform(arrow_map, _verified, "a long, b long")
     )
 
 
@@ -304,11 +306,10 @@ def _block_pairs(members: DataFrame, block: int) -> DataFrame:
 def _left_over(buckets: DataFrame, label: DataFrame, sketch: DataFrame, texts: DataFrame, staged: Staged) -> DataFrame:
     """Links (a, b) enough to join what the pivots have left apart."""
     low = sketch.where("minima is not null").select(F.col("doc_id").alias("rep"), F.col("minima").alias("low"))
-    low = low.dropDuplicates(["rep"])
 
     def run(units: DataFrame, forest) -> DataFrame:
         dealt = units.repartition("group", "bi", "bj").sortWithinPartitions("group", "bi", "bj")
-        return dealt.mapInArrow(lean(_in_blocks(forest)), "a long, b long")
+        return dealt.transform(arrow_map, _in_blocks(forest), "a long, b long")
 
     placed = buckets.join(label, F.col("rep") == F.col("node"), "left").select(
         F.col("key").alias("group"), "rep", "n", F.coalesce("component", "rep").alias("component")
@@ -330,8 +331,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of each document."""
     spark = docs.sparkSession
     staged = Staged(spark, "minhash")
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sketch = staged.write(texts.mapInArrow(lean(_sketches), _SKETCH), "sketch")
+    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
+    sketch = staged.write(texts.transform(arrow_map, _sketches, _SKETCH), "sketch")
+    if sketch.groupBy("doc_id").count().where("count > 1").limit(1).count():
+        sketch = staged.write(one_row(sketch, "doc_id", "tie", "n_shingles", "print1", "print2"), "sketch-of-ids")
     full = sketch.where("n_shingles > 0")
     classes = full.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"))
     reps = staged.write(
@@ -343,8 +346,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     shared = reps.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low <> high")
     buckets = staged.write(reps.join(shared, "key"), "buckets")
     staged.drop("bands")
-    near = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    candidates = staged.write(texts.join(near, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "texts")
+    near = sketch.select("doc_id", "tie").join(buckets.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    candidates = texts.join(near, ["doc_id", "tie"], "left_semi").select("doc_id", "text")
+    candidates = staged.write(candidates.dropDuplicates(["doc_id"]), "texts")
 
     edges = staged.write(confirm(_best_pivot(buckets.where("rep <> low").select(F.col("low").alias("a"), F.col("rep").alias("b"))), candidates), "edges-1")
     label = staged.write(components(edges, staged, "cc-1"), "label-1")
@@ -360,6 +364,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("rep"))
         .join(label, F.col("rep") == F.col("node"), "left")
         .select("doc_id", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
-        .dropDuplicates(["doc_id"])
     )
     return member.withColumn("kept", F.col("doc_id") == F.col("component_id"))

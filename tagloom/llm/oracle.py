@@ -109,8 +109,59 @@ SELECT lang, source, part, item, value::BIGINT AS value, rank::INTEGER AS rank
 FROM placed WHERE part = 'pair' OR rank <= 50
 """
 
+#: component: the smallest id reachable by ``links`` (both directions), itself included.
+_REACH = """reach AS (
+  SELECT a, b FROM links UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+)"""
+
+EMBEDDING_DEDUP = f"""
+WITH RECURSIVE sound AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b
+    ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93
+), {_REACH}, roots AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(low, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(low, vec_id)) AS kept
+FROM embeddings LEFT JOIN roots r ON r.a = vec_id LEFT JOIN counts c ON c.a = vec_id
+WHERE vec_id IS NOT NULL
+"""
+
+MINHASH = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_A_TO_Z}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []::VARCHAR[] ELSE
+    list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: md5(array_to_string(w[i:i + 4], ' ')))) END AS s
+  FROM words
+), shingles AS (
+  SELECT doc_id, unnest(s) AS shingle FROM sets
+), links AS (
+  SELECT p.a, p.b FROM (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS n FROM shingles x JOIN shingles y
+      ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY ALL
+  ) p JOIN sets sa ON sa.doc_id = p.a JOIN sets sb ON sb.doc_id = p.b
+  WHERE 100 * p.n >= 75 * (len(sa.s) + len(sb.s) - p.n)
+), {_REACH}, roots AS (
+  SELECT a, min(b) AS low FROM reach GROUP BY a
+)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id,
+       doc_id = least(doc_id, coalesce(low, doc_id)) AS kept
+FROM sets LEFT JOIN roots r ON r.a = doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op5_line_dedup": LINE_DEDUP,
+    "op6_embedding_dedup": EMBEDDING_DEDUP,
+    "op9_minhash": MINHASH,
     "op11_prefix_trie": PREFIX_TRIE,
     "op13_source_divergence": SOURCE_DIVERGENCE,
 }

@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged, lean, ranked
+from tagloom.llm.common import Staged, arrow_map, ranked
 
 #: Consecutive ids of a shard, and positions of a band.
 CONVS, BAND = 2048, 64
@@ -298,7 +298,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     keyed, starts = _units(staged.write(turns, "rebuilt"), convs)
     starts = staged.write(starts, "starts")
     rows = _sorted_units(keyed, starts).select("block", "band", "conv_id", "pos", "k1", "k2", "words", "len")
-    parts = staged.write(rows.mapInArrow(lean(_nodes), _NODES), "parts")
+    parts = staged.write(rows.transform(arrow_map, _nodes, _NODES), "parts")
 
     nodes = staged.write(
         parts.groupBy("n1", "n2").agg(
@@ -346,7 +346,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
     over = keyed.join(giving.select("conv_id", "top"), "conv_id").where("pos + 1 < top").drop("top", "words")
     begun = starts.join(giving, "conv_id").where("band = 0 or band + 1 < top").drop("top", "len")
     again = _sorted_units(over, begun).select("block", "band", "conv_id", "pos", "k1", "k2", "weight", "leaf")
-    given = again.mapInArrow(lean(_shared_sums), _SHARED).groupBy("n1", "n2").agg(F.sum("weight").alias("weight"), F.sum("leaves").alias("leaves"))
+    given = again.transform(arrow_map, _shared_sums, _SHARED).groupBy("n1", "n2").agg(F.sum("weight").alias("weight"), F.sum("leaves").alias("leaves"))
 
     # what the owner owns from a node on: within its band, and the bands below
     inner = Window.partitionBy("conv_id", "band").orderBy(F.desc("depth"))
@@ -359,7 +359,7 @@ def prefix_trie(conversations: DataFrame) -> DataFrame:
         .select("n1", "n2", "block", "ends")
         .repartition("n1", "n2")
         .sortWithinPartitions("n1", "n2", "block")
-        .mapInArrow(lean(_end_hashes), "n1 long, n2 long, ends_sha256 string")
+        .transform(arrow_map, _end_hashes, "n1 long, n2 long, ends_sha256 string")
     )
     many = (
         shared.withColumn("from_here", F.sum("own").over(inner))

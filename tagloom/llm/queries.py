@@ -46,7 +46,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_vectors(table(spark, sf_dir, "embeddings"))
+    return near_vectors(table(spark, sf_dir, "embeddings")).drop("n_pass_links")
 
 
 def op7_resample(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged
+from tagloom.llm.common import Staged, arrow_map
 from tagloom.llm.wordhash import ALNUM, document_words, mix, slices
 
 BUCKETS = 1 << 14
@@ -67,7 +67,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def model(texts: DataFrame) -> np.ndarray:
     """Log frequency of each bucket over all rows of ``texts``."""
-    rows = texts.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
+    rows = texts.select("text").transform(arrow_map, _counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect()
     total = np.full(BUCKETS, SMOOTHING)
     for r in rows:
         total[r.bucket] += r.n
@@ -110,7 +110,7 @@ def texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .where("doc_id is not null")
         .select("doc_id", "text", p1.alias("p1"), p2.alias("p2"))
-        .mapInArrow(passing, "doc_id long, text string")
+        .transform(arrow_map, passing, "doc_id long, text string")
     )
     return likely.join(ids.hint("merge"), "doc_id", "left_semi")
 
@@ -164,7 +164,7 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFr
     chance = (F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1 << 52)) + F.lit(0.5)) / float(1 << 52)
     scored = staged.write(
         docs.select("doc_id", "text")
-        .mapInArrow(run, "doc_id long, log_weight double")
+        .transform(arrow_map, run, "doc_id long, log_weight double")
         .withColumn("gumbel_key", F.when(F.col("doc_id").isNotNull(), F.col("log_weight") - F.log(-F.log(chance)))),
         "scored",
     )

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged, lean
+from tagloom.llm.common import Staged, arrow_map
 from tagloom.llm.wordhash import slices
 
 MIN_DOCS = 30
@@ -101,7 +101,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
     texts = docs.select(*(F.coalesce(c, F.lit("")).alias(c) for c in ("lang", "source", "text")))
     of_term = Window.partitionBy("lang", "term")
     return (
-        texts.mapInArrow(lean(_counted), _COUNTED)
+        texts.transform(arrow_map, _counted, _COUNTED)
         .repartition("lang", "term")
         .groupBy("lang", "term", "source")
         .agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
@@ -190,7 +190,7 @@ def joint_tables(kept: DataFrame) -> DataFrame:
     )
     dealt = units.repartition("lang", "tb", "bi", "bj").sortWithinPartitions("lang", "tb", "bi", "bj")
     return (
-        dealt.mapInArrow(lean(_products), _JOINT)
+        dealt.transform(arrow_map, _products, _JOINT)
         .groupBy("lang", "source1", "level1", "source2", "level2")
         .agg(F.sum("n").alias("n"))
     )

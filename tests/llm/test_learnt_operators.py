@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, bucket int"
 
@@ -50,6 +51,28 @@ def test_toxicity(spark):
     assert {r.score for r in score_toxicity(docs, marks.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_of_clashing_rows(spark):
+    """Ids labelled both ways or given with several texts train the same model, whatever the order of rows."""
+    from tagloom.llm import toxicity
+
+    rng = random.Random(2)
+    docs, labels = [], []
+    for k in range(400):
+        toxic = k % 3 == 0
+        words = [rng.choice(["vile", "hate", "scum"] if toxic and j % 3 == 0 else ["sun", "tree", "book", "lake", "road"]) for j in range(20)]
+        docs += [(k, " ".join(words), "en", None, None, None, "x", 1)] * rng.choice([1, 1, 200 if k == 30 else 2])
+        labels += [(k, None, int(toxic))]
+    docs += [(33, "another text of this id", "de", None, None, None, "x", 1)]
+    labels += [(36, None, 0), (36, None, 1)]
+    scores = []
+    for a, b in ((docs, labels), (docs[::-1], labels[::-1])):
+        table = spark.createDataFrame([r[:3] for r in a], "doc_id long, text string, lang string")
+        out = toxicity.score_toxicity(table, spark.createDataFrame(b, "doc_id long, quality int, toxic int"))
+        scores.append(sorted((r.doc_id, r.score) for r in out.collect()))
+    ids, values = zip(*((tuple(i for i, _ in s), [v for _, v in s]) for s in scores), strict=True)
+    assert ids[0] == ids[1] and len(ids[0]) == len(docs) and values[0] == pytest.approx(values[1], abs=1e-6)
+
+
 def test_toxicity_threshold_of_a_small_language():
     """Few toxic rows move a language's threshold by their share; none leave it at the overall one."""
     from tagloom.llm.toxicity import SHRINK, _best_threshold, _thresholds
@@ -190,9 +213,7 @@ def test_embeddings_equal_brute_force(spark):
     unit = [np.array(v) / np.abs(v).max() if sound(v, label) else None for v, label in rows]
     unit = [None if u is None else u / np.linalg.norm(u) for u in unit]
     links = {k: [j for j in range(len(rows)) if j != k and unit[j] is not None and unit[k] is not None and rows[j][1] == rows[k][1] and unit[j] @ unit[k] >= 0.93] for k in range(len(rows))}
-    total = sum(map(len, links.values()))
-    assert abs(sum(r.n_links for r in got.values()) - total) <= 0.01 * total
-    assert all(got[k].n_links <= len(links[k]) for k in links)
+    assert {k: got[k].n_links for k in links} == {k: len(js) for k, js in links.items()}
     assert all(got[k].n_links == 0 and got[k].kept for k in links if unit[k] is None)
     label = {k: k for k in links}
     changed = True
@@ -202,7 +223,7 @@ def test_embeddings_equal_brute_force(spark):
             least = min([label[k], *(label[j] for j in js)])
             changed |= least != label[k]
             label[k] = least
-    assert sum(got[k].component_id != label[k] for k in links) <= 0.01 * len(links)
+    assert {k: got[k].component_id for k in links} == label
     assert near_vectors(df.limit(0)).count() == 0
 
 
@@ -231,6 +252,38 @@ def test_embeddings_of_a_large_crowded_label(spark):
             break
         least = now
     assert [got[k].component_id for k in range(n)] == least.tolist()
+    # the passes see only a part here: the keys of a crowded label say little
+    assert 0 < sum(r.n_pass_links for r in got.values()) < near.sum()
+
+
+def test_embedding_passes_find_nearly_all(spark):
+    """Recall of the sorted passes alone, without the completion, where windows are far smaller than a label."""
+    from tagloom.llm.embedding_dedup import near_vectors, unit
+
+    rng = np.random.default_rng(18)
+    n, d = 6000, 48
+    vectors = rng.normal(size=(n, d)) + 3 * unit(rng.normal(size=(1, d)))
+    vectors[1::2] = vectors[::2] + rng.normal(size=(n // 2, d)) * 0.3
+    df = spark.createDataFrame([(k, v.tolist(), 1) for k, v in enumerate(vectors)], "vec_id long, embedding array<double>, label int")
+    got = near_vectors(df).select("n_links", "n_pass_links").toPandas()
+    own = unit(vectors)
+    near = own @ own.T >= 0.93
+    np.fill_diagonal(near, False)
+    assert got.n_links.sum() == near.sum() > n // 2
+    recall = got.n_pass_links.sum() / near.sum()
+    print("recall of the passes", recall)
+    assert recall >= 0.9
+
+
+def test_embeddings_of_clashing_ids(spark):
+    """One id given with two vectors counts once, with the least of them, whatever the order of rows."""
+    from tagloom.llm.embedding_dedup import near_vectors
+
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 0), (5, [1.0, 0.0], 0), (7, [0.1, 1.0], 0), (9, [0.05, 1.0], 0), (9, [0.05, 1.0], 0)]
+    schema = "vec_id long, embedding array<double>, label int"
+    for given in (rows, rows[::-1]):
+        got = {r.vec_id: (r.n_links, r.component_id) for r in near_vectors(spark.createDataFrame(given, schema)).collect()}
+        assert got == {1: (2, 1), 5: (0, 5), 7: (2, 1), 9: (2, 1)}
 
 
 def test_resampling(spark):

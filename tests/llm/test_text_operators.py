@@ -119,6 +119,29 @@ LICENSE_TEXTS = [
 ]
 
 
+def test_near_duplicates_of_clashing_ids(spark):
+    """Of two texts of one id the one with the smaller hash counts, whatever the order of rows."""
+    from tagloom.llm.minhash import near_duplicates
+
+    one, two = (" ".join(f"{a}{k}" for k in range(60)) for a in "xy")
+    rows = [(1, one), (1, two), (2, one + " end"), (3, two + " end"), (3, two + " end")]
+    least = min((one, two), key=lambda text: spark.sql("SELECT xxhash64(:t)", args={"t": text}).first()[0])
+    want = {1: 1, 2: 1 if least == one else 2, 3: 1 if least == two else 3}
+    for given in (rows, rows[::-1]):
+        out = near_duplicates(spark.createDataFrame(given, "doc_id long, text string")).collect()
+        assert len(out) == 3 and {r.doc_id: r.component_id for r in out} == want
+
+
+def test_line_dedup_carries_any_column(spark):
+    """Carried columns named like inner ones come back as they were."""
+    from tagloom.llm.line_dedup import dedup_lines
+
+    rows = [(k, f"{COMMON}\nown {k}", 10 + k, "d", "h", 5) for k in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lines int, drops string, h1 string, at int")
+    out = dedup_lines(df, carry=("lines", "drops", "h1", "at")).collect()
+    assert sorted((r.doc_id, r.lines, r.drops, r.h1, r.at, r.n_dropped) for r in out) == [(k, 10 + k, "d", "h", 5, int(k < 3)) for k in range(4)]
+
+
 def test_license_scan(spark):
     from tagloom.llm.license_scan import BASE, rules, scan_licenses
 
