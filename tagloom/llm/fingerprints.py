@@ -131,10 +131,12 @@ def compare_edited(docs: DataFrame) -> DataFrame:
     texts = texts.withColumn("tie", F.xxhash64("text"))
     nexts = _neighbours(texts, staged)
     whole = texts.withColumn("sketch", sketch(F.col("text")))
-    given = whole.select(F.col("doc_id").alias("next_id"), F.col("tie").alias("next_tie"), "text", F.col("sketch").alias("next_sketch"))
+    # both joins read the texts dealt by (doc_id, tie), so one shuffle of them serves both
+    wanted = nexts.withColumnsRenamed({"doc_id": "own_id", "tie": "own_tie", "next_id": "doc_id", "next_tie": "tie"})
+    start = F.substring("text", F.lit(1), F.col("tail")).alias("start")
     starts = (
-        given.join(nexts, ["next_id", "next_tie"])
-        .select("doc_id", "tie", "tail", F.substring("text", F.lit(1), F.col("tail")).alias("start"), "next_sketch")
+        whole.join(wanted, ["doc_id", "tie"])
+        .select(F.col("own_id").alias("doc_id"), F.col("own_tie").alias("tie"), "tail", start, F.col("sketch").alias("next_sketch"))
         .dropDuplicates(["doc_id", "tie"])
     )
     kept = F.substring("text", F.lit(1), F.length("text") - F.col("tail"))
