@@ -78,8 +78,20 @@ def lean(run: Callable) -> Callable:
     return mapped
 
 
+#: Bytes of an Arrow batch. A batch stands in the JVM's direct memory and in the worker, once for each core.
+BATCH_BYTES = 4 << 20
+
+
 def arrow_map(df: DataFrame, run: Callable, schema: str) -> DataFrame:
-    """``df`` mapped by ``run``, whose workers give their memory back when a task ends."""
+    """``df`` mapped by ``run`` in batches of about ``BATCH_BYTES``; workers give their memory back.
+
+    Spark reads the batch size when the map runs, so a larger one set in the
+    session is lowered there and stays so.
+    """
+    conf, size = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = conf.get(size, None)
+    if held is None or not held.rstrip("b").isdigit() or int(held.rstrip("b")) > BATCH_BYTES:
+        conf.set(size, str(BATCH_BYTES))
     return df.mapInArrow(lean(run), schema)
 
 
