@@ -142,8 +142,8 @@ class _Links:
 
 def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the unit vectors of each label and size, batch by batch."""
-    for batch in batches:
-        out = []
+    for given in batches:
+        batch, out = given.sort_by([("label", "ascending"), ("size", "ascending")]), []
         for (label, size), x, y in _runs(batch, "label", "size"):
             vectors = unit(_matrix(batch.column("vector").slice(x, y - x)))
             out.append((label, size, vectors.sum(axis=0).tolist(), y - x))
@@ -154,13 +154,17 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A key for each pass: the signs of ``BITS`` projections of the centred vector."""
-    for batch in batches:
+    planes: dict[int, np.ndarray] = {}
+    places = 1 << np.arange(BITS - 1, -1, -1, dtype=np.int64)
+    for given in batches:
+        batch = given.sort_by([("label", "ascending"), ("size", "ascending")])
         keys = np.empty((batch.num_rows, PASSES), np.int64)
         for (_, size), x, y in _runs(batch, "label", "size"):
+            if size not in planes:  # one size is held at a time
+                planes = {size: np.random.default_rng((SEED, size)).standard_normal((PASSES, size, BITS))}
             centred = unit(_matrix(batch.column("vector").slice(x, y - x))) - np.array(batch.column("mean")[x].as_py())
             for k in range(PASSES):
-                planes = np.random.default_rng((SEED, k, size)).standard_normal((size, BITS))
-                keys[x:y, k] = (centred @ planes > 0) @ (1 << np.arange(BITS - 1, -1, -1, dtype=np.int64))
+                keys[x:y, k] = (centred @ planes[size][k] > 0) @ places
         lists = pa.ListArray.from_arrays(pa.array(np.arange(0, keys.size + 1, PASSES), pa.int32()), pa.array(keys.ravel()))
         yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("rep", "label", "size")), lists], names=["rep", "label", "size", "keys"])
 
@@ -227,7 +231,7 @@ def _placed(sized: DataFrame, staged: Staged) -> DataFrame:
         .select("label", "size", F.transform("parts", lambda p: p["part"] / F.col("n")).alias("mean"))
     )
     keyed = sized.join(staged.write(means, "means"), ["label", "size"]).select("rep", "label", "size", "vector", "mean")
-    keyed = keyed.transform(arrow_map, _keys, "rep long, label long, size int, keys array<long>")
+    keyed = staged.write(keyed.transform(arrow_map, _keys, "rep long, label long, size int, keys array<long>"), "keys")
     rows = keyed.select("rep", "label", "size", F.posexplode("keys").alias("pass", "key"))
     rows = rows.withColumn("tie", F.xxhash64("pass", "rep"))
     order = ranked(rows, ("pass", "label", "size", "key", "tie", "rep"), staged, "order", "place")
