@@ -51,11 +51,12 @@ def graph_edges(tech_rel_df: DataFrame, tech_node_df: DataFrame | None,
 
 
 def user_vertices(user_tech_df: DataFrame) -> DataFrame:
-    """K5: one user node per id, name and website ASCII only, '' for no site."""
-    return (user_tech_df.select(F.col("user_id").alias("id"),
-                                ascii_only("user_name").alias("name"),
-                                F.coalesce(ascii_only("user_website"), F.lit("")).alias("website"))
-            .dropDuplicates(["id"]))
+    """K5: one user node per id, name and website ASCII only, '' for no site.
+    Of several names of an id the least counts, as in ``user_tech_list``."""
+    users = (user_tech_df.groupBy(F.col("user_id").alias("id"))
+             .agg(F.min(F.struct("user_name", "user_website")).alias("user")))
+    return users.select("id", ascii_only("user.user_name").alias("name"),
+                        F.coalesce(ascii_only("user.user_website"), F.lit("")).alias("website"))
 
 
 def contribute_edges(user_tech_df: DataFrame, tech_node_df: DataFrame) -> DataFrame:

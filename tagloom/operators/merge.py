@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, functions as F
 class TotalsSpec:
     keys: tuple[str, ...]
     sums: tuple[str, ...]
-    first: tuple[str, ...] = ()   # columns where the stored value wins
+    first: tuple[str, ...] = ()   # columns where the stored value wins ...
+    entity: tuple[str, ...] = ()  # ... as one value for each entity, the keys if empty
     partition_by: tuple[str, ...] = ()
     order: tuple[str, ...] = ()   # column order of the table, when not keys-first-sums
 
@@ -36,7 +37,7 @@ SPECS = {
     "tag_list": TotalsSpec(("year", "day", "techlist"), ("weight", "app_num"),
                            partition_by=("year",)),
     "user_tech": TotalsSpec(("user_id", "tech"), ("score", "cnt"),
-                            first=("user_name", "user_website"),
+                            first=("user_name", "user_website"), entity=("user_id",),
                             order=("user_id", "user_name", "user_website", "tech", "score",
                                    "cnt")),
 }
@@ -44,12 +45,21 @@ SPECS = {
 
 def merge_totals(old: DataFrame, delta: DataFrame, spec: TotalsSpec) -> DataFrame:
     """``old`` plus ``delta`` per key; ``first`` columns keep the stored
-    value (the delta's only for new keys)."""
+    value (the delta's only for a new entity).
+
+    The first values are one row per entity (K5: one node per user, whose first
+    name stays, on tags of later batches too), joined after the sums, so that the
+    sums need no text in their aggregate. Of several values in one batch the least counts.
+    """
     tagged = (old.select(*spec.columns, F.lit(0).alias("_src"))
               .unionByName(delta.select(*spec.columns, F.lit(1).alias("_src"))))
-    aggs = [F.min_by(c, "_src").alias(c) for c in spec.first]
-    aggs += [F.sum(c).cast("bigint").alias(c) for c in spec.sums]
-    return tagged.groupBy(*spec.keys).agg(*aggs).select(*spec.columns)
+    sums = tagged.groupBy(*spec.keys).agg(*(F.sum(c).cast("bigint").alias(c) for c in spec.sums))
+    if not spec.first:
+        return sums.select(*spec.columns)
+    entity = list(spec.entity or spec.keys)
+    firsts = (tagged.groupBy(*entity).agg(F.min(F.struct("_src", *spec.first)).alias("_first"))
+              .select(*entity, *(F.col(f"_first.{c}").alias(c) for c in spec.first)))
+    return sums.join(firsts, entity).select(*spec.columns)
 
 
 def insert_if_absent(old: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:

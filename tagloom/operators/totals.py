@@ -151,13 +151,16 @@ def user_tech(post_tags_df: DataFrame, comments: DataFrame, users: DataFrame) ->
 
 
 def user_tech_list(user_tech_df: DataFrame) -> DataFrame:
-    """One row per user with ``techs``, the list of (tech, score, cnt) by
+    """One row per user id with ``techs``, the list of (tech, score, cnt) by
     score descending, then tech. A user's list holds at most one entry per
-    distinct tag, so it is bounded by the tag vocabulary, not by the data."""
+    distinct tag, so it is bounded by the tag vocabulary, not by the data.
+    Totals give a user one name (the first, see ``merge_totals``); of rows
+    with several the least name counts, so a user is never two."""
     item = F.struct(F.negative("score").alias("k"), "tech", "score", "cnt")
-    return (user_tech_df.groupBy("user_id", "user_name", "user_website")
-            .agg(F.sort_array(F.collect_list(item)).alias("items"))
-            .select("user_id", "user_name", "user_website",
+    return (user_tech_df.groupBy("user_id")
+            .agg(F.sort_array(F.collect_list(item)).alias("items"),
+                 F.min(F.struct("user_name", "user_website")).alias("user"))
+            .select("user_id", "user.user_name", "user.user_website",
                     F.transform("items", lambda x: F.struct(x["tech"], x["score"], x["cnt"]))
                     .alias("techs")))
 

@@ -8,6 +8,13 @@ W1 / W2 rewrites of the Spark plans as well.
 
 from __future__ import annotations
 
+#: USER_TECH of users of whom every third is renamed after the first half of the comments: the first name stays.
+_RENAMED = """SELECT t.user_id, CASE WHEN t.user_id % 3 = 1 AND e.user_id IS NULL
+               THEN user_name || ' renamed' ELSE user_name END AS user_name, user_website, tech, score, cnt
+        FROM user_tech t LEFT JOIN (
+          SELECT DISTINCT m.user_id FROM comments m JOIN tag_tokens e ON e.id = m.post_id
+          WHERE m.id < (SELECT mid FROM comment_mid)) e ON e.user_id = t.user_id"""
+
 PRELUDE = r"""
 WITH posts AS (
   SELECT o_orderkey AS id, t.tags, o_orderdate AS creation_date,
@@ -174,6 +181,13 @@ TAILS = {
     "merge_date": "SELECT year, day, tech, app_num FROM tag_date",
     "merge_list": "SELECT year, day, techlist, weight, app_num FROM tag_list",
     "merge_user_tech": "SELECT user_id, user_name, user_website, tech, score, cnt FROM user_tech",
+    "renamed_user_list": f"""SELECT user_id, user_name, user_website,
+        string_agg(tech || ':' || score || ':' || cnt, ',' ORDER BY score DESC, tech) AS techs
+        FROM ({_RENAMED}) GROUP BY 1, 2, 3""",
+    "renamed_user_vertices": rf"""SELECT DISTINCT user_id AS id,
+        regexp_replace(user_name, '[^\x00-\x7F]', '', 'g') AS name,
+        coalesce(regexp_replace(user_website, '[^\x00-\x7F]', '', 'g'), '') AS website
+        FROM ({_RENAMED})""",
     "insert_if_absent": """SELECT technode1, technode2, weight, cnt FROM (
         SELECT technode1, technode2, weight, cnt,
                row_number() OVER (PARTITION BY technode1, technode2 ORDER BY b) AS rk

@@ -158,11 +158,15 @@ def q_user_tech(spark, sf):
     return tables(spark, sf).user_tech
 
 
-def q_user_tech_list(spark, sf):
+def _list_as_text(lists):
     """The list as text: the check compares plain columns."""
     item = F.transform("techs", lambda x: F.concat_ws(
         ":", x["tech"], x["score"].cast("string"), x["cnt"].cast("string")))
-    return tables(spark, sf).user_tech_list.withColumn("techs", F.array_join(item, ","))
+    return lists.withColumn("techs", F.array_join(item, ","))
+
+
+def q_user_tech_list(spark, sf):
+    return _list_as_text(tables(spark, sf).user_tech_list)
 
 
 # ---- graph tables ------------------------------------------------------------
@@ -242,6 +246,26 @@ def q_merge_user_tech(spark, sf):
     return mg.merge_totals(old, new, mg.SPECS["user_tech"])
 
 
+def _renamed_user_tech(spark, sf):
+    """USER_TECH merged from two halves of the comments, every third user being renamed between them."""
+    s = load_sources(spark, sf)
+    pt = tables(spark, sf).post_tags
+    mid = _mid(s.comments)
+    later = s.users.withColumn("display_name", F.when(
+        F.col("id") % 3 == 1, F.concat("display_name", F.lit(" renamed"))).otherwise(F.col("display_name")))
+    old = tot.user_tech(pt, s.comments.where(F.col("id") < mid), s.users)
+    new = tot.user_tech(pt, s.comments.where(F.col("id") >= mid), later)
+    return mg.merge_totals(old, new, mg.SPECS["user_tech"])
+
+
+def q_renamed_user_list(spark, sf):
+    return _list_as_text(tot.user_tech_list(_renamed_user_tech(spark, sf)))
+
+
+def q_renamed_user_vertices(spark, sf):
+    return g.user_vertices(_renamed_user_tech(spark, sf))
+
+
 def q_insert_if_absent(spark, sf):
     _, old, new = _halves(spark, sf)
     return mg.insert_if_absent(tot.tech_rel(old), tot.tech_rel(new), ["technode1", "technode2"])

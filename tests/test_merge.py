@@ -277,3 +277,32 @@ def test_user_edges_are_unique(spark):
                                   "user_id bigint, tech string, score bigint, cnt bigint")
     nodes = spark.createDataFrame([("caf",)], "technode string")
     assert rows(contribute_edges(users, nodes)) == [(1, "caf", 3, 2), (2, "caf", 4, 1)]
+
+
+def test_renamed_user_stays_one(spark, scratch):
+    """A user renamed between batches keeps the first name, on tags of later batches too:
+    one list row and one vertex, in the store and in the merge alone."""
+    from tagloom.operators import graph, totals
+    from tagloom.streaming.incremental import TotalsStore
+
+    columns = "user_id long, user_name string, user_website string, tech string, score long, cnt long"
+    first = spark.createDataFrame([(1, "bob", "http://b", "a", 5, 1), (2, "ann", None, "a", 1, 1)], columns)
+    second = spark.createDataFrame([(1, "bobby", None, "a", 2, 1), (1, "bobby", None, "b", 9, 1),
+                                    (3, "zed", None, "b", 1, 1)], columns)
+    third = spark.createDataFrame([(1, "robert", "x", "c", 1, 1), (3, "zeb", "y", "b", 1, 1)], columns)
+    store = TotalsStore(spark, scratch)
+    for k, batch in enumerate((first, second, third)):
+        assert store.apply(f"b{k}", {"user_tech": batch})
+    table = store.table("user_tech")
+    assert sorted(tuple(r) for r in table.collect()) == [
+        (1, "bob", "http://b", "a", 7, 2), (1, "bob", "http://b", "b", 9, 1), (1, "bob", "http://b", "c", 1, 1),
+        (2, "ann", None, "a", 1, 1), (3, "zed", None, "b", 2, 2)]
+    lists = {r.user_id: (r.user_name, [x.tech for x in r.techs]) for r in totals.user_tech_list(table).collect()}
+    assert lists == {1: ("bob", ["b", "a", "c"]), 2: ("ann", ["a"]), 3: ("zed", ["b"])}
+    assert sorted(tuple(r) for r in graph.user_vertices(table).collect()) == [
+        (1, "bob", "http://b"), (2, "ann", ""), (3, "zed", "")]
+    # rows that were never merged: still one row and one vertex per user, the same in any order
+    for mixed in (first.union(second), second.union(first)):
+        assert sorted((r.user_id, r.user_name) for r in totals.user_tech_list(mixed).collect()) == [
+            (1, "bob"), (2, "ann"), (3, "zed")]
+        assert graph.user_vertices(mixed).count() == 3
