@@ -333,3 +333,26 @@ def test_pipeline(spark, tmp_path):
         if name != "bpe":
             assert tuple(docs.columns) == DOC_COLUMNS
     assert seen[0] >= seen[1] == seen[2] >= seen[3] >= seen[4] == seen[5] > 0.5 * seen[0]
+
+
+def test_pipeline_run_on_odd_rows(spark, tmp_path):
+    """``run`` from end to end: null, empty, long and repeated rows, rows without an id, extra columns; and no rows."""
+    import corpus_pipeline
+
+    rng = random.Random(31)
+    prose = lambda n: " ".join("".join(rng.choices("abcdeghilmnoprstu", k=rng.randrange(3, 9))) for _ in range(n))
+    twin = prose(80)
+    item = prose(40)
+    rows = [(1, None), (2, ""), (3, " \n"), (4, prose(30_000)), (5, twin), (6, twin + " end"), (7, prose(50)), (8, f"{prose(30)} {item} {prose(30)}")]
+    rows += [(9, prose(60))] * 2 + [(None, prose(60))] + [(20 + k, f"{prose(20)}\na line that some documents share\n{prose(20)}") for k in range(4)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, score double, kept string"
+    labels, benchmark = "doc_id long, quality int, toxic int", "item_id long, text string"
+    for name, given, want in (("some", rows, [None, 1, 2, 3, 4, 5, 7, 9, 9, 20, 21, 22, 23]), ("none", [], [])):
+        path = f"{tmp_path}/{name}"
+        spark.createDataFrame([(i, t, "en", "s", None, 0.5, "x") for i, t in given], schema).write.parquet(f"{path}/documents.parquet")
+        spark.createDataFrame([], labels).write.parquet(f"{path}/labels.parquet")
+        spark.createDataFrame([(1, item)], benchmark).write.parquet(f"{path}/benchmark.parquet")
+        out = corpus_pipeline.run(spark, path).collect()
+        assert sorted((r.doc_id for r in out), key=lambda i: -1 if i is None else i) == want
+        counts = {r.doc_id: r.n_tokens for r in out}
+        assert not out or counts[1] == counts[2] == 0 < counts[20] < counts[23]
