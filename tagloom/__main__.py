@@ -23,6 +23,7 @@ from .session import apply_scale_conf
 from .sources.fixtures import Sources
 from .sources.qa import read_sources, read_sources_jdbc
 from .streaming.incremental import JdbcTotalsStore, TotalsStore
+from .streaming.run_store import RunStore
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -43,6 +44,8 @@ def _parser() -> argparse.ArgumentParser:
     inc.add_argument("--jdbc-url", default=None,
                      help="keep the totals in this database instead of --out")
     inc.add_argument("--jdbc-driver", default=None)
+    inc.add_argument("--runs", action="store_true",
+                     help="keep the totals in --out as runs: batches by rows, late ids, several jobs at once")
     inc.add_argument("--posts-per-batch", type=int, default=None)
     inc.add_argument("--comments-per-batch", type=int, default=None)
     page = sub.add_parser("page")
@@ -71,10 +74,19 @@ def _sources(spark: SparkSession, args: argparse.Namespace) -> Sources:
     return read_sources(spark, where, args.format)
 
 
-def _store(spark: SparkSession, args: argparse.Namespace, folder: str | None) -> TotalsStore | None:
+def _store(spark: SparkSession, args: argparse.Namespace,
+           folder: str | None) -> TotalsStore | RunStore | None:
+    """The store asked for: runs where ``--runs`` says so or the folder holds some."""
     if args.jdbc_url:
         return JdbcTotalsStore(spark, args.jdbc_url, _properties(args.jdbc_driver))
-    return TotalsStore(spark, folder) if folder else None
+    if not folder:
+        return None
+    runs = RunStore(spark, folder)
+    if getattr(args, "runs", False):
+        if runs.files.exists("_ledger"):
+            raise SystemExit(f"{folder} holds whole tables by batch, not runs")
+        return runs
+    return runs if runs.files.exists("_log") else TotalsStore(spark, folder)
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -93,6 +105,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
                 raise SystemExit("incremental needs --out or --jdbc-url")
             n = run_incremental(spark, sources, store, **kw)
             print(f"batches applied\t{n}")
+            if isinstance(store, RunStore):
+                store.vacuum()
     elif args.command == "graph":
         store = _store(spark, args, args.store)
         if store is None:

@@ -7,7 +7,9 @@ re-running the source scan and joins -- then builds the totals from it and
 the graph tables from the written totals, one write job per table.
 
 ``run_incremental`` keeps the reference's id-window loop for loads that
-arrive over time: half-open windows (D1), each merged once (D19).
+arrive over time: half-open windows (D1), each merged once (D19). Over a
+``RunStore`` the windows hold about as many rows each, late ids are merged
+too, and several jobs may run at once.
 
 ``run_graph`` writes the four graph tables from the totals that a store has
 accumulated, as the original's export did from its database.
@@ -27,7 +29,10 @@ from ..operators import tags as t
 from ..sinks.writers import write_table, write_tables
 from ..sources import batches as b
 from ..sources.fixtures import Sources
-from ..streaming.incremental import TotalsStore, apply_comment_batch, apply_post_batch
+from ..streaming.coverage import Conflict, plan
+from ..streaming.incremental import (TotalsStore, apply_comment_batch, apply_post_batch,
+                                     comment_batch_deltas, post_batch_deltas)
+from ..streaming.run_store import RunStore
 from .tables import TagTables, compare
 
 
@@ -75,13 +80,32 @@ def _windows(store: TotalsStore, ids: DataFrame, kind: str, size: int) -> list[t
     return [(a, min(b_, high + 1)) for a, b_ in b.batch_bounds(start, high, size)]
 
 
-def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore,
+def merge_source(store: RunStore, kind: str, rows: DataFrame, per_batch: int, deltas) -> int:
+    """Merge what a source holds beyond the store's intervals, ``per_batch`` rows or so at a time,
+    compacting after each batch. If another writer took ids of a window, the rest is planned again.
+    Returns batches applied."""
+    applied = 0
+    while True:
+        try:
+            for low, high, was in plan(rows.select("id"), store.covered(kind), per_batch):
+                applied += store.merge_window(kind, rows, low, high, was, deltas)
+                store.compact()
+            return applied
+        except Conflict:
+            continue
+
+
+def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore | RunStore,
                     posts_per_batch: int = b.POSTS_PER_BATCH,
                     comments_per_batch: int = b.COMMENTS_PER_BATCH) -> int:
     """The reference's loops over Posts and Comments ids. Every window is a
     pushed-down range scan named by its true bounds in the ledger; a later run
     goes on where the last one ended, whatever its batch size, so no id is
     lost or added twice. Returns batches applied."""
+    if isinstance(store, RunStore):
+        return (merge_source(store, "posts", sources.posts, posts_per_batch, post_batch_deltas)
+                + merge_source(store, "comments", sources.comments, comments_per_batch,
+                               lambda rows: comment_batch_deltas(rows, sources.posts, sources.users)))
     applied = 0
     for low, high in _windows(store, sources.posts, "posts", posts_per_batch):
         applied += apply_post_batch(store, b.id_batch(sources.posts, low, high),
@@ -92,13 +116,13 @@ def run_incremental(spark: SparkSession, sources: Sources, store: TotalsStore,
     return applied
 
 
-def _store_tables(store: TotalsStore) -> dict[str, DataFrame]:
+def _store_tables(store: TotalsStore | RunStore) -> dict[str, DataFrame]:
     """The current totals of a store by name; those never written are left out."""
     found = {name: store.table(name) for name in BASE_TABLES}
     return {name: df for name, df in found.items() if df is not None}
 
 
-def run_graph(store: TotalsStore, out_root: str) -> dict[str, str]:
+def run_graph(store: TotalsStore | RunStore, out_root: str) -> dict[str, str]:
     """The graph tables of the totals accumulated in ``store``; returns their
     paths. A store without comments gives vertices and edges only."""
     totals = _store_tables(store)
@@ -109,7 +133,7 @@ def run_graph(store: TotalsStore, out_root: str) -> dict[str, str]:
     return write_tables({name: getattr(tables, name) for name in names}, out_root)
 
 
-def serve_compare_store(store: TotalsStore, graph_root: str, tech: str, tech_with: str,
+def serve_compare_store(store: TotalsStore | RunStore, graph_root: str, tech: str, tech_with: str,
                         tech_or: str) -> dict[str, DataFrame]:
     """The page's sections over a store's totals and the graph ``run_graph`` wrote."""
     edges = store.spark.read.parquet(f"{graph_root.rstrip('/')}/graph_edges")

@@ -177,6 +177,8 @@ TAILS = {
           SELECT tech1, tech2, sum(weight), count(*)
           FROM tag_pairs WHERE id >= (SELECT mid FROM post_mid) GROUP BY 1, 2)
         GROUP BY 1, 2""",
+    "run_store_rel": "SELECT technode1, technode2, weight, cnt FROM tech_rel",
+    "late_ids_node": "SELECT technode, weight, cnt FROM tech_node",
     "merge_node": "SELECT technode, weight, cnt FROM tech_node",
     "merge_date": "SELECT year, day, tech, app_num FROM tag_date",
     "merge_list": "SELECT year, day, techlist, weight, app_num FROM tag_list",

@@ -7,6 +7,7 @@ tags, the batch size, the page offset) are the values below.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +18,10 @@ from ..operators import merge as mg
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..sources import batches as b
+from ..session import work_path
 from ..sources.fixtures import load_sources
+from ..streaming.run_store import RunStore
+from .jobs import merge_source
 from .tables import TagTables
 
 # Fixed parameters of the registered queries (FIXTURES.md section 4 and
@@ -271,6 +275,33 @@ def q_insert_if_absent(spark, sf):
     return mg.insert_if_absent(tot.tech_rel(old), tot.tech_rel(new), ["technode1", "technode2"])
 
 
+def _run_store(spark) -> RunStore:
+    """A new store of runs in the shared folder."""
+    return RunStore(spark, work_path(spark, f"runs-{uuid.uuid4().hex}"))
+
+
+def q_run_store_rel(spark, sf):
+    """A9 by runs: the whole table merged in windows of a fourth of the posts (equal depth),
+    the runs compacted on the way, and what is left added up."""
+    posts, store = load_sources(spark, sf).posts, _run_store(spark)
+    quarter = max(1, -(-b.row_count(posts).first()["count_num"] // 4))
+    merge_source(store, "posts", posts, quarter, lambda rows: {"tech_rel": tot.tech_rel(t.post_tags(rows))})
+    found = store.table("tech_rel")
+    return tot.tech_rel(t.post_tags(posts)) if found is None else found
+
+
+def q_late_ids_node(spark, sf):
+    """S5 with late ids: first the posts with an even weight arrive, then all others, whose ids
+    lie between them. The second load merges what is new, once."""
+    posts, store = load_sources(spark, sf).posts, _run_store(spark)
+    half = max(1, -(-b.row_count(posts).first()["count_num"] // 2))
+    early = t.post_tags(posts).where("weight % 2 = 0").select("id")
+    for there in (b.semi_by_keys(posts, "id", early, "id"), posts):
+        merge_source(store, "posts", there, half, lambda rows: {"tech_node": tot.tech_node(t.post_tags(rows))})
+    found = store.table("tech_node")
+    return tot.tech_node(t.post_tags(posts)) if found is None else found
+
+
 # ---- comparison page ---------------------------------------------------------
 
 def q_monthly_trend(spark, sf):

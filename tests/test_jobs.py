@@ -132,3 +132,23 @@ def test_stored_tables_are_clustered_by_their_lookup_column(spark, scratch):
         assert sum(low <= "red-plate" <= high for low, high in runs) < len(runs)
         plan = spark.read.parquet(paths[name]).where(f"{column} = 'red-plate'")
         assert f"EqualTo({column},red-plate)" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_incremental_into_runs_then_graph(spark, scratch, capsys):
+    """--runs: the graph and page commands find the runs by themselves; a repeat merges nothing."""
+    from conftest import rows
+
+    from tagloom.__main__ import main
+    from tagloom.plans.tables import TagTables
+    src = load_sources(spark, SF001)
+    for kind, df in raw_named(src).items():
+        df.write.parquet(f"{scratch}/{kind}")
+    args = ["incremental", "--posts", f"{scratch}/posts", "--comments", f"{scratch}/comments",
+            "--users", f"{scratch}/users", "--out", f"{scratch}/store", "--runs"]
+    assert main([*args, "--posts-per-batch", "800"], spark) == 0
+    assert main(args[:-1], spark) == 0
+    assert "batches applied\t3\nbatches applied\t0" in capsys.readouterr().out
+    assert main(["graph", "--store", f"{scratch}/store", "--out", f"{scratch}/graph"], spark) == 0
+    want = TagTables(src)
+    for name in ("graph_edges", "contribute_edges"):
+        assert rows(spark.read.parquet(f"{scratch}/graph/{name}")) == rows(getattr(want, name))
