@@ -17,6 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.tags import clean_list_text, split_tags
+from .skew import Hot, salted_join
 from .tags import UNIT_TOKENS, half_pair_counts, token_counts
 
 
@@ -119,31 +120,34 @@ def comments_tagged(posts: DataFrame, comments: DataFrame, users: DataFrame) ->
             .select("id", "user_id", "user_name", "user_website", "tags", "score"))
 
 
-def user_tag_scores(post_tags_df: DataFrame, comments: DataFrame) -> DataFrame:
+def user_tag_scores(post_tags_df: DataFrame, comments: DataFrame, hot: Hot | None = None) -> DataFrame:
     """A6 without the user fields: per (user, tag) sum of comment score and
     number of (comment, token) rows.
 
     The comments are joined to the posts' token arrays (one shuffle of each
     side on the post id; AQE splits a hot post's partition), the array is
     exploded after the join, and the (user, tag) aggregate is partial before
-    its shuffle.
+    its shuffle. ``hot`` (``skew.heavy_keys`` of the comments' posts) deals the
+    comments of hot posts out without AQE.
     """
-    c = comments.where(F.col("user_id").isNotNull()).select("post_id", "user_id", "score")
+    c = comments.where(F.col("user_id").isNotNull()).select(
+        "post_id", "user_id", "score", *(["id"] if hot else []))
     toks = post_tags_df.select(F.col("id").alias("post_id"), split_tags("techlist").alias("tags"))
-    return (c.join(toks, "post_id")
+    return (salted_join(c, toks, "post_id", hot or [], "id")
             .select("user_id", "score", F.explode("tags").alias("tech"))
             .groupBy("user_id", "tech")
             .agg(F.sum("score").cast("bigint").alias("score"), F.count(F.lit(1)).alias("cnt")))
 
 
-def user_tech(post_tags_df: DataFrame, comments: DataFrame, users: DataFrame) -> DataFrame:
+def user_tech(post_tags_df: DataFrame, comments: DataFrame, users: DataFrame,
+              hot: Hot | None = None) -> DataFrame:
     """A6 (USER_TECH): ``user_id, user_name, user_website, tech, score, cnt``.
 
     The user fields are joined after the aggregate (one row per user and tag,
     not per comment); AQE broadcasts the users side only when its measured
     size is under the broadcast threshold.
     """
-    agg = user_tag_scores(post_tags_df, comments)
+    agg = user_tag_scores(post_tags_df, comments, hot)
     u = users.select(F.col("id").alias("user_id"), F.col("display_name").alias("user_name"),
                      F.col("website_url").alias("user_website"))
     return agg.join(u, "user_id").select("user_id", "user_name", "user_website",

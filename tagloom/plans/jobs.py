@@ -26,6 +26,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import tags as t
+from ..operators import totals as tot
+from ..operators.skew import heavy_keys
 from ..sinks.writers import write_table, write_tables
 from ..sources import batches as b
 from ..sources.fixtures import Sources
@@ -45,12 +47,15 @@ def run_build(spark: SparkSession, sources: Sources, out_root: str,
     """Write all stored tables under ``out_root``; returns their paths.
 
     Three steps, each reading what the previous one wrote: the cleaned
-    posts; the five totals (one aggregation each); the graph tables, derived
+    posts; the five totals (one aggregation each; comments of hot posts are
+    dealt out by a sketch of their post ids); the graph tables, derived
     from the written totals so the pair and comment aggregations run once.
     """
     stage = stage_root or f"{out_root.rstrip('/')}/_stage-{uuid.uuid4().hex[:12]}"
     write_table(t.post_tags(sources.posts), f"{stage}/post_tags")
     given = {"post_tags": spark.read.parquet(f"{stage}/post_tags")}
+    given["user_tech"] = tot.user_tech(given["post_tags"], sources.comments, sources.users,
+                                       heavy_keys(sources.comments, "post_id"))
     base = TagTables(sources, given=given)
     paths = write_tables({name: getattr(base, name) for name in BASE_TABLES}, out_root)
     given.update({name: spark.read.parquet(path) for name, path in paths.items()})

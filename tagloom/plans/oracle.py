@@ -177,6 +177,11 @@ TAILS = {
           SELECT tech1, tech2, sum(weight), count(*)
           FROM tag_pairs WHERE id >= (SELECT mid FROM post_mid) GROUP BY 1, 2)
         GROUP BY 1, 2""",
+    "user_tech_salted": """SELECT u.id AS user_id, u.display_name AS user_name, u.website_url AS user_website,
+        e.tag AS tech, CAST(sum(m.score) AS BIGINT) AS score, count(*) AS cnt
+        FROM (SELECT score, user_id, CASE WHEN id % 3 = 0 THEN (SELECT min(id) FROM posts) ELSE post_id END AS post_id
+              FROM comments) m
+        JOIN tag_tokens e ON e.id = m.post_id JOIN users u ON u.id = m.user_id GROUP BY 1, 2, 3, 4""",
     "run_store_rel": "SELECT technode1, technode2, weight, cnt FROM tech_rel",
     "late_ids_node": "SELECT technode, weight, cnt FROM tech_node",
     "merge_node": "SELECT technode, weight, cnt FROM tech_node",

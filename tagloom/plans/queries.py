@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import compare as cmp
 from ..operators import graph as g
 from ..operators import merge as mg
+from ..operators import skew
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..sources import batches as b
@@ -275,6 +276,15 @@ def q_insert_if_absent(spark, sf):
     return mg.insert_if_absent(tot.tech_rel(old), tot.tech_rel(new), ["technode1", "technode2"])
 
 
+def q_user_tech_salted(spark, sf):
+    """A6 with every third comment moved to the first post, whose comments are dealt out by the sketch."""
+    s = load_sources(spark, sf)
+    first = s.posts.select(F.expr("min(id)")).scalar()
+    comments = s.comments.withColumn("post_id", F.when(F.col("id") % 3 == 0, first).otherwise(F.col("post_id")))
+    hot = skew.heavy_keys(comments, "post_id")
+    return tot.user_tech(t.post_tags(s.posts), comments, s.users, hot)
+
+
 def _run_store(spark) -> RunStore:
     """A new store of runs in the shared folder."""
     return RunStore(spark, work_path(spark, f"runs-{uuid.uuid4().hex}"))

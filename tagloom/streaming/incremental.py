@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..operators.merge import SPECS, merge_totals
+from ..operators.skew import heavy_of, heavy_sketch
 from ..sinks.writers import CLUSTER, write_jdbc, write_table
 from ..sources.jdbc import read_jdbc, read_jdbc_partitioned
 from ..sources.fixtures import SCHEMAS
@@ -59,11 +60,12 @@ def comment_batch_deltas(comments_batch: DataFrame, posts: DataFrame,
     the range of its post ids; as literals they become a pushed-down range
     filter on the posts scan (row groups outside it are skipped when posts
     are stored in id order), and the join keeps exactly the matching posts.
+    The same probe names the posts that hold a large share of the batch.
     """
-    lo, hi = comments_batch.agg(F.min("post_id"), F.max("post_id")).first()
+    lo, hi, sketch = comments_batch.agg(F.min("post_id"), F.max("post_id"), heavy_sketch("post_id")).first()
     if lo is not None:
         posts = posts.where(F.col("id").between(lo, hi))
-    return {"user_tech": tot.user_tech(t.post_tags(posts), comments_batch, users)}
+    return {"user_tech": tot.user_tech(t.post_tags(posts), comments_batch, users, heavy_of(sketch))}
 
 
 class TotalsStore:
