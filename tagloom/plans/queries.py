@@ -20,6 +20,7 @@ from ..operators import tags as t
 from ..operators import totals as tot
 from ..sources import batches as b
 from ..session import work_path
+from ..sources import lookup
 from ..sources.fixtures import load_sources
 from ..streaming.run_store import RunStore
 from .jobs import merge_source
@@ -61,6 +62,12 @@ def q_max_id(spark, sf):
     return b.max_id(load_sources(spark, sf).posts)
 
 
+def q_id_bounds(spark, sf):
+    """S3 and S4 from footers: the posts' ids are the orders' keys."""
+    orders = lookup.read_footers(spark, f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("id"))
+    return lookup.id_bounds(orders)
+
+
 def q_rel_count(spark, sf):
     return b.row_count(tables(spark, sf).tech_rel)
 
