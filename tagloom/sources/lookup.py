@@ -2,7 +2,9 @@
 
 ``read_footers`` opens Parquet files with the reader that answers ``min``, ``max`` and
 ``count`` from footers (``spark.sql.parquet.aggregatePushdown``, which the package's
-session settings switch on; without it the same query scans the column).
+session settings switch on; without it the same query scans the column). It is for keys: a file
+whose column is null throughout has no minimum in its footer, and Spark ends such a probe
+with an error; read that table with ``spark.read.parquet`` instead.
 
 ``write_keyed`` writes a table with a bloom filter on its key in each row group, and
 ``fetch_keys`` reads the rows of given keys: up to ``MOST_KEYS`` as pushed-down equality
@@ -34,7 +36,7 @@ def read_footers(spark: SparkSession, path: str) -> DataFrame:
 def id_bounds(df: DataFrame, column: str = "id") -> DataFrame:
     """Smallest and largest id and the rows, one row; null, null and 0 of an empty table
     (a count from the footers of no rows would be null)."""
-    count = F.coalesce(F.count(F.lit(1)), F.lit(0).cast("bigint"))
+    count = F.greatest(F.count(F.lit(1)), F.lit(0).cast("bigint"))
     return df.agg(F.min(column).alias("min_id"), F.max(column).alias("max_id"), count.alias("count_num"))
 
 

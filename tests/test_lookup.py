@@ -1,5 +1,6 @@
 """Probes from footers, fetches by bloom filters."""
 
+import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
@@ -25,8 +26,14 @@ def test_probe_is_answered_by_footers(spark, scratch):
 def test_probe_of_an_empty_table_and_null_ids(spark, scratch):
     spark.range(0).write.parquet(f"{scratch}/e")
     assert id_bounds(read_footers(spark, f"{scratch}/e")).collect()[0] == (None, None, 0)
-    spark.range(9).select(F.when(F.col("id") > 3, F.col("id")).alias("id")).write.parquet(f"{scratch}/n")
+    ids = spark.range(9).select(F.when(F.col("id") > 3, F.col("id")).alias("id"))
+    ids.coalesce(1).write.parquet(f"{scratch}/n")
     assert rows(id_bounds(read_footers(spark, f"{scratch}/n"))) == [(4, 8, 9)]
+    # a file of nulls only: an error from footers, not from a scan
+    ids.repartitionByRange(9, "id").write.parquet(f"{scratch}/m")
+    with pytest.raises(Exception):
+        id_bounds(read_footers(spark, f"{scratch}/m")).collect()
+    assert rows(id_bounds(spark.read.parquet(f"{scratch}/m"))) == [(4, 8, 9)]
 
 
 def test_ten_scattered_keys_skip_row_groups(spark, scratch):
