@@ -13,6 +13,9 @@ from ..functions.tags import (ascii_only, edge_name, repaired_name, repaired_web
 # Fixed value of the reference: edges kept per source tag.
 EDGES_PER_TAG = 25
 
+#: Touched tags that a batch's refresh sends to a scan as values.
+FEW_TAGS = 200
+
 
 def graph_vertices(tech_node_df: DataFrame) -> DataFrame:
     """K3: ``name, weight, cnt``."""
@@ -30,6 +33,38 @@ def top_neighbours(tech_rel_df: DataFrame, k: int = EDGES_PER_TAG) -> DataFrame:
             .where(F.col("_rk") <= k).drop("_rk"))
 
 
+def refresh_neighbours(top: DataFrame, tech_rel_df: DataFrame, delta: DataFrame,
+                       k: int = EDGES_PER_TAG, few: int = FEW_TAGS) -> DataFrame:
+    """T1 kept current: ``top_neighbours(tech_rel_df, k)``, from the ``top`` before a batch.
+
+    ``delta`` is the batch's TECH_REL and ``tech_rel_df`` the totals with it. Weights that only
+    grow keep an untouched pair outside once k others stand before it, so a touched tag's new
+    edges are among its old ones and the batch's pairs: only those pairs' totals are looked up.
+    A tag with a pair that lost weight is ranked anew from all its totals. Up to ``few``
+    touched tags go to the totals' scan as a filter; more are a join. Other tags' edges are
+    copied. An empty batch gives ``top``; an empty ``top`` is right for a first batch only.
+    """
+    pair = ["technode1", "technode2"]
+    columns = [*pair, "weight", "cnt"]
+    tags = delta.select("technode1").distinct()
+    found = [r[0] for r in tags.limit(few + 1).collect()]
+    if not found:
+        return top.select(*columns)
+    totals = tech_rel_df
+    if len(found) <= few:
+        totals, touched = totals.where(F.col("technode1").isin(found)), F.col("technode1").isin(found)
+        copied, old = top.where(~touched), top.where(touched)
+    else:
+        copied, old = (top.join(tags, "technode1", how) for how in ("left_anti", "left_semi"))
+    fallen = delta.where("weight < 0").select("technode1").distinct()
+    moved = totals.join(delta.select(*pair), pair, "left_semi").join(fallen, "technode1", "left_anti")
+    still = old.join(delta.select(*pair), pair, "left_anti").join(fallen, "technode1", "left_anti")
+    whole = totals.join(fallen, "technode1", "left_semi")
+    ranked = top_neighbours(moved.select(*columns).unionByName(still.select(*columns))
+                            .unionByName(whole.select(*columns)), k)
+    return copied.select(*columns).unionByName(ranked.select(*columns))
+
+
 def graph_edges(tech_rel_df: DataFrame, tech_node_df: DataFrame | None,
                 k: int = EDGES_PER_TAG) -> DataFrame:
     """K4 + J3: pruned edges whose both endpoints are vertices, with names:

@@ -183,6 +183,7 @@ TAILS = {
               FROM comments) m
         JOIN tag_tokens e ON e.id = m.post_id JOIN users u ON u.id = m.user_id GROUP BY 1, 2, 3, 4""",
     "id_bounds": "SELECT min(id) AS min_id, max(id) AS max_id, count(*) AS count_num FROM posts",
+    "refreshed_edges": "SELECT technode1, technode2, name, weight, cnt FROM graph_edges",
     "run_store_rel": "SELECT technode1, technode2, weight, cnt FROM tech_rel",
     "late_ids_node": "SELECT technode, weight, cnt FROM tech_node",
     "merge_node": "SELECT technode, weight, cnt FROM tech_node",

@@ -292,6 +292,15 @@ def q_user_tech_salted(spark, sf):
     return tot.user_tech(t.post_tags(s.posts), comments, s.users, hot)
 
 
+def q_refreshed_edges(spark, sf):
+    """T1 and K4 kept current: the edges of the first half of the posts, refreshed by the second."""
+    _, old, new = _halves(spark, sf)
+    before, delta = tot.tech_rel(old), tot.tech_rel(new)
+    totals = mg.merge_totals(before, delta, mg.SPECS["tech_rel"])
+    top = g.refresh_neighbours(g.top_neighbours(before), totals, delta)
+    return top.select("technode1", "technode2", g.edge_name("technode1", "technode2").alias("name"), "weight", "cnt")
+
+
 def _run_store(spark) -> RunStore:
     """A new store of runs in the shared folder."""
     return RunStore(spark, work_path(spark, f"runs-{uuid.uuid4().hex}"))

@@ -158,3 +158,41 @@ def test_page_rows_are_not_capped(spark):
                      "(select explode(sequence(date'2001-01-15', date'2004-12-15', interval 1 month)) as d)")
     trend = cmp.monthly_trend(days, "a", "b", "c").collect()
     assert len(trend) == 47 and trend == sorted(trend, key=lambda r: (r.year, r.month))
+
+
+def test_refreshed_neighbours_equal_a_rebuild(spark):
+    """Random batches with ties and, in some, weights that fall; a few tags or a join, by turns."""
+    import random
+
+    from tagloom.operators.graph import refresh_neighbours, top_neighbours
+    from tagloom.operators.merge import SPECS, merge_totals
+    rng, columns = random.Random(3), "technode1 string, technode2 string, weight long, cnt long"
+    totals, top = {}, spark.createDataFrame([], columns)
+    for step in range(7):
+        tags = rng.sample(range(14), 14 if step == 0 else 3)
+        batch = {(f"t{a}", f"t{b}"): rng.randint(-3 if step in (3, 5) else 0, 4)
+                 for a in tags for b in rng.sample(range(14), 9) if a != b}
+        delta = spark.createDataFrame([(a, b, w, 1) for (a, b), w in batch.items()], columns)
+        before = spark.createDataFrame([(a, b, w, c) for (a, b), (w, c) in totals.items()], columns)
+        now = merge_totals(before, delta, SPECS["tech_rel"])
+        for (a, b), w in batch.items():
+            old = totals.get((a, b), (0, 0))
+            totals[a, b] = (old[0] + w, old[1] + 1)
+        want = sorted(tuple(r) for r in top_neighbours(now, 4).collect())
+        got = [tuple(r) for r in refresh_neighbours(top, now, delta, 4, few=50 if step % 2 else 2).collect()]
+        assert sorted(got) == want, step
+        top = spark.createDataFrame(want, columns)
+    assert sorted(map(tuple, refresh_neighbours(top, now, delta.limit(0), 4).collect())) == want
+
+
+def test_refresh_reads_only_touched_tags(spark, scratch):
+    from tagloom.operators.graph import refresh_neighbours, top_neighbours
+    columns = "technode1 string, technode2 string, weight long, cnt long"
+    spark.range(20_000).selectExpr("concat('t', id div 100) technode1", "concat('t', id % 100) technode2",
+                                   "id weight", "id cnt").write.parquet(f"{scratch}/rel")
+    rel = spark.read.parquet(f"{scratch}/rel")
+    delta = spark.createDataFrame([("t5", "t7", 0, 0)], columns)
+    got = refresh_neighbours(top_neighbours(rel), rel, delta)
+    physical = got._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(technode1,t5)" in physical
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, top_neighbours(rel).collect()))
