@@ -40,6 +40,8 @@ def _parser() -> argparse.ArgumentParser:
         s.add_argument("--source-driver", default=None)
         s.add_argument("--out", required=(name == "build"),
                        help="output folder (shared file system)")
+    sub.choices["build"].add_argument("--buckets", type=int, default=0,
+                                      help="also keep posts and comments in so many buckets of the post id")
     inc = sub.choices["incremental"]
     inc.add_argument("--jdbc-url", default=None,
                      help="keep the totals in this database instead of --out")
@@ -95,7 +97,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     if args.command in ("build", "incremental"):
         sources = _sources(spark, args)
         if args.command == "build":
-            for name, path in sorted(run_build(spark, sources, args.out).items()):
+            for name, path in sorted(run_build(spark, sources, args.out, buckets=args.buckets).items()):
                 print(f"{name}\t{path}")
         else:
             kw = {k: v for k, v in (("posts_per_batch", args.posts_per_batch),

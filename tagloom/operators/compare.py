@@ -166,6 +166,15 @@ def neighbourhood(graph_edges_df: DataFrame, tech_node_df: DataFrame, keyword: s
         F.col("name").alias("edge_name"), "weight", "cnt")
 
 
+def top_ranks(counts: DataFrame, shown: int = RANK_SHOWN) -> DataFrame:
+    """Tags ranked by their summed ``app_num``; ties by tag."""
+    t = (counts.groupBy("tech").agg(F.sum("app_num").cast("bigint").alias("value"))
+         .orderBy(F.col("value").desc(), F.col("tech")).limit(shown))
+    w = Window.orderBy(F.col("value").desc(), F.col("tech"))
+    return t.select(F.col("tech").alias("text"), "value",
+                    F.row_number().over(w).cast("int").alias("rank"))
+
+
 def tech_rank_in_range(tag_date_df: DataFrame, first_day: str, last_day: str,
                        shown: int = RANK_SHOWN) -> DataFrame:
     """Q3: tags ranked by summed appNum between two days (inclusive).
@@ -176,11 +185,7 @@ def tech_rank_in_range(tag_date_df: DataFrame, first_day: str, last_day: str,
     t = tag_date_df.where(F.col("day").between(d1, d2))
     if "year" in tag_date_df.columns:
         t = t.where(F.col("year").between(F.year(d1), F.year(d2)))
-    t = (t.groupBy("tech").agg(F.sum("app_num").cast("bigint").alias("value"))
-         .orderBy(F.col("value").desc(), F.col("tech")).limit(shown))
-    w = Window.orderBy(F.col("value").desc(), F.col("tech"))
-    return t.select(F.col("tech").alias("text"), "value",
-                    F.row_number().over(w).cast("int").alias("rank"))
+    return top_ranks(t, shown)
 
 
 def top_users_for_tech(user_tech_df: DataFrame, keyword: str,

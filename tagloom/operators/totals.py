@@ -133,25 +133,32 @@ def user_tag_scores(post_tags_df: DataFrame, comments: DataFrame, hot: Hot | Non
     c = comments.where(F.col("user_id").isNotNull()).select(
         "post_id", "user_id", "score", *(["id"] if hot else []))
     toks = post_tags_df.select(F.col("id").alias("post_id"), split_tags("techlist").alias("tags"))
-    return (salted_join(c, toks, "post_id", hot or [], "id")
-            .select("user_id", "score", F.explode("tags").alias("tech"))
+    return scores_of(salted_join(c, toks, "post_id", hot or [], "id"))
+
+
+def scores_of(commented: DataFrame) -> DataFrame:
+    """The (user, tag) sums of comments that have their post's ``tags`` beside them."""
+    return (commented.select("user_id", "score", F.explode("tags").alias("tech"))
             .groupBy("user_id", "tech")
             .agg(F.sum("score").cast("bigint").alias("score"), F.count(F.lit(1)).alias("cnt")))
 
 
+def with_users(scores: DataFrame, users: DataFrame) -> DataFrame:
+    """J2 after the sums: one row per user and tag is joined, not one per comment."""
+    u = users.select(F.col("id").alias("user_id"), F.col("display_name").alias("user_name"),
+                     F.col("website_url").alias("user_website"))
+    return scores.join(u, "user_id").select("user_id", "user_name", "user_website",
+                                            "tech", "score", "cnt")
+
+
 def user_tech(post_tags_df: DataFrame, comments: DataFrame, users: DataFrame,
               hot: Hot | None = None) -> DataFrame:
     """A6 (USER_TECH): ``user_id, user_name, user_website, tech, score, cnt``.
 
-    The user fields are joined after the aggregate (one row per user and tag,
-    not per comment); AQE broadcasts the users side only when its measured
-    size is under the broadcast threshold.
+    The user fields are joined after the aggregate; AQE broadcasts the users
+    side only when its measured size is under the broadcast threshold.
     """
-    agg = user_tag_scores(post_tags_df, comments, hot)
-    u = users.select(F.col("id").alias("user_id"), F.col("display_name").alias("user_name"),
-                     F.col("website_url").alias("user_website"))
-    return agg.join(u, "user_id").select("user_id", "user_name", "user_website",
-                                         "tech", "score", "cnt")
+    return with_users(user_tag_scores(post_tags_df, comments, hot), users)
 
 
 def user_tech_list(user_tech_df: DataFrame) -> DataFrame:
@@ -172,5 +179,5 @@ def user_tech_list(user_tech_df: DataFrame) -> DataFrame:
 __all__ = [
     "tech_rel", "tech_node", "tag_date", "tag_list", "clean_tag_lists",
     "tech_rel_from_pairs", "tech_node_from_pairs", "tag_date_from_pairs",
-    "comments_tagged", "user_tag_scores", "user_tech", "user_tech_list",
+    "comments_tagged", "user_tag_scores", "scores_of", "with_users", "user_tech", "user_tech_list",
 ]

@@ -28,7 +28,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..operators.skew import heavy_keys
-from ..sinks.writers import write_table, write_tables
+from ..sinks import bucketed
+from ..sinks.writers import CLUSTER, write_table, write_tables
 from ..sources import batches as b
 from ..sources.fixtures import Sources
 from ..streaming.coverage import Conflict, plan
@@ -38,24 +39,34 @@ from ..streaming.run_store import RunStore
 from .tables import TagTables, compare
 
 
+POST_COMMENTS = "post_comments"
 BASE_TABLES = ("tech_rel", "tech_node", "tag_date", "tag_list", "user_tech")
-DERIVED_TABLES = ("graph_vertices", "graph_edges", "user_vertices", "contribute_edges")
+POST_DERIVED = ("graph_vertices", "graph_edges", "tag_rollup")
+DERIVED_TABLES = (*POST_DERIVED, "user_vertices", "contribute_edges")
 
 
 def run_build(spark: SparkSession, sources: Sources, out_root: str,
-              stage_root: str | None = None) -> dict[str, str]:
+              stage_root: str | None = None, buckets: int = 0) -> dict[str, str]:
     """Write all stored tables under ``out_root``; returns their paths.
 
     Three steps, each reading what the previous one wrote: the cleaned
     posts; the five totals (one aggregation each; comments of hot posts are
     dealt out by a sketch of their post ids); the graph tables, derived
     from the written totals so the pair and comment aggregations run once.
+
+    With ``buckets`` the posts and comments are also kept in so many buckets of the
+    post id (``<out>/post_comments``); ``run_user_tech`` then joins them without a shuffle.
     """
     stage = stage_root or f"{out_root.rstrip('/')}/_stage-{uuid.uuid4().hex[:12]}"
     write_table(t.post_tags(sources.posts), f"{stage}/post_tags")
     given = {"post_tags": spark.read.parquet(f"{stage}/post_tags")}
-    given["user_tech"] = tot.user_tech(given["post_tags"], sources.comments, sources.users,
-                                       heavy_keys(sources.comments, "post_id"))
+    if buckets:
+        kept = f"{out_root.rstrip('/')}/{POST_COMMENTS}"
+        bucketed.write_post_comments(given["post_tags"], sources.comments, kept, buckets)
+        given["user_tech"] = bucketed.user_tech(spark, kept, sources.users)
+    else:
+        given["user_tech"] = tot.user_tech(given["post_tags"], sources.comments, sources.users,
+                                           heavy_keys(sources.comments, "post_id"))
     base = TagTables(sources, given=given)
     paths = write_tables({name: getattr(base, name) for name in BASE_TABLES}, out_root)
     given.update({name: spark.read.parquet(path) for name, path in paths.items()})
@@ -67,6 +78,19 @@ def run_build(spark: SparkSession, sources: Sources, out_root: str,
     return paths
 
 
+def run_user_tech(spark: SparkSession, out_root: str, users: DataFrame, to: str) -> str:
+    """USER_TECH under ``to``, of the users as they are now and the posts and comments that a build
+    with ``buckets`` kept. Written beside the table in use, which a reader may hold open."""
+    kept = f"{out_root.rstrip('/')}/{POST_COMMENTS}"
+    write_table(bucketed.user_tech(spark, kept, users), to, cluster_by=CLUSTER["user_tech"])
+    return to
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove a folder that this job wrote, on whatever file system it is."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -129,12 +153,12 @@ def _store_tables(store: TotalsStore | RunStore) -> dict[str, DataFrame]:
 
 def run_graph(store: TotalsStore | RunStore, out_root: str) -> dict[str, str]:
     """The graph tables of the totals accumulated in ``store``; returns their
-    paths. A store without comments gives vertices and edges only."""
+    paths. A store without comments gives vertices, edges and rollups only."""
     totals = _store_tables(store)
     if "tech_node" not in totals:
         raise ValueError("the store holds no batch of posts yet")
     tables = TagTables(None, given=totals)
-    names = DERIVED_TABLES if "user_tech" in totals else DERIVED_TABLES[:2]
+    names = DERIVED_TABLES if "user_tech" in totals else POST_DERIVED
     return write_tables({name: getattr(tables, name) for name in names}, out_root)
 
 
@@ -151,7 +175,10 @@ def serve_compare_store(store: TotalsStore | RunStore, graph_root: str, tech: st
 
 def serve_compare(spark: SparkSession, root: str, tech: str, tech_with: str,
                   tech_or: str) -> dict[str, DataFrame]:
-    """The page's sections over the written tables."""
-    given = {name: spark.read.parquet(f"{root.rstrip('/')}/{name}")
-             for name in TagTables.STORED}
+    """The page's sections over the written tables. Folders written before there were
+    rollups have none; the trend then sums days."""
+    paths = {name: f"{root.rstrip('/')}/{name}" for name in TagTables.STORED}
+    if not path_exists(spark, paths["tag_rollup"]):
+        del paths["tag_rollup"]
+    given = {name: spark.read.parquet(path) for name, path in paths.items()}
     return compare(TagTables(None, given=given), tech, tech_with, tech_or)

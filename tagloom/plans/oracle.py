@@ -116,6 +116,7 @@ TAILS = {
         CAST(lo + ((id - lo) // size + 1) * size AS BIGINT) AS batch_high
         FROM post_tags, (SELECT min(id) AS lo, (max(id) - min(id) + 3) // 3 AS size FROM posts)""",
     "rel_page": "SELECT * FROM tech_rel ORDER BY technode1, technode2 LIMIT 500 OFFSET 1000",
+    "rel_page_ranked": "SELECT * FROM tech_rel ORDER BY technode1, technode2 LIMIT 500 OFFSET 1000",
     "posts_commented": """SELECT id, tags FROM posts
         WHERE id IN (SELECT post_id FROM comments WHERE user_id IS NOT NULL)""",
     "users_commenting": """SELECT id, display_name, website_url FROM users
@@ -182,6 +183,7 @@ TAILS = {
         FROM (SELECT score, user_id, CASE WHEN id % 3 = 0 THEN (SELECT min(id) FROM posts) ELSE post_id END AS post_id
               FROM comments) m
         JOIN tag_tokens e ON e.id = m.post_id JOIN users u ON u.id = m.user_id GROUP BY 1, 2, 3, 4""",
+    "user_tech_bucketed": "SELECT user_id, user_name, user_website, tech, score, cnt FROM user_tech",
     "id_bounds": "SELECT min(id) AS min_id, max(id) AS max_id, count(*) AS count_num FROM posts",
     "refreshed_edges": "SELECT technode1, technode2, name, weight, cnt FROM graph_edges",
     "run_store_rel": "SELECT technode1, technode2, weight, cnt FROM tech_rel",
@@ -251,11 +253,22 @@ TAILS = {
                row_number() OVER (ORDER BY sum(app_num) DESC, tech) AS rk
         FROM tag_date WHERE day BETWEEN DATE '1996-01-01' AND DATE '1996-12-31'
         GROUP BY tech) WHERE rk <= 10""",
+    "rank_by_rollup": """SELECT tech AS text, value, CAST(rk AS INT) AS rank FROM (
+        SELECT tech, CAST(sum(app_num) AS BIGINT) AS value,
+               row_number() OVER (ORDER BY sum(app_num) DESC, tech) AS rk
+        FROM tag_date WHERE day BETWEEN DATE '1993-03-15' AND DATE '1997-10-20'
+        GROUP BY tech) WHERE rk <= 10""",
+    "tag_rollup": """SELECT year, 'month' AS level, CAST(date_trunc('month', day) AS DATE) AS day, tech,
+            CAST(sum(app_num) AS BIGINT) AS app_num FROM tag_date GROUP BY 1, 2, 3, 4
+        UNION ALL SELECT year, 'year', CAST(date_trunc('year', day) AS DATE), tech,
+            CAST(sum(app_num) AS BIGINT) FROM tag_date GROUP BY 1, 2, 3, 4""",
     "top_users_for_tech": """SELECT user_id, user_name AS name,
         coalesce(user_website, '') AS url_web, score AS value, cnt
         FROM user_tech WHERE tech = 'red-plate' ORDER BY score DESC, user_id LIMIT 10""",
 }
 
+TAILS["trend_by_rollup"] = TAILS["monthly_trend"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: PRELUDE + tail for name, tail in TAILS.items()}

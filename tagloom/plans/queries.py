@@ -15,11 +15,14 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators import compare as cmp
 from ..operators import graph as g
 from ..operators import merge as mg
+from ..operators import rollup
 from ..operators import skew
 from ..operators import tags as t
 from ..operators import totals as tot
-from ..sources import batches as b
 from ..session import work_path
+from ..sinks import bucketed
+from ..sinks.pages import page_by_rank, write_paged
+from ..sources import batches as b
 from ..sources import lookup
 from ..sources.fixtures import load_sources
 from ..streaming.run_store import RunStore
@@ -37,6 +40,8 @@ PAGE_OFFSET = 1000
 PAGE_ROWS = 500
 RANGE_FIRST_DAY = "1996-01-01"
 RANGE_LAST_DAY = "1996-12-31"
+ROLLUP_FIRST_DAY = "1993-03-15"
+ROLLUP_LAST_DAY = "1997-10-20"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +111,13 @@ def q_rel_page(spark, sf):
     return b.page(tables(spark, sf).tech_rel, ["technode1", "technode2"], PAGE_OFFSET, PAGE_ROWS)
 
 
+def q_rel_page_ranked(spark, sf):
+    """S7 over a table written in its order: the page reads the files that hold its ranks."""
+    path, order = work_path(spark, f"paged-{uuid.uuid4().hex}"), ["technode1", "technode2"]
+    write_paged(tables(spark, sf).tech_rel, path, order)
+    return page_by_rank(spark, path, order, PAGE_OFFSET, PAGE_ROWS)
+
+
 def q_posts_commented(spark, sf):
     s = load_sources(spark, sf)
     keys = s.comments.where(F.col("user_id").isNotNull())
@@ -292,6 +304,14 @@ def q_user_tech_salted(spark, sf):
     return tot.user_tech(t.post_tags(s.posts), comments, s.users, hot)
 
 
+def q_user_tech_bucketed(spark, sf):
+    """J1 and A6 over posts and comments that are stored in buckets of the post id."""
+    s, root = load_sources(spark, sf), work_path(spark, f"bucketed-{uuid.uuid4().hex}")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucketed.write_post_comments(t.post_tags(s.posts), s.comments, root, buckets)
+    return bucketed.user_tech(spark, root, s.users)
+
+
 def q_refreshed_edges(spark, sf):
     """T1 and K4 kept current: the edges of the first half of the posts, refreshed by the second."""
     _, old, new = _halves(spark, sf)
@@ -376,6 +396,22 @@ def q_tech_rank_in_range(spark, sf):
     return cmp.tech_rank_in_range(tables(spark, sf).tag_date, RANGE_FIRST_DAY, RANGE_LAST_DAY)
 
 
+def q_tag_rollup(spark, sf):
+    return rollup.tag_rollup(tables(spark, sf).tag_date)
+
+
+def q_rank_by_rollup(spark, sf):
+    """Q3 over a long range with ragged ends: years, months and days."""
+    days = tables(spark, sf).tag_date
+    return rollup.tech_rank_in_range(days, rollup.tag_rollup(days), ROLLUP_FIRST_DAY, ROLLUP_LAST_DAY)
+
+
+def q_trend_by_rollup(spark, sf):
+    """R1 and A8 from the month nodes."""
+    months = rollup.months(rollup.tag_rollup(tables(spark, sf).tag_date))
+    return cmp.monthly_trend(months, TECH, TECH_WITH, TECH_OR)
+
+
 def q_top_users_for_tech(spark, sf):
     return cmp.top_users_for_tech(tables(spark, sf).user_tech, TECH)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 
 from ..operators import compare as cmp
 from ..operators import graph as g
+from ..operators import rollup
 from ..operators import tags as t
 from ..operators import totals as tot
 from ..sources.fixtures import Sources
@@ -79,6 +80,10 @@ class TagTables:
         same_posts = "tech_rel" not in self._given and "tech_node" not in self._given
         return g.graph_edges(self.tech_rel, None if same_posts else self.tech_node)
 
+    @cached_property
+    def tag_rollup(self) -> DataFrame:
+        return rollup.tag_rollup(self.tag_date)
+
     @cached_property
     def user_vertices(self) -> DataFrame:
         return g.user_vertices(self.user_tech)
@@ -87,9 +92,14 @@ class TagTables:
     def contribute_edges(self) -> DataFrame:
         return g.contribute_edges(self.user_tech, self.tech_node)
 
+    @property
+    def trend_rows(self) -> DataFrame:
+        """What the monthly trend sums: the stored month nodes, the days if there are none."""
+        return rollup.months(self.tag_rollup) if "tag_rollup" in self._given else self.tag_date
+
     # the stored tables, by name (what ``sinks.write_tables`` persists)
     STORED = ("tech_rel", "tech_node", "tag_date", "tag_list", "user_tech",
-              "graph_vertices", "graph_edges", "user_vertices", "contribute_edges")
+              "graph_vertices", "graph_edges", "tag_rollup", "user_vertices", "contribute_edges")
 
     def stored(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in self.STORED}
@@ -102,7 +112,7 @@ def build_tables(posts: DataFrame, comments: DataFrame, users: DataFrame) -> Tag
 def compare(tables: TagTables, tech: str, tech_with: str, tech_or: str) -> dict[str, DataFrame]:
     """The page's four sections for ``tech`` against ``tech_with`` and
     ``tech_or`` (plus the second comparison of sections 3 and 4)."""
-    trend = cmp.monthly_trend(tables.tag_date, tech, tech_with, tech_or)
+    trend = cmp.monthly_trend(tables.trend_rows, tech, tech_with, tech_or)
     bars = cmp.compare_edge_long(tables.tech_rel, tech, [tech_with, tech_or])
     return {
         "compare_edge": cmp.compare_edge(tables.tech_rel, tables.tech_node, tech,

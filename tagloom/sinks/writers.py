@@ -21,12 +21,16 @@ JDBC_WRITERS = 18            # connections a write opens at most
 CLUSTER = {
     "tech_rel": ("technode1", "technode2"),
     "tag_date": ("year", "tech", "day"),
+    "tag_rollup": ("year", "level", "day", "tech"),
     "tag_list": ("year", "day", "techlist"),
     "user_tech": ("tech", "user_id"),
     "graph_edges": ("technode2", "technode1"),
     "contribute_edges": ("tech", "user_id"),
 }
 
+# Tables that are derived, not merged, and kept in folders.
+FOLDERS = {"tag_rollup": ("year",)}
+
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite",
                 partition_by: tuple[str, ...] | list[str] = (),
@@ -57,7 +61,7 @@ def write_tables(tables: dict[str, DataFrame], root: str, mode: str = "overwrite
     for name, df in tables.items():
         spec = SPECS.get(name)
         path = f"{root.rstrip('/')}/{name}"
-        write_table(df, path, mode, spec.partition_by if spec else (), CLUSTER.get(name, ()))
+        write_table(df, path, mode, spec.partition_by if spec else FOLDERS.get(name, ()), CLUSTER.get(name, ()))
         out[name] = path
     return out
 
