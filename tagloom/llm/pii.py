@@ -24,7 +24,12 @@ alone; runs of ideographs are not cut into words.
 Entities and terms are written apart, once a unit, and are joined only where
 they can reach the threshold: since n(e, t) is at most n(e) and df(t), only
 entities and terms of ``MIN_SUPPORT`` to N / 2 ** ``MIN_BITS`` documents can, and
-only in pairs with n(e) >= ``MIN_SHARE`` * df(t). Places are looked up last.
+only in pairs with n(e) >= ``MIN_SHARE`` * df(t). Entities that stand in the very same units
+form a class, and so do terms with one df(t): all pairs of two classes have one n(e, t), so
+only their least members are joined (a list of addresses and names that several documents
+repeat is one pair, not a product). The members of a class are found by the number of its units
+and a 128-bit exclusive or of their hashes. A unit with more than ``SALT_ENTITIES`` classes
+of entities is dealt over salts. Places are looked up last.
 Document frequencies are counted over all texts with partial aggregation; only
 the rows of ids that occur more than once are reduced to distinct pairs of id
 and term first.
@@ -56,6 +61,7 @@ IP_PARTS = rf"^{_PART}(?:\.{_PART}){{3}}$"
 MIN_SUPPORT = 3
 MIN_SHARE = 0.8
 MIN_BITS = 3.0
+SALT_ENTITIES = 256
 TERM = r"[\p{L}\p{M}]{2,}|\p{IsHan}"
 
 
@@ -174,6 +180,31 @@ def _frequency(known: DataFrame, n_docs: int, staged: Staged) -> DataFrame:
     return total.where(F.col("n_term").between(MIN_SUPPORT, n_docs / 2**MIN_BITS))
 
 
+def _classes(rows: DataFrame, name: str, support: str) -> tuple[DataFrame, DataFrame]:
+    """``name`` and ``least``, the least value that stands in the same units with the same support; the
+    rows of these least values."""
+    in_units = ["_units", "_x", "_y", support]
+    sets = rows.groupBy(name, support).agg(
+        F.count(F.lit(1)).alias("_units"),
+        F.bit_xor(F.xxhash64("doc_id", "unit")).alias("_x"),
+        F.bit_xor(F.xxhash64("unit", F.lit(name), "doc_id")).alias("_y"),
+    )
+    least = sets.groupBy(*in_units).agg(F.min(name).alias("least"))
+    members = sets.join(least, in_units).select(name, "least")
+    chosen = least.select(F.col("least").alias(name))
+    return members, rows.join(chosen, name, "left_semi")
+
+
+def _in_one_unit(held: DataFrame, terms: DataFrame) -> DataFrame:
+    """Rows of ``held`` and ``terms`` of one unit side by side; a unit of many entities passes through many tasks."""
+    unit = ["doc_id", "unit"]
+    crowded = held.groupBy(*unit).agg(F.ceil(F.count(F.lit(1)) / SALT_ENTITIES).cast("int").alias("salts")).where("salts > 1")
+    salts = F.coalesce("salts", F.lit(1))
+    dealt = held.join(crowded, unit, "left").withColumn("salt", F.pmod(F.xxhash64("entity"), salts).cast("int"))
+    copies = terms.join(crowded, unit, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    return dealt.drop("salts").join(copies.drop("salts"), [*unit, "salt"]).drop("salt")
+
+
 def disclosing_terms(docs: DataFrame, staged: Staged, scope: str = "line") -> DataFrame:
     """doc_id, unit and term where a term that exceeds the disclosure threshold is to be marked, once each."""
     known = docs.where("doc_id is not null")
@@ -194,7 +225,12 @@ def disclosing_terms(docs: DataFrame, staged: Staged, scope: str = "line") -> Da
         .distinct(),
         "terms",
     )
-    both = held.join(terms, ["doc_id", "unit"]).where(F.col("n_entity") >= MIN_SHARE * F.col("n_term"))
+    _, some_held = _classes(held, "entity", "n_entity")
+    members, some_terms = _classes(terms, "term", "n_term")
+    some_held, members, some_terms = (
+        staged.write(x, name) for x, name in ((some_held, "some_held"), (members, "members"), (some_terms, "some_terms"))
+    )
+    both = _in_one_unit(some_held, some_terms).where(F.col("n_entity") >= MIN_SHARE * F.col("n_term"))
     both = both.select("doc_id", "entity", "term", "n_entity", "n_term")
     scored = staged.write(
         (both if scope == "text" else both.distinct())
@@ -206,20 +242,22 @@ def disclosing_terms(docs: DataFrame, staged: Staged, scope: str = "line") -> Da
         "scored",
     )
     if scope == "text":
-        telling = staged.write(scored.select("term").distinct(), "telling")
+        least = scored.select(F.col("term").alias("least")).distinct()
+        telling = staged.write(members.join(least, "least", "left_semi").select("term"), "telling")
         return (
             known.select("doc_id", F.lit(0).alias("unit"), F.explode(_words(F.col("text"))).alias("term"))
             .join(telling, "term", "left_semi")
             .select("doc_id", "unit", "term")
             .distinct()
         )
-    return (
-        held.select("doc_id", "unit", "entity")
+    marked = (
+        some_held.select("doc_id", "unit", "entity")
         .join(scored, "entity")
-        .join(terms.select("doc_id", "unit", "term"), ["doc_id", "unit", "term"], "left_semi")
-        .select("doc_id", "unit", "term")
+        .join(some_terms.select("doc_id", "unit", "term"), ["doc_id", "unit", "term"], "left_semi")
+        .select("doc_id", "unit", F.col("term").alias("least"))
         .distinct()
     )
+    return marked.join(members, "least").select("doc_id", "unit", "term")
 
 
 def scan_pii(docs: DataFrame, scope: str = "line") -> DataFrame:

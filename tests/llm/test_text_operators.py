@@ -351,6 +351,70 @@ def test_pii_long_line_of_entities_and_terms(spark):
         assert sum(len(r.term) for r in scan_pii(table(spark, own), scope).collect()) == 3
 
 
+def test_pii_repeated_list_of_entities_and_terms(spark):
+    """3,000 addresses and 3,000 names that three documents repeat are one pair of classes; all names are marked."""
+    from tagloom.llm.common import Staged
+    from tagloom.llm.pii import disclosing_terms
+
+    names = [f"{chr(97 + k % 26) * 3}{chr(97 + k // 26 % 26) * 3}{chr(97 + k // 676) * 3}" for k in range(3000)]
+    log = " ".join(f"u{k}@h.org {name}" for k, name in enumerate(names))
+    own = [log] * 3 + [f"nothing here {k}" for k in range(60)]
+    for scope in ("line", "text"):
+        staged = Staged(spark, "pii-test")
+        got = {tuple(r) for r in disclosing_terms(table(spark, own), staged, scope).collect()}
+        assert got == {(k, 0, name) for k in range(3) for name in names}
+        sizes = {name: spark.read.parquet(staged.path(name)).count() for name in ("held", "terms", "some_held", "some_terms", "scored")}
+        assert sizes == {"held": 9000, "terms": 9000, "some_held": 3, "some_terms": 3, "scored": 1}
+
+
+def test_pii_terms_equal_plain_counts(spark, monkeypatch):
+    """Random units, entities and terms of many and of few classes, with salts, against plain counting."""
+    from math import log2
+
+    from tagloom.llm import pii
+    from tagloom.llm.common import Staged
+
+    monkeypatch.setattr(pii, "SALT_ENTITIES", 2)
+    rnd = random.Random(11)
+    groups = [(f"g{chr(97 + k)}x", f"h{chr(97 + k)}y", [f"a{k}@b.org", f"c{k}@d.org", f"e{k}@f.org"]) for k in range(12)]
+    texts = []
+    for _ in range(120):
+        lines = []
+        for one, two, mails in rnd.sample(groups, rnd.choice([0, 0, 1, 2])):
+            words = [w for w in (one, two) if rnd.random() < 0.95] + [m for m in mails if rnd.random() < 0.95]
+            rnd.shuffle(words)
+            lines.append(" ".join(words))
+        texts.append("\n".join([*lines, "plain words here"]))
+    texts += [texts[0], None, ""]
+    for scope in ("line", "text"):
+        units = {}
+        for d, text in enumerate(texts):
+            for u, line in enumerate((text or "").split("\n") if scope == "line" else [text or ""]):
+                mails = set(re.findall(r"[a-z0-9]+@[a-z]+\.org", line))
+                if mails:
+                    units[d, u] = mails, set(re.findall("[a-z]{2,}", re.sub(r"[a-z0-9]+@[a-z]+\.org", " ", line)))
+        df = {}
+        for d, text in enumerate(texts):
+            for w in set(re.findall("[^\\W\\d_]{2,}", text or "")):
+                df.setdefault(w, set()).add(d)
+        n_e, n_both = {}, {}
+        for (d, u), (mails, words) in units.items():
+            for e in mails:
+                n_e.setdefault(e, set()).add(d)
+                for w in words:
+                    n_both.setdefault((e, w), set()).add(d)
+        pairs = {(e, w) for (e, w), ds in n_both.items() if len(ds) >= 3 and len(ds) >= 0.8 * len(df[w])
+                 and log2(len(texts) * len(ds) / (len(n_e[e]) * len(df[w]))) >= 3}
+        assert len(pairs) > 10
+        if scope == "line":
+            want = {(d, u, w) for (d, u), (mails, words) in units.items() for e in mails for w in words if (e, w) in pairs}
+        else:
+            telling = {w for _, w in pairs}
+            want = {(d, 0, w) for d, text in enumerate(texts) for w in set(re.findall("[^\\W\\d_]{2,}", text or "")) if w in telling}
+        got = [tuple(r) for r in pii.disclosing_terms(table(spark, texts), Staged(spark, "pii-test"), scope).collect()]
+        assert len(got) == len(set(got)) and set(got) == want, scope
+
+
 @pytest.mark.parametrize("bits", [3, 9])
 def test_bpe_equals_the_library(spark, bits):
     import numpy as np
