@@ -1,11 +1,44 @@
-"""Connected components of an edge table by alternating large-star and small-star."""
+"""Connected components of an edge table by alternating large-star and small-star.
+
+A table of at most ``ONE_TASK`` edges, which a single task holds in a few MB, is
+joined up there at once; only larger tables go through the rounds of shuffles.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import Staged
+from tagloom.llm.common import Staged, arrow_map
+
+#: Edges that one task joins up by itself.
+ONE_TASK = 1 << 17
+
+
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The smallest node reachable from each node of all the edges (u, v) of the task."""
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        up = parent.setdefault(x, x)
+        while up != x:
+            parent[x] = x = parent[up]
+            up = parent[x]
+        return x
+
+    for batch in batches:
+        for u, v in zip(batch.column("u").to_pylist(), batch.column("v").to_pylist(), strict=True):
+            a, b = root(u), root(v)
+            if a != b:
+                parent[max(a, b)] = min(a, b)
+    if parent:
+        nodes = list(parent)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(nodes, pa.int64()), pa.array([root(x) for x in nodes], pa.int64())], names=["node", "component"]
+        )
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -41,9 +74,11 @@ def components(edges: DataFrame, staged: Staged, name: str = "cc", most_rounds:
     changed anything.
     """
     last = staged.write(
-        edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(),
+        edges.where("a <> b").select(F.greatest("a", "b").cast("long").alias("u"), F.least("a", "b").cast("long").alias("v")),
         f"{name}-0",
     )
+    if last.count() <= ONE_TASK:
+        return last.coalesce(1).transform(arrow_map, _joined, "node long, component long")
     mark = None
     for k in range(1, most_rounds + 1):
         now = staged.write(_star(_star(last, large=True), large=False), f"{name}-{k}")

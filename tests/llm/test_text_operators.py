@@ -448,3 +448,41 @@ def test_bpe_query(spark):
     empty = hashlib.sha256(b"").hexdigest()
     assert got[:2] == [(1, 0, empty), (2, 0, empty)] and got[2] == got[3] and got[2][1] == 2
     assert encode_digests(table(spark, [])).count() == 0
+
+
+def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
+    """A table that one task holds is written once; rounds of shuffles give the same components of it."""
+    from tagloom.llm import components as module
+    from tagloom.llm.common import Staged
+
+    class Counted(Staged):
+        names = ()
+
+        def write(self, df, name):
+            self.names += (name,)
+            return super().write(df, name)
+
+    rnd = random.Random(11)
+    edges = [(k, k + 1) for k in range(40)] + [(rnd.randint(100, 400), rnd.randint(100, 400)) for _ in range(250)]
+    edges += [(7, 7), (500, 500), (None, 3), (2**40, -5), (2**40, -5), (-5, 2**40), (39, 2**41)]
+    given = spark.createDataFrame(edges, "a long, b long").repartition(5)
+    parent = {}
+
+    def root(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and a != b:
+            a, b = root(a), root(b)
+            parent[max(a, b)] = min(a, b)
+    want = sorted((x, root(x)) for x in parent)
+    staged = Counted(spark, "few")
+    assert sorted(map(tuple, module.components(given, staged).collect())) == want
+    assert staged.names == ("cc-0",)
+    assert module.components(given.limit(0), Counted(spark, "none")).count() == 0
+    monkeypatch.setattr(module, "ONE_TASK", 0)
+    staged = Counted(spark, "rounds")
+    assert sorted(map(tuple, module.components(given, staged).collect())) == want
+    assert len(staged.names) > 1
