@@ -356,3 +356,71 @@ def test_pipeline_run_on_odd_rows(spark, tmp_path):
         assert sorted((r.doc_id for r in out), key=lambda i: -1 if i is None else i) == want
         counts = {r.doc_id: r.n_tokens for r in out}
         assert not out or counts[1] == counts[2] == 0 < counts[20] < counts[23]
+
+
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Rows beyond any share, and long texts, train too; shards are averaged into one model."""
+    from tagloom.llm import toxicity
+    from tagloom.llm.common import Staged
+
+    rnd = random.Random(8)
+    docs, labels = [], []
+    for k in range(7200):
+        text = _prose(rnd, ["th", "er", "on", "an", "re", "he", "in"], 12).split()
+        toxic = k % 4 == 0
+        if toxic:
+            text.insert(rnd.randrange(13), rnd.choice(["moron", "idiot"]))
+        docs.append((k, " ".join(text), "en"))
+        labels.append((k, int(toxic)))
+    docs += [(8001, "there on " * 5_000 + "moron", "de"), (8002, "!!", "en")]
+    labels += [(8001, 1), (8002, 0)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string, lang string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    want = {k for k in [*range(7200), 8001] if not _held(k, 3, 1)}
+    rows, shards = toxicity.training_rows(docs, labels, Staged(spark, "rows"))
+    got = rows.collect()
+    assert len(got) == len(want) and {r.doc_id for r in got} == want and shards == 2
+    assert {r.shard for r in got} == {0, 1} and max(len(r.text) for r in got) > 40_000
+    taught = []
+    trained = toxicity._trained
+    monkeypatch.setattr(toxicity, "_trained", lambda a, rows, *b: taught.append(rows.count()) or trained(a, rows, *b))
+    out = {r.doc_id: r.predicted for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert taught == [sum(not r.calibrating for r in got)] * toxicity.EPOCHS
+    held = [k for k in range(7200) if _held(k, 3, 1)]
+    assert sum(out[k] == (k % 4 == 0) for k in held) / len(held) > 0.98
+
+
+def test_toxicity_slopes_of_a_minibatch():
+    """The step's slopes against small differences of the loss; blocks of words give what one block gives."""
+    import pyarrow as pa
+
+    from tagloom.llm import toxicity
+    from tagloom.llm.toxicity import BUCKETS, Learner
+
+    rnd = random.Random(9)
+    column = pa.array([_prose(rnd, ["th", "er", "on", "an"], n) for n in (1, 2, 5, 40, 90)] + ["moron"])
+    y = np.array([0, 1, 0, 1, 0, 1], np.float32)
+    learner, slopes = Learner.fresh(), []
+    learner.step = slopes.extend
+    learner.learn(column, y, met := np.zeros(BUCKETS, bool))
+
+    def loss():
+        model = learner.model()
+        logit = toxicity._judged(model, column)[0] @ model.out + model.shift
+        return float(np.mean(np.log1p(np.exp(logit)) - y * logit))
+
+    for value, slope in zip(learner.values, slopes, strict=True):
+        for at in np.argsort(-np.abs(slope), axis=None)[:3]:
+            held = value.flat[at]
+            value.flat[at] = held + 1e-3
+            more = loss()
+            value.flat[at] = held - 1e-3
+            less = loss()
+            value.flat[at] = held
+            assert slope.flat[at] == pytest.approx((more - less) / 2e-3, rel=0.1, abs=2e-4)
+    assert (met == (slopes[0] != 0).any(axis=1)).all()
+    whole = [x.copy() for x in slopes]
+    slopes.clear()
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(toxicity, "BLOCK_WORDS", 16)
+        learner.learn(column, y, met)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(whole, slopes, strict=True))
