@@ -425,3 +425,44 @@ def test_toxicity_slopes_of_a_minibatch():
         patch.setattr(toxicity, "BLOCK_WORDS", 16)
         learner.learn(column, y, met)
     assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(whole, slopes, strict=True))
+
+
+def test_toxicity_shuffles_texts_once_and_a_model_for_each_core(spark, monkeypatch):
+    """A round of many shards gives on one sum for each core at most; it equals the shards' plain average."""
+    import pyarrow as pa
+    from pyspark.sql import functions as F
+
+    from tagloom.llm import toxicity
+    from tagloom.llm.common import Staged
+
+    rnd = random.Random(10)
+    texts = [(k, _prose(rnd, ["th", "er", "on", "an"], 9) + " moron" * (k % 3 == 0), "en") for k in range(600)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, lang string")
+    # of repeated ids the least text counts; ids without a label stay behind
+    docs = docs.unionByName(docs.where("doc_id < 90").withColumn("text", F.concat(F.lit("~"), "text")))
+    labels = spark.createDataFrame([(k, int(k % 3 == 0)) for k in range(500)], "doc_id long, toxic int")
+    monkeypatch.setattr(toxicity, "SHARD", 10)
+    plans, write = [], Staged.write
+    monkeypatch.setattr(Staged, "write", lambda self, df, name: plans.append((name, df._jdf.queryExecution().toString())) or write(self, df, name))
+    rows, shards = toxicity.training_rows(docs, labels, Staged(spark, "rows"))
+    (plan,) = (plan for name, plan in plans if name == "training")
+    assert plan.split("== Physical Plan ==")[1].count("Exchange") == 1
+    assert {(r.doc_id, r.text) for r in rows.collect()} == {x[:2] for x in texts[:500] if not _held(x[0], 3, 1)}
+    cores = spark.sparkContext.defaultParallelism
+    assert shards > 2 * cores
+    copies, mapped = [], toxicity.arrow_map
+    monkeypatch.setattr(toxicity, "arrow_map", lambda df, *a: copies.append(df.rdd.getNumPartitions()) or mapped(df, *a))
+    fresh = toxicity.Learner.fresh()
+    got = toxicity._trained(fresh, rows, shards, 0)
+    assert copies[0] <= cores
+    total = 0
+    for shard in range(shards):
+        own, met = fresh.copy(), np.zeros(toxicity.BUCKETS, bool)
+        batch = rows.where(F.col("shard") == shard).orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id").collect()
+        for at in range(0, len(batch), toxicity.BATCH):
+            part = batch[at : at + toxicity.BATCH]
+            own.learn(pa.array([r.text for r in part]), np.array([r.toxic for r in part], np.float32), met)
+        if batch:
+            total = total + own.weighed(len(batch), met)
+    want = fresh.averaged(total)
+    assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got.arrays(), want.arrays(), strict=True)) and got.steps == pytest.approx(want.steps)
