@@ -466,3 +466,16 @@ def test_toxicity_shuffles_texts_once_and_a_model_for_each_core(spark, monkeypat
             total = total + own.weighed(len(batch), met)
     want = fresh.averaged(total)
     assert all(np.allclose(a, b, atol=1e-6) for a, b in zip(got.arrays(), want.arrays(), strict=True)) and got.steps == pytest.approx(want.steps)
+
+
+def test_toxicity_driver_gets_one_model_a_round(spark, monkeypatch):
+    """Of a few copies, too, the driver gets one sum in pieces, not every copy."""
+    from tagloom.llm import toxicity
+
+    rows = [(k % 3, "here on there" + " moron" * (k % 2), k % 2, k) for k in range(30)]
+    rows = spark.createDataFrame(rows, "shard int, text string, toxic int, doc_id long").repartitionById(3, "shard")
+    parts, mapped = [], toxicity.arrow_map
+    monkeypatch.setattr(toxicity, "arrow_map", lambda df, *a: parts.append(mapped(df, *a)) or parts[-1])
+    toxicity._trained(toxicity.Learner.fresh(), rows, 3, 0)
+    monkeypatch.undo()
+    assert parts[-1].count() == toxicity.PIECES
