@@ -13,10 +13,12 @@ after it, over as many chunks as hold no blank. At blanks both sides agree
 exactly, so the ids equal those of the whole text.
 
 Within a chunk the unit is the run between blanks: every distinct run is
-encoded once per task by the tokenizers library, many at a time.
+encoded once per task by the tokenizers library.
 
-Both caches are bounded; a full cache is emptied. A text's ids are only
-joined, never cut, so whole texts are encoded. ``decode`` joins the tokens of
+Both caches are bounded; a full cache is emptied. A Python worker loads the
+tokenizer once and encodes on the one thread of its task: the library keeps
+memory for every tokenizer and thread that it has had, which would grow from task
+to task. A text's ids are only joined, never cut, so whole texts are encoded. ``decode`` joins the tokens of
 the ids as the library's decoder does for a tokenizer without a decoder step.
 
 Defined results: a null or empty text has no ids and an empty decoded text;
@@ -30,6 +32,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +47,8 @@ CHUNK_BITS = 9
 #: Most chunks and runs that a task keeps.
 KEPT_CHUNKS = 8_000
 KEPT_RUNS = 120_000
+#: Bytes of text that are encoded at once, about; one text at least.
+SLICE = 1 << 18
 _MARKS = (b"", b".", b",", b"!", b"?", b";", b":")
 BLANKS = b" \t\n\x0b\x0c\r"
 
@@ -79,15 +84,22 @@ def cuts(data: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     return at[(data[at] & 0xC0) != 0x80]
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str):
+    """The tokenizer of a Python worker, whatever the number of its tasks."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    tokenizer.no_truncation()
+    tokenizer.no_padding()
+    return tokenizer
+
+
 class Encoder:
     """Ids and decoded bytes of texts, with the chunks and runs of one task kept."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.tokenizer = _tokenizer(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.token = [(b"", b"")] * (max(vocabulary.values()) + 1)
         for text, k in vocabulary.items():
@@ -101,12 +113,10 @@ class Encoder:
         if len(self.runs) > KEPT_RUNS:
             self.runs.clear()
         new = set().union(*[t.split() for t in texts]) if texts else set()
-        new = [run for run in new if run not in self.runs and not self.plain(run)]
-        for at in range(0, len(new), 10_000):
-            part = new[at : at + 10_000]
-            found = self.tokenizer.encode_batch([run.decode() for run in part], add_special_tokens=False)
-            for run, e in zip(part, found, strict=True):
-                self.runs[run] = self.joined(e.ids)
+        for run in new:
+            if run not in self.runs and not self.plain(run):
+                # one by one: a batch would go to a thread for each core of the machine
+                self.runs[run] = self.joined(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids)
 
     def plain(self, run: bytes) -> bool:
         """Encode a run of ASCII letters, or of such and one mark, by the model alone.
@@ -196,7 +206,7 @@ def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
         for whole in batches:
-            for batch in slices(whole, "text", 1 << 20):
+            for batch in slices(whole, "text", SLICE):
                 data, offsets = text_buffers(batch.column("text"))
                 start, stop = int(offsets[0]), int(offsets[-1])
                 ends = cuts(data[start:stop]) + start

@@ -450,6 +450,44 @@ def test_bpe_query(spark):
     assert encode_digests(table(spark, [])).count() == 0
 
 
+WORKER = """
+import os, random, re
+import pyarrow as pa
+from tagloom.llm import bpe
+from tagloom.llm.common import lean
+
+def private():
+    with open("/proc/self/smaps_rollup") as file:
+        return sum(map(int, re.findall(r"Pss_(?:Anon|Shmem):\\s+(\\d+)", file.read()))) // 1024
+
+rnd = random.Random(5)
+texts = [" ".join(f"{rnd.randint(0, 9**7)}-{rnd.choice('éßa')}x" for _ in range(400)) for _ in range(60)]
+batch = pa.RecordBatch.from_arrays([pa.array(range(60), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+task = lean(bpe._encoded(bpe.vocabulary_path()))
+threads, first = len(os.listdir("/proc/self/task")), None
+for k in range(6):
+    got = [b.to_pydict() for b in task(iter([batch]))]
+    first = first or (got, private())
+    assert got == first[0]
+print(len(os.listdir("/proc/self/task")) - threads, private() - first[1])
+"""
+
+
+def test_bpe_tasks_of_one_worker_keep_no_memory():
+    """Six tasks of a Python worker take no threads of their own and leave no more memory behind than one."""
+    import os
+    import subprocess
+    import sys
+
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("memory can't be read here")
+    path = os.pathsep.join(p for p in sys.path if p)
+    out = subprocess.run([sys.executable, "-c", WORKER], env=os.environ | {"PYTHONPATH": path}, capture_output=True, text=True, timeout=200)
+    assert out.returncode == 0, out.stderr[-2000:]
+    threads, more_mb = map(int, out.stdout.split()[-2:])
+    assert threads == 0 and more_mb < 40, (threads, more_mb)
+
+
 def test_components_of_few_edges_take_no_rounds(spark, monkeypatch):
     """A table that one task holds is written once; rounds of shuffles give the same components of it."""
     from tagloom.llm import components as module
