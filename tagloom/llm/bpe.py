@@ -12,8 +12,12 @@ re-encoding the stretch from the last blank before the cut to the first blank
 after it, over as many chunks as hold no blank. At blanks both sides agree
 exactly, so the ids equal those of the whole text.
 
-Within a chunk the unit is the run between blanks: every distinct run is
-encoded once per task by the tokenizers library.
+Within a chunk the unit is the piece that the tokenizer's splitting step makes
+of the lower-cased text, such as a word or a row of marks: every distinct piece
+is encoded once per task by the tokenizers library's model. A run between blanks
+that holds a character outside ``LETTERS`` and ``MARKS``, on which the library's
+normaliser or splitting could do more than that, or the start of an added token
+goes to the library as it stands, also once per task.
 
 Both caches are bounded; a full cache is emptied. A Python worker loads the
 tokenizer once and encodes on the one thread of its task: the library keeps
@@ -31,7 +35,8 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -44,13 +49,22 @@ from tagloom.llm.wordhash import slices, text_buffers
 VOCABULARY = "word_bpe_49k.json"
 #: Chunks have 2**CHUNK_BITS bytes on average.
 CHUNK_BITS = 9
-#: Most chunks and runs that a task keeps.
+#: Most chunks and units (pieces or whole runs) that a task keeps, about.
 KEPT_CHUNKS = 8_000
-KEPT_RUNS = 120_000
+KEPT_UNITS = 120_000
 #: Bytes of text that are encoded at once, about; one text at least.
 SLICE = 1 << 18
-_MARKS = (b"", b".", b",", b"!", b"?", b";", b":")
 BLANKS = b" \t\n\x0b\x0c\r"
+#: Letters beyond ASCII that compose with none of these and are lower-cased one by one, as ``str.lower`` does:
+#: Latin-1, Latin Extended-A without dotted and dotless i, Cyrillic.
+LETTERS = "\xc0-\xd6\xd8-\xf6\xf8-\xff\u0100-\u012f\u0132-\u017f\u0400-\u045f"
+#: Dashes, quotes, bullets and dots.
+MARKS = "\u2010-\u2027"
+#: The splitting and normalising steps that ``_PIECES`` and ``str.lower`` stand for.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_STEPS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[a-z{LETTERS}]+|[0-9]|[^ \t-\ra-z0-9{LETTERS}]+")
+_OTHER = re.compile(f"[^\\x00-\\x7f{LETTERS}{MARKS}]|<\\|")
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
@@ -84,6 +98,28 @@ def cuts(data: np.ndarray, bits: int = CHUNK_BITS) -> np.ndarray:
     return at[(data[at] & 0xC0) != 0x80]
 
 
+@lru_cache(maxsize=1)
+def plain_steps(path: str) -> bool:
+    """Whether the tokenizer's steps are those that ``_PIECES`` and ``str.lower`` stand for."""
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    split, to_bytes = spec["pre_tokenizer"]["pretokenizers"]
+    return (
+        (spec["normalizer"] or {}).get("normalizers") == _STEPS
+        and (split["pattern"], split["behavior"], split["invert"]) == ({"Regex": _SPLIT}, "Removed", True)
+        and not to_bytes["add_prefix_space"]
+        and not to_bytes["use_regex"]
+        and all(a["content"].startswith("<|") and not a["normalized"] for a in spec["added_tokens"])
+    )
+
+
+@lru_cache(maxsize=1)
+def _byte_letters() -> dict[int, str]:
+    """The character that stands for each byte in a byte-level vocabulary, where it is another than in Latin-1."""
+    same = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    return {b: chr(256 + k) for k, b in enumerate(b for b in range(256) if b not in same)}
+
+
 @lru_cache(maxsize=1)
 def _tokenizer(path: str):
     """The tokenizer of a Python worker, whatever the number of its tasks."""
@@ -95,87 +131,83 @@ def _tokenizer(path: str):
     return tokenizer
 
 
-class Encoder:
-    """Ids and decoded bytes of texts, with the chunks and runs of one task kept."""
+class Units(dict):
+    """Ids as bytes, and the tokens' text with a blank before each, of the units met so far."""
 
     def __init__(self, path: str):
-        self.tokenizer = _tokenizer(path)
+        self.tokenizer, self.plain = _tokenizer(path), plain_steps(path)
+        self.tokenize = self.tokenizer.model.tokenize
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.token = [(b"", b"")] * (max(vocabulary.values()) + 1)
+        self.text = [b""] * (max(vocabulary.values()) + 1)
         for text, k in vocabulary.items():
-            self.token[k] = (k.to_bytes(4, "little"), b" " + text.encode())
-        self.runs: dict[bytes, tuple[bytes, bytes]] = {}
-        self.marks: dict[bytes, tuple[bytes, bytes]] = {}
-        self.chunks: dict[bytes, tuple[bytes, bytes, bytes, bytes] | None] = {}
-
-    def learn(self, texts: list[bytes]) -> None:
-        """Encode the runs of ``texts`` that are not kept yet."""
-        if len(self.runs) > KEPT_RUNS:
-            self.runs.clear()
-        new = set().union(*[t.split() for t in texts]) if texts else set()
-        for run in new:
-            if run not in self.runs and not self.plain(run):
-                # one by one: a batch would go to a thread for each core of the machine
-                self.runs[run] = self.joined(self.tokenizer.encode(run.decode(), add_special_tokens=False).ids)
-
-    def plain(self, run: bytes) -> bool:
-        """Encode a run of ASCII letters, or of such and one mark, by the model alone.
-
-        No normaliser step but lower case acts on it, and it splits before the mark only.
-        """
-        word, mark = (run, b"") if run.isalpha() else (run[:-1], run[-1:])
-        if mark not in _MARKS or not word.isalpha():
-            return False
-        low = word.lower()
-        own = self.runs.get(low)
-        if own is None:
-            own = self.runs[low] = self.joined([t.id for t in self.tokenizer.model.tokenize(low.decode())])
-        if mark:
-            end = self.marks.get(mark)
-            if end is None:
-                end = self.marks[mark] = self.joined([t.id for t in self.tokenizer.model.tokenize(mark.decode())])
-            own = (own[0] + end[0], own[1] + end[1])
-        self.runs[run] = own
-        return True
-
-    def joined(self, ids: list[int]) -> tuple[bytes, bytes]:
-        """Ids as bytes, and the tokens' text with a blank before each."""
-        if len(ids) == 1:
-            return self.token[ids[0]]
-        parts = [self.token[k] for k in ids]
-        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+            self.text[k] = b" " + text.encode()
+        self.ids = [k.to_bytes(4, "little") for k in range(len(self.text))]
+
+    def split(self, text: bytes) -> list[str | bytes]:
+        """Pieces of the text and, as bytes, the runs between blanks that the library must see as they stand."""
+        if not self.plain:
+            return text.split()
+        whole = text.decode()
+        if not _OTHER.search(whole):
+            return _PIECES.findall(whole.lower())
+        out = []
+        for run in text.split():
+            word = run.decode()
+            if _OTHER.search(word):
+                out.append(run)
+            else:
+                out += _PIECES.findall(word.lower())
+        return out
+
+    def __missing__(self, unit: str | bytes) -> tuple[bytes, bytes]:
+        """Encode a unit that is not kept yet."""
+        if len(self) > KEPT_UNITS:
+            self.clear()
+        if type(unit) is bytes:
+            # one by one: a batch would go to a thread for each core of the machine
+            ids = self.tokenizer.encode(unit.decode(), add_special_tokens=False).ids
+        elif unit.isascii() and unit.isprintable():
+            ids = [t.id for t in self.tokenize(unit)]
+        else:
+            ids = [t.id for t in self.tokenize(unit.encode().decode("latin-1").translate(_byte_letters()))]
+        own = self[unit] = b"".join([self.ids[k] for k in ids]), b"".join([self.text[k] for k in ids])
+        return own
 
-    def encode_runs(self, text: bytes) -> tuple[bytes, bytes]:
-        parts = [self.runs[run] for run in text.split()]
-        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
 
-    def chunk(self, chunk: bytes) -> tuple[bytes, bytes, bytes, bytes] | None:
-        """Ragged head, ids and decoded bytes of the inner part, ragged tail; None without a blank."""
-        head, inner, tail = ragged(chunk)
-        if inner is None:
-            return None
-        return (head, *self.encode_runs(inner), tail)
+class Encoder:
+    """Ids and decoded bytes of texts, with the chunks and units of one task kept."""
+
+    def __init__(self, path: str):
+        self.units = Units(path)
+        self.chunks: dict[bytes, tuple[bytes, tuple[bytes, bytes] | None, bytes]] = {}
 
-    def texts(self, texts: list[list[bytes]]) -> Iterator[tuple[bytes, bytes]]:
+    def encoded(self, text: bytes) -> tuple[bytes, bytes]:
+        """Ids and decoded bytes, a blank before each token, of a text that begins and ends at blanks."""
+        parts = list(map(self.units.__getitem__, self.units.split(text)))
+        return b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])
+
+    def chunk(self, chunk: bytes) -> tuple[bytes, tuple[bytes, bytes] | None, bytes]:
+        """Ragged head, ids and decoded bytes of the inner part (None without a blank), ragged tail."""
+        kept = self.chunks.get(chunk)
+        if kept is None:
+            if len(self.chunks) > KEPT_CHUNKS:
+                self.chunks.clear()
+            head, inner, tail = ragged(chunk)
+            kept = self.chunks[chunk] = head, None if inner is None else self.encoded(inner), tail
+        return kept
+
+    def texts(self, texts: Iterable[list[bytes]]) -> Iterator[tuple[bytes, bytes]]:
         """Ids (little-endian, 4 bytes each) and decoded bytes of each text, given as its chunks."""
-        if len(self.chunks) > KEPT_CHUNKS:
-            self.chunks.clear()
-        new = {c for chunks in texts for c in chunks if c not in self.chunks}
-        joins = [list(_joins(chunks)) for chunks in texts]
-        self.learn([ragged(c)[1] or b"" for c in new] + [j for js in joins for j in js])
-        for c in new:
-            self.chunks[c] = self.chunk(c)
-        for chunks, repaired in zip(texts, joins, strict=True):
-            ids, decoded, k = [], [], 0
+        for chunks in texts:
+            parts, pending = [], []
             for c in chunks:
-                kept = self.chunks[c]
-                if kept is not None:
-                    for part in (self.encode_runs(repaired[k]), kept[1:3]):
-                        ids.append(part[0])
-                        decoded.append(part[1])
-                    k += 1
-            last = self.encode_runs(repaired[k])
-            yield b"".join([*ids, last[0]]), b"".join([*decoded, last[1]])[1:]
+                head, inner, tail = self.chunk(c)
+                pending.append(head)
+                if inner is not None:
+                    parts += self.encoded(b"".join(pending)), inner
+                    pending = [tail]
+            parts.append(self.encoded(b"".join(pending)))
+            yield b"".join([p[0] for p in parts]), b"".join([p[1] for p in parts])[1:]
 
 
 def ragged(chunk: bytes) -> tuple[bytes, bytes | None, bytes]:
@@ -190,18 +222,6 @@ def ragged(chunk: bytes) -> tuple[bytes, bytes | None, bytes]:
 _EACH_BLANK = [bytes([b]) for b in BLANKS]
 
 
-def _joins(chunks: list[bytes]) -> Iterator[bytes]:
-    """The stretch before each chunk that holds a blank, and the one after the last of them."""
-    pending = b""
-    for c in chunks:
-        head, inner, tail = ragged(c)
-        pending += head
-        if inner is not None:
-            yield pending
-            pending = tail
-    yield pending
-
-
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(path)
